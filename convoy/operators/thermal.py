@@ -116,9 +116,8 @@ def anomaly_events(anomalies: DataFrame, edge_id: str = "edge-01", region_id: st
         F.col("asset_id").alias("subject"),
         iso_time(F.col("ts")).alias("time"),
         F.lit("application/json").alias("datacontenttype"),
-        F.concat(
-            F.lit('{"severity":"'), F.col("severity"), F.lit('","summary":"'), F.col("summary"),
-            F.lit('","evidence":'), F.col("evidence"),
-            F.lit(f',"edge_id":"{edge_id}","region_id":"{region_id}"}}'),
-        ).alias("data"),
+        F.to_json(F.struct(
+            "severity", "summary", F.parse_json("evidence").alias("evidence"),
+            F.lit(edge_id).alias("edge_id"), F.lit(region_id).alias("region_id"),
+        )).alias("data"),
     )

@@ -41,5 +41,3 @@ LOGISTICS = (
     "constraining_factors:array<struct<factor_id:string,severity:int>>>,"
     "provenance struct<region_id:string,edge_id:string>"
 )
-
-SENSOR_CONFIG = "type string, engine string, window_seconds int, critical_threshold double"
