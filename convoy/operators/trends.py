@@ -8,12 +8,15 @@ and the two parts are merged per row: constant work per row, whatever W holds.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convoy.functions.common import filled, micros
 from convoy.functions.quantities import present
 from convoy.operators.ordered import ordered_groups, running_count
+from convoy.session import ensure_checkpoint_dir
 
 # Default window lengths, emission interval and sample cap.
 FLUID_WINDOW = "15 minutes"
@@ -78,36 +81,47 @@ def emit_ticks(events: DataFrame, every: int = EMIT_EVERY, key: str = "asset_id"
 def rolling_trend(samples: DataFrame, window, keys=("asset_id", "signal"), cap: int = SAMPLE_CAP,
                   hot_rows: int | None = None) -> DataFrame:
     """Trend at each sample over [ts - window, ts]; rows with fewer than two samples are dropped."""
-    rows = samples.withColumns({"_us": micros(F.col("ts")), "_wanted": F.lit(True)})
-    return _trends(rows, interval_us(window), list(keys), cap, hot_rows).filter(F.col("n") >= 2)
+    rows = samples.withColumns({
+        "_us": micros(F.col("ts")), "_wanted": F.lit(True), "_width": F.lit(interval_us(window)),
+    })
+    dense = _dense_groups(rows.filter("value is not null"), list(keys), cap)
+    found = _trends(rows, dense, {interval_us(window)}, list(keys), cap, hot_rows)
+    return found.filter(F.col("n") >= 2)
+
 
+def trends_at(samples: DataFrame, requests: DataFrame, dense: DataFrame, widths: set[int],
+              keys=("asset_id", "signal"), cap: int = SAMPLE_CAP, hot_rows: int | None = None) -> DataFrame:
+    """Trend at each requested (keys, ts, seq); requests without samples keep n = 0.
 
-def trends_at(samples: DataFrame, requests: DataFrame, window, keys=("asset_id", "signal"),
-              cap: int = SAMPLE_CAP, hot_rows: int | None = None) -> DataFrame:
-    """Trend at each requested (keys, ts, seq); requests without samples keep n = 0."""
-    columns = [*keys, "ts", "seq"]
+    Both sides carry the window of their signal as ``width`` in microseconds, one of ``widths``.
+    ``dense`` lists the groups whose windows may reach the cap.
+    """
+    columns = [*keys, "ts", "seq", F.col("width").alias("_width")]
     rows = (
         samples.select(*columns, F.col("value").cast("double").alias("value"), F.lit(False).alias("_wanted"))
         .unionByName(requests.select(*columns, F.lit(None).cast("double").alias("value"),
                                      F.lit(True).alias("_wanted")))
         .withColumn("_us", micros(F.col("ts")))
     )
-    return _trends(rows, interval_us(window), list(keys), cap, hot_rows).drop("value")
+    return _trends(rows, dense, widths, list(keys), cap, hot_rows).drop("value")
 
 
-def _trends(rows: DataFrame, width: int, keys: list[str], cap: int, hot_rows: int | None) -> DataFrame:
-    dense = (
-        rows.filter("value is not null")
-        .groupBy(*keys, F.floor(F.col("_us") / width).alias("_slice")).count()
+def _dense_groups(samples: DataFrame, keys: list[str], cap: int) -> DataFrame:
+    """Groups with a slice above half the cap: below that, two adjacent slices stay within it."""
+    return (
+        samples.groupBy(*keys, F.floor(F.col("_us") / F.col("_width")).alias("_slice")).count()
         .filter(F.col("count") > cap // 2)
         .select(*keys).distinct()
     )
-    # Two adjacent slices of at most cap/2 samples cannot exceed the cap.
+
+
+def _trends(rows: DataFrame, dense: DataFrame, widths: set[int], keys: list[str], cap: int,
+            hot_rows: int | None) -> DataFrame:
     if dense.isEmpty():
-        return _sliced(rows, width, keys)
-    return _sliced(rows.join(dense, keys, "left_anti"), width, keys).unionByName(
-        _capped(rows.join(dense, keys, "left_semi"), width, keys, cap, hot_rows)
-    )
+        return _sliced(rows, keys)
+    capped = rows.join(dense, keys, "left_semi")
+    parts = [_capped(capped.filter(F.col("_width") == w), w, keys, cap, hot_rows) for w in sorted(widths)]
+    return reduce(DataFrame.unionByName, parts, _sliced(rows.join(dense, keys, "left_anti"), keys))
 
 
 def _moments(x: Column, y: Column, at: Column, order: Column, window) -> Column:
@@ -146,7 +160,8 @@ def _merge(a: Column, b: Column) -> Column:
     )
 
 
-def _sliced(rows: DataFrame, width: int, keys: list[str]) -> DataFrame:
+def _sliced(rows: DataFrame, keys: list[str]) -> DataFrame:
+    width = F.col("_width")
     own_slice = F.floor(F.col("_us") / width)
     copies = (
         rows.withColumn("_home", own_slice)
@@ -184,7 +199,10 @@ def _sliced(rows: DataFrame, width: int, keys: list[str]) -> DataFrame:
 
 
 def _capped(rows: DataFrame, width: int, keys: list[str], cap: int, hot_rows: int | None) -> DataFrame:
-    """Trends where the cap can bite: blocks of ``cap`` samples, each with the block before."""
+    """Trends where the cap can bite: blocks of ``cap`` samples, each with the block before.
+
+    A block holds at most twice the cap, so a sliding frame costs no more than the cap asks for.
+    """
     sample = F.col("value").isNotNull()
     numbered = ordered_groups(rows, keys, [F.col("_us"), F.desc(sample), F.col("seq")], hot_rows)
     blocks = (
@@ -228,32 +246,41 @@ def _finish(df: DataFrame) -> DataFrame:
         "latest_us": m["latest"]["us"],
         "window_start_us": m["first_us"],
         "window_end_us": F.col("_us"),
-    }).drop("_m", "_us", "_wanted")
+    }).drop("_m", "_us", "_wanted", "_width")
 
 
 # ---------------------------------------------------------------- windowed telemetry
 
 def tick_trends(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_window=WEAR_WINDOW,
-                every: int = EMIT_EVERY, cap: int = SAMPLE_CAP) -> DataFrame:
+                every: int = EMIT_EVERY, cap: int = SAMPLE_CAP, hot_rows: int | None = None) -> DataFrame:
     """Every known signal of an asset evaluated at each of the asset's ticks."""
-    found = signals(telemetry)
-    known = found.groupBy("asset_id", "signal").agg(
-        F.min(F.struct("ts", "seq")).alias("since"), F.max("unit").alias("unit"),
-        F.count_distinct("unit").alias("n_units"),
+    fluid_us, wear_us = interval_us(fluid_window), interval_us(wear_window)
+    wear = F.col("signal").startswith("wear_")
+    found = signals(telemetry).withColumn("width", F.when(wear, wear_us).otherwise(fluid_us).cast("long"))
+    # One row per asset and signal, used three times below; written once, it is read cheaply.
+    ensure_checkpoint_dir(telemetry.sparkSession)
+    known = (
+        found.groupBy("asset_id", "signal", "width", F.floor(micros(F.col("ts")) / F.col("width")).alias("slice"))
+        .agg(F.count("*").alias("n"), F.min(F.struct("ts", "seq")).alias("since"),
+             F.min("unit").alias("unit"), F.max("unit").alias("other_unit"))
+        .groupBy("asset_id", "signal", "width")
+        .agg(F.max("n").alias("most"), F.min("since").alias("since"), F.max("other_unit").alias("unit"),
+             (F.min("unit") != F.max("other_unit")).alias("mixed_units"))
+        .checkpoint()
     )
     events = (
         telemetry.filter(filled(F.col("asset.asset_id")))
         .select(F.col("asset.asset_id").alias("asset_id"), "ts", "seq")
     )
     requests = (
-        emit_ticks(events, every).join(known, "asset_id")
+        emit_ticks(events, every, hot_rows=hot_rows).join(known, "asset_id")
         .filter(F.col("since") <= F.struct("ts", "seq"))
-        .select("asset_id", "signal", "ts", "seq")
+        .select("asset_id", "signal", "ts", "seq", "width")
+    )
+    dense = known.filter(F.col("most") > cap // 2).select("asset_id", "signal")
+    return trends_at(found, requests, dense, {fluid_us, wear_us}, cap=cap, hot_rows=hot_rows).join(
+        known.select("asset_id", "signal", "unit", "mixed_units"), ["asset_id", "signal"]
     )
-    wear = F.col("signal").startswith("wear_")
-    return trends_at(found.filter(~wear), requests.filter(~wear), fluid_window, cap=cap).unionByName(
-        trends_at(found.filter(wear), requests.filter(wear), wear_window, cap=cap)
-    ).join(known.select("asset_id", "signal", "unit", "n_units"), ["asset_id", "signal"])
 
 
 def scalar_trend(unit: Column) -> Column:
