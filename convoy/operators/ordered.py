@@ -171,6 +171,6 @@ def ordered_groups(df: DataFrame, keys, order, hot_rows: int | None = None) -> O
 
 
 def _plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate: a row takes at least a byte, so a plan smaller than the
-    limit cannot hold a hot group and the counting pass is skipped."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's size estimate before pruning: a row takes at least a byte, so a plan smaller
+    than the limit cannot hold a hot group and the counting pass is skipped."""
+    return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))

@@ -178,7 +178,11 @@ def latest_by_asset(envelopes: DataFrame) -> DataFrame:
     An asset with only wear data is listed too, with severity, status and lifecycle 0. The
     edge of a configuration row counts only when it is named.
     """
-    rows = contributions(envelopes)
+    return latest_contributions(contributions(envelopes))
+
+
+def latest_contributions(rows: DataFrame) -> DataFrame:
+    """``latest_by_asset`` for rows that are already flat."""
     order = F.struct("wrapped_at", "seq")
     is_log, is_cm = F.col("payload_type") == LOGISTICS, F.col("payload_type") == CM_STATE
     names_edge = ~is_cm | filled(F.col("edge_id"))
@@ -200,9 +204,8 @@ def latest_by_asset(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def wear_latest(envelopes: DataFrame) -> DataFrame:
-    """Newest remaining life per asset and component; a component missing from a newer
-    message keeps its older value, an unset one is skipped."""
+def wear_contributions(envelopes: DataFrame) -> DataFrame:
+    """Remaining life per component of each sustainment envelope; an unset one is skipped."""
     payload = F.col(SUSTAINMENT)
     rows = payloads(envelopes, SUSTAINMENT).select(
         "region_id",
@@ -213,10 +216,17 @@ def wear_latest(envelopes: DataFrame) -> DataFrame:
     rul = F.col("state.remaining_useful_life")
     unit = F.coalesce(rul["unit"], F.lit(""))
     value = F.coalesce(rul["value"], F.lit(0.0))
+    return rows.filter((value != 0) | (unit != "")).select(
+        "region_id", "asset_id", "component_id", "wrapped_at", "seq", unit.alias("unit"), value.alias("rul")
+    )
+
+
+def wear_latest(envelopes: DataFrame) -> DataFrame:
+    """Newest remaining life per asset and component; a component missing from a newer
+    message keeps its older value."""
     return (
-        rows.filter((value != 0) | (unit != ""))
-        .groupBy("region_id", "asset_id", "component_id")
-        .agg(F.max_by(F.struct(unit.alias("unit"), value.alias("rul")), F.struct("wrapped_at", "seq")).alias("v"))
+        wear_contributions(envelopes).groupBy("region_id", "asset_id", "component_id")
+        .agg(F.max_by(F.struct("unit", "rul"), F.struct("wrapped_at", "seq")).alias("v"))
         .select("region_id", "asset_id", "component_id", "v.unit", "v.rul")
     )
 

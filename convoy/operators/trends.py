@@ -40,8 +40,8 @@ def interval_us(text: str | int) -> int:
 
 # ---------------------------------------------------------------- signals and ticks
 
-def signals(telemetry: DataFrame) -> DataFrame:
-    """One row per (event, signal): fuel, rounds per slot, hours and remaining life per component."""
+def event_samples(telemetry: DataFrame) -> DataFrame:
+    """One row per event with its samples: fuel, rounds per slot, hours and life per component."""
     def sample(name: Column, value: Column, unit: Column) -> Column:
         return F.struct(name.alias("signal"), value.alias("value"), unit.alias("unit"))
 
@@ -59,16 +59,18 @@ def signals(telemetry: DataFrame) -> DataFrame:
     rul = F.transform(parts, lambda e: of(e["value"]["remaining_useful_life"], F.concat(F.lit(WEAR_RUL), e["key"])))
     none = F.array().cast("array<struct<signal:string,value:double,unit:string>>")
     found = F.concat(*[F.coalesce(part, none) for part in (fuel, ammo, hours, rul)])
-    return (
-        telemetry.filter(filled(F.col("asset.asset_id")))
-        .select(
-            F.col("asset.asset_id").alias("asset_id"), "ts", "seq",
-            F.explode(F.filter(found, lambda s: s.isNotNull())).alias("s"),
-        )
-        .select("asset_id", "ts", "seq", "s.*")
+    return telemetry.filter(filled(F.col("asset.asset_id"))).select(
+        F.col("asset.asset_id").alias("asset_id"), "ts", "seq",
+        F.filter(found, lambda s: s.isNotNull()).alias("found"),
     )
 
 
+def signals(telemetry: DataFrame) -> DataFrame:
+    """One row per event and signal."""
+    rows = event_samples(telemetry)
+    return rows.select("asset_id", "ts", "seq", F.explode("found").alias("s")).select("asset_id", "ts", "seq", "s.*")
+
+
 def emit_ticks(events: DataFrame, every: int = EMIT_EVERY, key: str = "asset_id",
                hot_rows: int | None = None) -> DataFrame:
     """Every ``every``-th event of an asset, with its running number."""

@@ -12,12 +12,13 @@ SENSORS = tuple((t, "window", 86_400, 85.0) for t in ("click", "view", "purchase
     ("error", "timer", 43_200, 0.0),
 )
 OFFLINE_SECONDS = 43_200
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 COMPONENTS = ("track", "engine", "barrel", "suspension")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rows: asset, time, sequence, kind, value and the number inside ``props``."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").select(
         F.col("event_id").alias("seq"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("user_id").cast("string").alias("asset_id"),

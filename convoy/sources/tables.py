@@ -73,9 +73,28 @@ class LatestTable:
         rows = self.table.read(spark, None if upto is None else upto + 1)
         return None if rows is None else self.newest(rows).drop(BATCH)
 
-    def compact(self, spark: SparkSession, target: "LatestTable", upto: int) -> None:
-        """Writes the state as of batch ``upto`` as one batch of another table, so that
-        readers need not merge every batch ever written."""
-        rows = self.current(spark, upto)
-        if rows is not None:
-            target.table.write(rows, upto)
+
+@dataclass(frozen=True)
+class SnapshotTable:
+    """Newest row per key as one complete table, for readers that need every key each time.
+
+    Batch N merges the snapshot of batch N-1 with its own rows. Two folders take turns, so a
+    retried batch still finds its predecessor and no history piles up.
+    """
+
+    path: str
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+
+    def folder(self, batch_id: int) -> str:
+        return f"{self.path}/turn={batch_id % 2}"
+
+    def advance(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Writes the snapshot of ``batch_id`` and returns it."""
+        spark = rows.sparkSession
+        if batch_id > 0:
+            rows = rows.unionByName(spark.read.parquet(self.folder(batch_id - 1)))
+        packed = F.max_by(F.struct("*"), F.struct(*self.order)).alias("_row")
+        merged = rows.groupBy(*self.keys).agg(packed).select("_row.*")
+        merged.write.mode("overwrite").parquet(self.folder(batch_id))
+        return spark.read.schema(merged.schema).parquet(self.folder(batch_id))
