@@ -85,7 +85,7 @@ def tumbling_alerts(readings: DataFrame, per_type: bool = True, hot_rows: int |
 def tumbling_mean(readings: DataFrame, window: str) -> DataFrame:
     """Final mean and count per device and window; works on streams with a watermark."""
     return (
-        readings.groupBy("device", F.window(F.col("ts").cast("timestamp"), window).alias("w"))
+        readings.groupBy("device", F.window("ts", window).alias("w"))
         .agg(F.avg("reading").alias("mean"), F.count("reading").alias("n"))
         .select("device", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "mean", "n")
     )

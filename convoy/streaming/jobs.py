@@ -54,11 +54,13 @@ def stream_trends(telemetry: DataFrame, fluid_window=trends.FLUID_WINDOW, wear_w
                   every: int = trends.EMIT_EVERY, cap: int = trends.SAMPLE_CAP) -> DataFrame:
     """Trends of every signal at each tick of an asset."""
     wear_us, fluid_us = trends.interval_us(wear_window), trends.interval_us(fluid_window)
-    width = lambda name: F.when(name.startswith("wear_"), wear_us).otherwise(fluid_us).cast("long")
+    def width(sample: Column) -> Column:
+        return F.when(sample["signal"].startswith("wear_"), wear_us).otherwise(fluid_us).cast("long")
+
     rows = trends.event_samples(telemetry).select(
         "asset_id", micros(F.col("ts")).alias("us"), "seq",
-        F.transform("found", lambda s: F.struct(s["signal"].alias("signal"), s["value"].alias("value"),
-                                                width(s["signal"]).alias("width"))).alias("samples"),
+        F.col("found.signal").alias("signals"), F.col("found.value").alias("readings"),
+        F.transform("found", width).alias("widths"),
     )
     return rows.groupBy("asset_id").transformWithState(TickTrends(every, cap), TickTrends.OUTPUT, "Append", "None")
 

@@ -164,10 +164,10 @@ class TickTrends(StatefulProcessor):
         buffers = {s[0]: (list(v[0]), list(v[1]), v[2]) for s, v in self.buffers.iterator()}
         n = self.events.get()[0] if self.events.exists() else 0
         for row in in_order(rows):
-            for sample in row.samples:
-                times, values, width = buffers.setdefault(sample.signal, ([], [], sample.width))
+            for signal, reading, width in zip(row.signals, row.readings, row.widths):
+                times, values, _ = buffers.setdefault(signal, ([], [], width))
                 times.append(row.us)
-                values.append(sample.value)
+                values.append(reading)
             n += 1
             if n % self.every == 0:
                 for signal, (times, values, width) in buffers.items():
