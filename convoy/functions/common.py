@@ -10,12 +10,19 @@ def col(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def filled(value: Column) -> Column:
+    """Neither null nor empty, in a form that reaches the scan as a filter."""
+    return value.isNotNull() & (value.cast("string") != "")
+
+
 def blank(value: Column) -> Column:
-    return F.coalesce(value.cast("string"), F.lit("")) == ""
+    return value.isNull() | (value.cast("string") == "")
 
 
-def filled(value: Column) -> Column:
-    return ~blank(value)
+def slot(us: Column, width: Column | int) -> Column:
+    """Number of the ``width``-long slot a time falls in, exact for any integer time."""
+    width = F.lit(width) if isinstance(width, int) else width
+    return ((us - F.pmod(us, width)) / width).cast("long")
 
 
 def empty_to_null(value: Column) -> Column:

@@ -10,6 +10,7 @@ Without hot groups the plan is one plain window: one exchange, one sort.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from math import ceil
 
@@ -135,6 +136,11 @@ class OrderedGroups:
     def _with(self, columns: dict[str, Column]) -> "OrderedGroups":
         return replace(self, df=self.df.withColumns(columns))
 
+    def apply(self, change: Callable[[DataFrame], DataFrame], *order: Column) -> "OrderedGroups":
+        """The same groups after ``change``, which must keep keys and rows; ``order`` may
+        restate the order in other columns that sort alike."""
+        return replace(self, df=change(self.df), order=order or self.order)
+
     def result(self) -> DataFrame:
         return self.df.drop(_CHUNK)
 

@@ -62,8 +62,7 @@ def extract_reading(events: DataFrame, data: str = "data") -> DataFrame:
 
 
 def window_start(ts: Column, seconds: Column) -> Column:
-    width = seconds.cast("long") * 1_000_000
-    return F.timestamp_micros(F.floor(micros(ts) / width) * width)
+    return F.timestamp_micros(micros(ts) - F.pmod(micros(ts), seconds.cast("long") * 1_000_000))
 
 
 def tumbling_running_mean(readings: DataFrame, per_type: bool = True, hot_rows: int | None = None) -> DataFrame:

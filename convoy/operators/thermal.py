@@ -6,12 +6,12 @@ import math
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from convoy.functions.common import iso_time, micros, stable_id
+from convoy.functions.common import iso_time, micros, slot, stable_id
 from convoy.functions.quantities import quantity, quantity_in
-from convoy.operators.ordered import last_value, ordered_groups, previous_row, running_count, running_sum
+from convoy.operators.ordered import last_value, ordered_groups, previous_row, running_count
 
 # Smoothing factor and limits of the thermal rule.
 EWMA_ALPHA = 0.2
@@ -44,22 +44,31 @@ def ewma(df: DataFrame, value: str, key: str = "asset_id", alpha: float = EWMA_A
     decay = 1.0 - alpha
     block = max(1, math.ceil(53 * math.log(2) / -math.log(decay)))
     groups = ordered_groups(df, key, ["ts", "seq"], hot_rows).with_running(_n=running_count())
-    first = F.col("_n") == 1
     share = alpha * F.col(value)
     start = F.col(value) if seed is None else share + decay * seed
-    numbered = groups.with_columns(
-        _block=F.floor((F.col("_n") - 1) / block), _pos=((F.col("_n") - 1) % block).cast("double"),
-        _share=F.when(first, start).otherwise(share),
-    ).result()
-    inside = ordered_groups(numbered, (key, "_block"), ["ts", "seq"], hot_rows).with_running(
-        _scaled=running_sum(F.col("_share") * F.pow(F.lit(1.0 / decay), F.col("_pos")))
-    ).with_columns(_own=F.col("_scaled") * F.pow(F.lit(decay), F.col("_pos"))).result()
-    ended = ordered_groups(inside, key, ["ts", "seq"], hot_rows).with_running(
-        _before=last_value(F.when(F.col("_pos") == block - 1, F.col("_own")), inclusive=False)
-    ).result()
-    carried = F.coalesce("_before", F.lit(0.0)) * F.pow(F.lit(decay), F.col("_pos") + 1)
-    return ended.withColumn(out, F.col("_own") + carried).drop(
-        "_n", "_block", "_pos", "_share", "_scaled", "_own", "_before"
+    pos = F.col("_pos")
+    # At most ``block`` rows each, so these groups need no splitting.
+    inside = (
+        Window.partitionBy(key, "_block").orderBy("ts", "seq")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+
+    def average_inside_blocks(rows: DataFrame) -> DataFrame:
+        scaled = F.col("_share") * F.pow(F.lit(1.0 / decay), pos)
+        return (
+            rows.withColumns({
+                "_block": slot(F.col("_n") - 1, block), "_pos": ((F.col("_n") - 1) % block).cast("double"),
+                "_share": F.when(F.col("_n") == 1, start).otherwise(share),
+            })
+            .withColumn("_own", F.sum(scaled).over(inside) * F.pow(F.lit(decay), pos))
+        )
+
+    ended = groups.apply(
+        average_inside_blocks, F.col("_block"), F.col("ts"), F.col("seq")
+    ).with_running(_before=last_value(F.when(pos == block - 1, F.col("_own")), inclusive=False))
+    carried = F.coalesce("_before", F.lit(0.0)) * F.pow(F.lit(decay), pos + 1)
+    return ended.with_columns(**{out: F.col("_own") + carried}).result().drop(
+        "_n", "_block", "_pos", "_share", "_own", "_before"
     )
 
 

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from convoy.functions.common import filled, micros
+from convoy.functions.common import filled, micros, slot
 from convoy.functions.quantities import present
 from convoy.operators.ordered import ordered_groups, running_count
 from convoy.session import ensure_checkpoint_dir
@@ -111,7 +111,7 @@ def trends_at(samples: DataFrame, requests: DataFrame, dense: DataFrame, widths:
 def _dense_groups(samples: DataFrame, keys: list[str], cap: int) -> DataFrame:
     """Groups with a slice above half the cap: below that, two adjacent slices stay within it."""
     return (
-        samples.groupBy(*keys, F.floor(F.col("_us") / F.col("_width")).alias("_slice")).count()
+        samples.groupBy(*keys, slot(F.col("_us"), F.col("_width")).alias("_slice")).count()
         .filter(F.col("count") > cap // 2)
         .select(*keys).distinct()
     )
@@ -164,7 +164,7 @@ def _merge(a: Column, b: Column) -> Column:
 
 def _sliced(rows: DataFrame, keys: list[str]) -> DataFrame:
     width = F.col("_width")
-    own_slice = F.floor(F.col("_us") / width)
+    own_slice = slot(F.col("_us"), width)
     copies = (
         rows.withColumn("_home", own_slice)
         .withColumn("_slice", F.explode(
@@ -209,7 +209,7 @@ def _capped(rows: DataFrame, width: int, keys: list[str], cap: int, hot_rows: in
     numbered = ordered_groups(rows, keys, [F.col("_us"), F.desc(sample), F.col("seq")], hot_rows)
     blocks = (
         numbered.with_running(_idx=running_count(sample)).result()
-        .withColumn("_home", F.floor((F.col("_idx") - 1) / cap))
+        .withColumn("_home", slot(F.col("_idx") - 1, cap))
         .withColumn("_block", F.explode(
             F.when(sample, F.array(F.col("_home"), F.col("_home") + 1)).otherwise(F.array("_home"))
         ))
@@ -262,7 +262,7 @@ def tick_trends(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_window=WEA
     # One row per asset and signal, used three times below; written once, it is read cheaply.
     ensure_checkpoint_dir(telemetry.sparkSession)
     known = (
-        found.groupBy("asset_id", "signal", "width", F.floor(micros(F.col("ts")) / F.col("width")).alias("slice"))
+        found.groupBy("asset_id", "signal", "width", slot(micros(F.col("ts")), F.col("width")).alias("slice"))
         .agg(F.count("*").alias("n"), F.min(F.struct("ts", "seq")).alias("since"),
              F.min("unit").alias("unit"), F.max("unit").alias("other_unit"))
         .groupBy("asset_id", "signal", "width")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convoy.functions.common import filled, micros
+from convoy.functions.quantities import quantity_in
 from convoy.operators.ordered import (
     OrderedGroups, first_value, last_value, ordered_groups, previous_row, running_count, running_max, running_sum,
 )
@@ -18,7 +19,8 @@ def kinematics(telemetry: DataFrame, *keep: Column) -> DataFrame:
     pos = F.col("kinematics.position")
 
     def coordinate(axis: str) -> Column:
-        return F.coalesce(pos["ecef"][axis]["value"], F.lit(0.0)).alias(f"{axis}_m")
+        stated = pos["ecef"][axis]
+        return F.coalesce(quantity_in(stated, "m"), stated["value"], F.lit(0.0)).alias(f"{axis}_m")
 
     def degrees(angle: str) -> Column:
         q = F.col(f"kinematics.attitude.euler.{angle}")

@@ -97,6 +97,11 @@ def stream_alert_projection(events: DataFrame, table: BatchTable, checkpoint: st
     return _start(events, write, checkpoint, trigger)
 
 
+def unique_alerts(alert_rows: DataFrame, horizon: str) -> DataFrame:
+    """Alerts once per id when repeats come within ``horizon``; keeps that much state and no table."""
+    return alert_rows.withWatermark("detected_at", horizon).dropDuplicatesWithinWatermark(["id"])
+
+
 def stream_rollups(envelopes: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
                    n: int = regional.TOP_FACTORS) -> StreamingQuery:
     """On each heartbeat: merge new contributions, then write the three rollups of every region."""

@@ -48,7 +48,8 @@ def test_telemetry_round_trip(spark, tmp_path):
     source = tv.telemetry(spark, "/root/testdata/sf0.001")
     typed = spark.createDataFrame([], TELEMETRY).unionByName(source.drop("ts", "seq"), allowMissingColumns=True)
     typed.write.parquet(str(tmp_path / "p"))
-    lines = typed.select(F.to_json(F.struct("*")).alias("value"))
+    stamps = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    lines = typed.select(F.to_json(F.struct("*"), stamps).alias("value"))
     lines.unionByName(spark.createDataFrame([("{broken",), ("",)], "value string")).write.text(str(tmp_path / "j"))
     parquet = readers.read_telemetry(spark, str(tmp_path / "p"))
     text = readers.read_telemetry(spark, str(tmp_path / "j"), fmt="json")
