@@ -8,8 +8,6 @@ and the two parts are merged per row: constant work per row, whatever W holds.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,15 +85,14 @@ def rolling_trend(samples: DataFrame, window, keys=("asset_id", "signal"), cap:
         "_us": micros(F.col("ts")), "_wanted": F.lit(True), "_width": F.lit(interval_us(window)),
     })
     dense = _dense_groups(rows.filter("value is not null"), list(keys), cap)
-    found = _trends(rows, dense, {interval_us(window)}, list(keys), cap, hot_rows)
-    return found.filter(F.col("n") >= 2)
+    return _trends(rows, dense, list(keys), cap, hot_rows).filter(F.col("n") >= 2)
 
 
-def trends_at(samples: DataFrame, requests: DataFrame, dense: DataFrame, widths: set[int],
-              keys=("asset_id", "signal"), cap: int = SAMPLE_CAP, hot_rows: int | None = None) -> DataFrame:
+def trends_at(samples: DataFrame, requests: DataFrame, dense: DataFrame, keys=("asset_id", "signal"),
+              cap: int = SAMPLE_CAP, hot_rows: int | None = None) -> DataFrame:
     """Trend at each requested (keys, ts, seq); requests without samples keep n = 0.
 
-    Both sides carry the window of their signal as ``width`` in microseconds, one of ``widths``.
+    Both sides carry the window of their signal as ``width`` in microseconds.
     ``dense`` lists the groups whose windows may reach the cap.
     """
     columns = [*keys, "ts", "seq", F.col("width").alias("_width")]
@@ -105,7 +102,7 @@ def trends_at(samples: DataFrame, requests: DataFrame, dense: DataFrame, widths:
                                      F.lit(True).alias("_wanted")))
         .withColumn("_us", micros(F.col("ts")))
     )
-    return _trends(rows, dense, widths, list(keys), cap, hot_rows).drop("value")
+    return _trends(rows, dense, list(keys), cap, hot_rows).drop("value")
 
 
 def _dense_groups(samples: DataFrame, keys: list[str], cap: int) -> DataFrame:
@@ -117,13 +114,12 @@ def _dense_groups(samples: DataFrame, keys: list[str], cap: int) -> DataFrame:
     )
 
 
-def _trends(rows: DataFrame, dense: DataFrame, widths: set[int], keys: list[str], cap: int,
-            hot_rows: int | None) -> DataFrame:
+def _trends(rows: DataFrame, dense: DataFrame, keys: list[str], cap: int, hot_rows: int | None) -> DataFrame:
     if dense.isEmpty():
-        return _sliced(rows, keys)
+        return _finish(_timed(rows, keys))
+    sparse = rows.join(dense, keys, "left_anti")
     capped = rows.join(dense, keys, "left_semi")
-    parts = [_capped(capped.filter(F.col("_width") == w), w, keys, cap, hot_rows) for w in sorted(widths)]
-    return reduce(DataFrame.unionByName, parts, _sliced(rows.join(dense, keys, "left_anti"), keys))
+    return _finish(_timed(sparse, keys).unionByName(_capped(capped, keys, cap, hot_rows)))
 
 
 def _moments(x: Column, y: Column, at: Column, order: Column, window) -> Column:
@@ -162,83 +158,83 @@ def _merge(a: Column, b: Column) -> Column:
     )
 
 
-def _sliced(rows: DataFrame, keys: list[str]) -> DataFrame:
-    width = F.col("_width")
-    own_slice = slot(F.col("_us"), width)
+def _timed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Moments over [time - width, time]."""
+    return _windowed(rows, keys, F.col("_us"), F.col("_width"), F.col("_slice") * F.col("_width"))
+
+
+def _capped(rows: DataFrame, keys: list[str], cap: int, hot_rows: int | None) -> DataFrame:
+    """Moments where the cap can bite.
+
+    The newest ``cap`` samples are a window over the sample number, so the same pass gives them.
+    The time window is taken inside blocks of ``cap`` samples that carry the block before: it is
+    complete there whenever it holds no more than the cap, and no group exceeds twice the cap.
+    """
+    sample = F.col("value").isNotNull()
+    numbered = ordered_groups(rows, keys, [F.col("_us"), F.desc(sample), F.col("seq")], hot_rows)
+    counted = _windowed(
+        numbered.with_running(_idx=running_count(sample)).result(), keys, F.col("_idx"), F.lit(max(cap - 1, 1)),
+        F.min("_us").over(Window.partitionBy(*keys, "_slice")),
+    ).withColumnRenamed("_m", "_counted")
+    blocks = (
+        counted.withColumn("_block_home", slot(F.col("_idx") - 1, cap))
+        .withColumn("_block", F.explode(
+            F.when(sample, F.array(F.col("_block_home"), F.col("_block_home") + 1)).otherwise(F.array("_block_home"))
+        ))
+    )
+    return (
+        _timed(blocks, [*keys, "_block"])
+        .filter(F.col("_block") == F.col("_block_home"))
+        .withColumn("_m", F.when(F.col("_m.n") <= cap, F.col("_m")).otherwise(F.col("_counted")))
+        .drop("_idx", "_counted", "_block", "_block_home")
+    )
+
+
+def _windowed(rows: DataFrame, keys: list[str], at: Column, width: Column, origin: Column) -> DataFrame:
+    """Adds the moments of the samples whose coordinate lies in [at - width, at].
+
+    Times are taken relative to ``origin``, one value per slice.
+    """
     copies = (
-        rows.withColumn("_home", own_slice)
+        rows.withColumns({"_at": at, "_home": slot(at, width)})
         .withColumn("_slice", F.explode(
             F.when(F.col("value").isNotNull(), F.array(F.col("_home"), F.col("_home") + 1))
             .otherwise(F.array("_home"))
         ))
         .withColumn("_own", F.col("_slice") == F.col("_home"))
-        .withColumn("_t", F.when(F.col("_own"), F.col("_us")).otherwise(F.col("_us") + width))
+        .withColumn("_t", F.when(F.col("_own"), F.col("_at")).otherwise(F.col("_at") + width))
     )
     group = Window.partitionBy(*keys, "_slice")
-    forward = group.orderBy("_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    backward = group.orderBy(F.desc("_us")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    forward = group.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    backward = group.orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     lookup = (
         group.orderBy(F.desc("_t"), F.asc("_own"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     sample = F.col("value").isNotNull()
-    hours = (F.col("_us") - F.col("_slice") * width) / _HOUR_US
+    hours = (F.col("_us") - F.col("_origin")) / _HOUR_US
 
     def part(flag: Column, window) -> Column:
         mine = flag & sample
         return _moments(F.when(mine, hours), F.when(mine, F.col("value")),
                         F.when(mine, F.col("_us")), F.col("seq"), window)
 
-    return _finish(
+    return (
         copies
+        .withColumn("_origin", origin)
         .withColumn("_head", part(F.col("_own"), forward))
         .withColumn("_tail", part(~F.col("_own"), backward))
         .withColumn("_tail", F.last(F.when(~F.col("_own"), F.col("_tail")), ignorenulls=True).over(lookup))
-        .filter(F.col("_own") & F.col("_wanted"))
+        .filter("_own")
         .withColumn("_m", _merge(F.col("_head"), F.col("_tail")))
-        .drop("_home", "_slice", "_own", "_t", "_head", "_tail")
-    )
-
-
-def _capped(rows: DataFrame, width: int, keys: list[str], cap: int, hot_rows: int | None) -> DataFrame:
-    """Trends where the cap can bite: blocks of ``cap`` samples, each with the block before.
-
-    A block holds at most twice the cap, so a sliding frame costs no more than the cap asks for.
-    """
-    sample = F.col("value").isNotNull()
-    numbered = ordered_groups(rows, keys, [F.col("_us"), F.desc(sample), F.col("seq")], hot_rows)
-    blocks = (
-        numbered.with_running(_idx=running_count(sample)).result()
-        .withColumn("_home", slot(F.col("_idx") - 1, cap))
-        .withColumn("_block", F.explode(
-            F.when(sample, F.array(F.col("_home"), F.col("_home") + 1)).otherwise(F.array("_home"))
-        ))
-        .withColumn("_own", F.col("_block") == F.col("_home"))
-    )
-    group = Window.partitionBy(*keys, "_block")
-    by_time = group.orderBy("_us").rangeBetween(-width, 0)
-    by_count = group.orderBy("_idx").rangeBetween(-(cap - 1), 0)
-    start = F.min("_us").over(group)
-    hours = F.when(sample, (F.col("_us") - F.col("_start")) / _HOUR_US)
-    at = F.when(sample, F.col("_us"))
-
-    def part(window) -> Column:
-        return _moments(hours, F.col("value"), at, F.col("seq"), window)
-
-    return _finish(
-        blocks.withColumn("_start", start)
-        .withColumn("_timed", part(by_time))
-        .withColumn("_counted", part(by_count))
-        .filter(F.col("_own") & F.col("_wanted"))
-        .withColumn("_m", F.when(F.col("_timed.n") <= cap, F.col("_timed")).otherwise(F.col("_counted")))
-        .drop("_idx", "_home", "_block", "_own", "_start", "_timed", "_counted")
+        .drop("_at", "_home", "_slice", "_own", "_t", "_origin", "_head", "_tail")
     )
 
 
 def _finish(df: DataFrame) -> DataFrame:
     m = F.col("_m")
     moving = m["sxx"] > 0
-    return df.withColumns({
+    return df.filter("_wanted").withColumns({
         "n": m["n"].cast("long"),
         "slope_per_hour": F.when(moving, m["sxy"] / m["sxx"]).otherwise(0.0),
         "r_squared": F.when(
@@ -280,7 +276,7 @@ def tick_trends(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_window=WEA
         .select("asset_id", "signal", "ts", "seq", "width")
     )
     dense = known.filter(F.col("most") > cap // 2).select("asset_id", "signal")
-    return trends_at(found, requests, dense, {fluid_us, wear_us}, cap=cap, hot_rows=hot_rows).join(
+    return trends_at(found, requests, dense, cap=cap, hot_rows=hot_rows).join(
         known.select("asset_id", "signal", "unit", "mixed_units"), ["asset_id", "signal"]
     )
 

@@ -83,7 +83,7 @@ def test_requests_without_samples_stay(spark):
     asked = samples(spark, [("a", "s", 600_000_000, 2, 0.0), ("b", "s", 5, 3, 0.0)]).drop("value").withColumn(
         "width", F.lit(60_000_000))
     dense = spark.createDataFrame([], "asset_id string, signal string")
-    out = {r.seq: (r.n, r.latest) for r in trends_at(known, asked, dense, {60_000_000}).collect()}
+    out = {r.seq: (r.n, r.latest) for r in trends_at(known, asked, dense).collect()}
     assert out == {2: (0, None), 3: (0, None)}
 
 
