@@ -543,7 +543,7 @@ def alert_projection(spark, sf_dir):
 
 
 @query
-def alert_pipeline(spark, sf_dir):
+def alert_table(spark, sf_dir):
     """Threshold and offline alerts from raw events to the alert table."""
     hot = routing.threshold_events(routing.tumbling_alerts(_readings(spark, sf_dir), per_type=False))
     off = routing.offline_events(routing.offline_alerts(tv.connections(spark, sf_dir), tv.OFFLINE_SECONDS))

@@ -471,7 +471,7 @@ SELECT '1.0' AS specversion, 'fleet/edge/edge-01/' || asset_id AS source, 'fleet
   'critical' AS severity, round(delta_k, 6) AS delta_k, 'edge-01' AS edge_id FROM anomalies""")
 _add("alert_projection", (BASE, ALERTS), """
 SELECT id, source AS device_id, type AS event_type, severity, us FROM projected""")
-_add("alert_pipeline", (BASE, READINGS, RUNNING_MEAN, OFFLINE), """
+_add("alert_table", (BASE, READINGS, RUNNING_MEAN, OFFLINE), """
 SELECT CAST(device AS VARCHAR) AS device_id, 'fleet.tactical.ThresholdExceeded' AS event_type, 'HIGH' AS severity,
   count(*) AS n, max(us) AS last_us FROM means WHERE mean > 85 GROUP BY device
 UNION ALL
