@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,18 @@ def partitions_for(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+_CODES: dict[bytes, int] = {}
+
+
+def word_codes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words. Codes of words seen before are remembered, up to a bound."""
+    if len(_CODES) > 300_000:
+        _CODES.clear()
+    for word in set(words).difference(_CODES):
+        _CODES[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return np.fromiter(map(_CODES.__getitem__, words), np.uint64, len(words))
+
+
 def odd_multipliers(n: int, seed: int) -> list[int]:
     """``n`` fixed odd 64-bit numbers."""
     source = random.Random(seed)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from convoy.llm import mixing, near_dedup, quality_classifier, quality_rules, sharding
+from convoy.llm import decontaminate, html_text, license_scan, mixing, near_dedup, pii, quality_classifier, quality_rules, sharding
 from convoy.llm.common import read_table
 from convoy.llm.doc_stats import BASE
 
@@ -31,13 +31,31 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), size=4)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.mark_pii(documents, pii.train(documents)).select("doc_id", *pii.COLUMNS)
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f for f in (
-        op1_quality_rules, op2_quality_classifier, op3_feistel_sharding, op4_source_mixing, op6_minhash_near_dedup,
+        op1_quality_rules, op2_quality_classifier, op3_feistel_sharding, op4_source_mixing,
+        op5_benchmark_decontamination, op6_minhash_near_dedup, op7_html_extraction, op8_pii_spans, op10_license_scan,
     )
 }
 

@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convoy.llm import mixing, near_dedup, quality_rules, sharding
+from convoy.llm import decontaminate, mixing, near_dedup, quality_rules, sharding
 from convoy.llm.common import read_table
 from convoy.session import ensure_checkpoint_dir
 
@@ -23,6 +23,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return near_dedup.mark_near_duplicates(docs).filter("kept").select(docs.columns)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item in them."""
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark")).select(docs.columns)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources; a document that is taken twice is there twice."""
     return mixing.expand_copies(mixing.mix(docs)).select(docs.columns)
@@ -33,7 +38,10 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs)
 
 
-STAGES = [("quality rules", quality), ("near duplicates", near_duplicates), ("mixing", mix), ("sharding", shards)]
+STAGES = [
+    ("quality rules", quality), ("near duplicates", near_duplicates), ("benchmark decontamination", decontamination),
+    ("mixing", mix), ("sharding", shards),
+]
 
 #: SQL cannot express the trees of the first stage.
 ORACLE_SQL = None
