@@ -29,7 +29,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 EPOCHS = 2
 #: Rows that one bucket of a source, and one range of finish times, holds on average.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 5_000
 COLUMNS = ("size", "source_size", "target", "copies", "taken", "first_finish")
 
 _HASH_DIGITS = 7  # hexadecimal digits of md5 that choose the bucket
@@ -85,10 +85,10 @@ def mix(documents: DataFrame, share: float = SHARE, epochs: int = EPOCHS, bucket
     total_rows = narrow.count()
     placed = _in_buckets(narrow, sources)
     starts = cut(_bucket_starts(placed))
-    last = cut(_last_taken(_queued(placed, starts), epochs, max(1, total_rows * epochs // bucket_rows)))
+    last = _last_taken(_queued(placed, starts), epochs, max(1, total_rows * epochs // bucket_rows)).first()  # one row
     return (
-        _queued(_in_buckets(sized, sources, last), starts)
-        .withColumn("copies", sum((F.when(_taken(k), 1).otherwise(0) for k in range(epochs)), F.lit(0)))
+        _queued(_in_buckets(sized, sources), starts)
+        .withColumn("copies", sum((F.when(_taken(k, last[0]), 1).otherwise(0) for k in range(epochs)), F.lit(0)))
         .withColumn("taken", F.col("copies") * F.col("size"))
         .withColumn("first_finish", _finish(0))
         .select(*back, *COLUMNS)
@@ -101,14 +101,9 @@ def expand_copies(mixed: DataFrame) -> DataFrame:
     return copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("_copy", *COLUMNS)
 
 
-def _in_buckets(rows: DataFrame, sources: DataFrame, last: DataFrame | None = None) -> DataFrame:
-    """``rows`` with the columns of their source and the bucket of its queue.
-
-    ``sources`` has a row for each source; ``last``, if given, a single row that goes with every source.
-    """
+def _in_buckets(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """``rows`` with the columns of their source (a row of ``sources``) and the bucket of its queue."""
     of = sources.withColumnRenamed("_source", "_s")
-    if last is not None:
-        of = of.withColumn("_one", F.lit(1)).join(last.withColumn("_one_", F.lit(1)), F.col("_one") == F.col("_one_"), "left").drop("_one", "_one_")
     number = F.conv(F.substring("_hash", 1, _HASH_DIGITS), 16, 10).cast("long")
     return (
         rows.join(F.broadcast(of) if _few(sources) else of, F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
@@ -146,15 +141,17 @@ def _finish(k: int) -> Column:
     return F.when((F.col("size") > 0) & (F.col("target") > 0), upto.cast("double") / F.col("target"))
 
 
-def _taken(k: int) -> Column:
-    """Whether the copy stands before or at the last one taken; without such a row nothing is taken."""
-    here = F.struct(_finish(k).alias("_finish"), F.col("_place").alias("_place"))
-    last = F.struct(F.col("_last_finish").alias("_finish"), F.col("_last_place").alias("_place"))
-    return _finish(k).isNotNull() & F.col("_last_finish").isNotNull() & (here <= last)
+def _taken(k: int, last) -> Column:
+    """Whether the copy stands before or at the last one taken (finish time, place of its source), if any is taken."""
+    if last is None:
+        return F.lit(False)
+    finish = _finish(k)
+    before = (finish < last["_finish"]) | (finish == last["_finish"]) & (F.col("_place") <= last["_place"])
+    return F.coalesce(before, F.lit(False))
 
 
 def _last_taken(queued: DataFrame, epochs: int, ranges: int) -> DataFrame:
-    """The finish time and source place of the last copy within the budget: one row, or none.
+    """The finish time and source place of the last copy within the budget: one row, its struct null if there is none.
 
     Words flow evenly over finish times (the targets' sum per unit), so equal ranges of finish time hold about equal
     work. Places inside a source differ as long as sizes are above 0, so (finish, source) is a total order.
@@ -179,6 +176,4 @@ def _last_taken(queued: DataFrame, epochs: int, ranges: int) -> DataFrame:
         .withColumn("_sum", F.col("_before") + F.sum("size").over(inside))
         .filter(F.col("_sum") <= F.col("_budget"))
         .agg(F.max(F.struct("_finish", "_place")).alias("_last"))
-        .filter(F.col("_last").isNotNull())
-        .select(F.col("_last._finish").alias("_last_finish"), F.col("_last._place").alias("_last_place"))
     )

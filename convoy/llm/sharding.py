@@ -28,7 +28,7 @@ SHARDS = 40
 SEED = 20_240_607
 ROUNDS = 6
 #: Rows that one bucket of the numbering holds on average.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 5_000
 OVERHEAD_BYTES = 16
 COLUMNS = ("size", "text_crc32", "position", "law", "shard", "slot", "grown_shard")
 
