@@ -156,9 +156,9 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, share: float = ERROR_
     items = benchmark.select("item_id", "text").filter(F.col("text").isNotNull())
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, ceil(total / block_bytes))
-    kinds = {f: (documents if f == "doc_id" else benchmark).schema[f].dataType.simpleString() for f in ("doc_id", "item_id")}
-    schema = f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, distance int, start int, end int"
-    texts = documents.select("doc_id", "text").filter(F.col("text").isNotNull())
+    ids = {"doc_id": documents.schema["doc_id"].dataType, "item_id": benchmark.schema["item_id"].dataType}
+    schema = "doc_id string, item_id string, distance int, start int, end int"  # ids as text meanwhile: nulls stay nulls
+    texts = documents.select(F.col("doc_id").cast("string"), "text").filter(F.col("text").isNotNull())
 
     def scan(rows):
         def run(batches):
@@ -172,9 +172,10 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, share: float = ERROR_
 
     parts = []
     for block in range(blocks):
-        rows = [tuple(r) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()]
+        rows = [tuple(r) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select(F.col("item_id").cast("string"), "text").collect()]
         parts.append(texts.mapInPandas(scan(rows), schema))
-    best = reduce(DataFrame.unionByName, parts).groupBy("doc_id", "item_id").agg(F.min(F.struct("distance", "start", "end")).alias("_hit"))
+    hits = reduce(DataFrame.unionByName, parts).withColumns({name: F.col(name).cast(kind) for name, kind in ids.items()})
+    best = hits.groupBy("doc_id", "item_id").agg(F.min(F.struct("distance", "start", "end")).alias("_hit"))
     return best.select("doc_id", "item_id", "_hit.*")
 
 

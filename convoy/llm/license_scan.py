@@ -123,7 +123,7 @@ def _codes(words: list[str]) -> np.ndarray:
 def scan_licenses(documents: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
     """doc_id, license, containment, first_word and last_word, a row an id and license."""
     small_batches(documents.sparkSession)
-    kind = documents.schema["doc_id"].dataType.simpleString()
+    kind = documents.schema["doc_id"].dataType
 
     def scan(batches):
         scanner = Scanner(templates, percent)
@@ -133,8 +133,8 @@ def scan_licenses(documents: DataFrame, templates: dict[str, str] = TEMPLATES, p
                 columns=["doc_id", "license", "containment", "first_word", "last_word"],
             ).astype({"containment": float, "first_word": "int32", "last_word": "int32"})
 
-    hits = documents.select("doc_id", "text").filter(F.col("text").isNotNull()).mapInPandas(
-        scan, f"doc_id {kind}, license string, containment double, first_word int, last_word int")
+    texts = documents.select(F.col("doc_id").cast("string"), "text").filter(F.col("text").isNotNull())  # null ids stay null
+    hits = texts.mapInPandas(scan, "doc_id string, license string, containment double, first_word int, last_word int")
     order = F.struct((-F.col("containment")).alias("_less"), "first_word", "last_word", "containment")
-    best = hits.groupBy("doc_id", "license").agg(F.min(order).alias("_hit"))
+    best = hits.withColumn("doc_id", F.col("doc_id").cast(kind)).groupBy("doc_id", "license").agg(F.min(order).alias("_hit"))
     return best.select("doc_id", "license", "_hit.containment", "_hit.first_word", "_hit.last_word")

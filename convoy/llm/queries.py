@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from convoy.llm import decontaminate, html_text, license_scan, mixing, near_dedup, pii, quality_classifier, quality_rules, sharding
+from convoy.llm import decontaminate, html_text, license_scan, mixing, near_dedup, pii, quality_classifier, quality_rules, sharding, substring_dedup
 from convoy.llm.common import read_table
 from convoy.llm.doc_stats import BASE
 
@@ -48,6 +48,10 @@ def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.mark_pii(documents, pii.train(documents)).select("doc_id", *pii.COLUMNS)
 
 
+def op9_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_quality_rules, op2_quality_classifier, op3_feistel_sharding, op4_source_mixing,
-        op5_benchmark_decontamination, op6_minhash_near_dedup, op7_html_extraction, op8_pii_spans, op10_license_scan,
+        op5_benchmark_decontamination, op6_minhash_near_dedup, op7_html_extraction, op8_pii_spans,
+        op9_prefix_free_parsing, op10_license_scan,
     )
 }
 
