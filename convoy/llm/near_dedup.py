@@ -9,10 +9,10 @@ classes are linked when the Jaccard similarity of their full sets is at least 80
    (1 - 0.8**4)**24 = 3.2e-6. A bucket proposes its members against its first member, never all pairs.
 3. The signatures of a candidate are compared in batches; after each batch it is dropped when the posterior probability
    that its similarity reaches the threshold is below ``MISS`` (uniform prior). Survivors are verified on full sets.
-4. Components are formed. Buckets whose members now lie in several components go through again: members are compared
-   with members of other components only, in blocks of bounded size, first the most similar candidate for a member and
-   another component, then all survivors. So no link is left out because two documents never met a common first member,
-   and groups that are one component already cost nothing more.
+4. Components are formed. Buckets whose members now lie in several components go through again, with their sets: members
+   are compared with members of other components only, by signature and then exactly, in blocks of bounded size, and
+   what is found joins components at once. A task gives at most one link a member, so no link is left out because two
+   documents never met a common first member, and a group that is one component already costs nothing more.
 
 Defined results: null and empty texts have n_shingles 0 and are their own component; rows that are equal or share an
 id count in one class each by their text; the component id is the smallest id reachable, null only if all ids in it are
@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import cut, odd_multipliers, shelter, small_batches
+from convoy.llm.common import cut, odd_multipliers, shelter, small_batches, word_codes
 from convoy.llm.components import merge_labels
 
 SIZE = 5
@@ -54,11 +54,7 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     words = text.encode("utf-8", "replace").translate(_LOWER).split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    known: dict[bytes, int] = {}
-    for w in words:
-        if w not in known:
-            known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-    codes = np.fromiter((known[w] for w in words), np.uint64, len(words))
+    codes = word_codes(words)
     span = min(size, len(words))
     n = len(words) - span + 1
     out = np.full(n, span, np.uint64)
@@ -105,7 +101,7 @@ def survives(left: np.ndarray, right: np.ndarray, least: list[int]) -> tuple[np.
 def _fingerprints(documents: DataFrame, size: int) -> DataFrame:
     """doc_id, n_shingles, node (digest of the set), sig; without sets that are empty, node is null."""
     small_batches(documents.sparkSession)
-    kind = documents.schema["doc_id"].dataType.simpleString()
+    kind = documents.schema["doc_id"].dataType
 
     def measure(batches):
         for batch in batches:
@@ -117,7 +113,9 @@ def _fingerprints(documents: DataFrame, size: int) -> DataFrame:
                 sigs.append(signature(s).tobytes() if len(s) else None)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": counts, "node": pd.array(nodes, "Int64"), "sig": sigs})
 
-    return documents.select("doc_id", "text").mapInPandas(measure, f"doc_id {kind}, n_shingles long, node long, sig binary")
+    ids = documents.select(F.col("doc_id").cast("string"), "text")  # as text meanwhile: null ids would make it a float
+    prints = ids.mapInPandas(measure, "doc_id string, n_shingles long, node long, sig binary")
+    return prints.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def _digest(shingles: np.ndarray) -> int:
@@ -167,15 +165,8 @@ def _link(documents: DataFrame, classes: DataFrame, size: int, percent: int) ->
     sets = cut(_sets(documents, wanted, size))
 
     stars = members.filter(F.col("node") != F.col("leader")).select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct()
-    stars = cut(_pruned(stars, signatures, least))
-    # One candidate for each document settles most groups; the others matter only between components.
-    first = stars.groupBy("v").agg(F.min("u").alias("u"))
-    labels = merge_labels(None, _verified(first, sets, percent))
-    labels = merge_labels(labels, _verified(_across(stars, labels), sets, percent))
-    for only_best in (True, False):
-        proposed = _between_components(members, signatures, labels, least, only_best)
-        labels = merge_labels(labels, _verified(proposed, sets, percent))
-    return labels
+    labels = merge_labels(None, _verified(_pruned(stars, signatures, least), sets, percent))
+    return merge_labels(labels, cut(_between_components(members, sets, labels, least, percent)))
 
 
 def _pruned(pairs: DataFrame, signatures: DataFrame, least: list[int]) -> DataFrame:
@@ -200,11 +191,6 @@ def _labelled(df: DataFrame, labels: DataFrame, key: str, name: str) -> DataFram
     return df.join(named, key, "left").withColumn(name, F.coalesce(name, key))
 
 
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    both = _labelled(_labelled(pairs, labels, "u", "cu"), labels, "v", "cv")
-    return both.filter("cu != cv").select("u", "v")
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
     both = (
@@ -223,46 +209,76 @@ def _shared(a: Column, b: Column) -> Column:
     return count(a, b)
 
 
-def _between_components(members: DataFrame, signatures: DataFrame, labels: DataFrame, least: list[int], only_best: bool) -> DataFrame:
-    """Candidates (u, v) in a common bucket whose components differ, but for those with the first member of the bucket.
+def _between_components(members: DataFrame, sets: DataFrame, labels: DataFrame, least: list[int], percent: int) -> DataFrame:
+    """Links (u, v) between members of a bucket that lie in different components.
 
-    Buckets are cut into blocks of about ``BLOCK`` members, and every two blocks of a bucket meet in a task of their
-    own. Rows of a block carry component and signature, so pairs inside a component are left out before any work.
+    Buckets are cut into blocks of about ``BLOCK`` members, and every two blocks of a bucket meet in a task of their own.
     """
-    placed = cut(_labelled(members, labels, "node", "label"))
+    placed = cut(_labelled(members.select("bucket", "node"), labels, "node", "label"))
     mixed = placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo != hi and n > 2")
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     rows = (
         placed.join(mixed.select("bucket", "n"), "bucket").withColumn("blocks", blocks)
         .withColumn("block", F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int"))
-        .join(signatures, "node")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-            "block", "node", "label", "sig",
-        )
+        .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label")
+        .join(sets, "node")
     )
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         i, j = int(group["i"].iat[0]), int(group["j"].iat[0])
-        a, b = group[group["block"] == i], group[group["block"] == j]
-        sig_a, sig_b = (np.frombuffer(b"".join(x["sig"]), np.uint32).reshape(-1, HASHES) for x in (a, b))
-        label_a, label_b, node_a, node_b = a["label"].to_numpy(), b["label"].to_numpy(), a["node"].to_numpy(), b["node"].to_numpy()
-        found = []
-        for x in range(len(a)):
-            others = np.flatnonzero((label_b != label_a[x]) & ((node_b > node_a[x]) | (i != j)))
-            if not len(others):
-                continue
-            rows, matches = survives(np.broadcast_to(sig_a[x], (len(others), HASHES)), sig_b[others], least)
-            if only_best and len(rows):
-                order = np.argsort(-matches, kind="stable")
-                rows = rows[order][np.unique(label_b[others[rows[order]]], return_index=True)[1]]
-            found += [(int(node_a[x]), int(node_b[others[r]])) for r in rows]
-        return pd.DataFrame({"u": [min(p) for p in found], "v": [max(p) for p in found]}, dtype="int64")
+        found = links_between(
+            *([x[c].tolist() for c in ("node", "label", "members")] for x in (group[group["block"] == i], group[group["block"] == j])),
+            i == j, least, percent,
+        )
+        return pd.DataFrame({"u": [p[0] for p in found], "v": [p[1] for p in found]}, dtype="int64")
 
     return rows.groupBy("bucket", "i", "j").applyInPandas(compare, "u long, v long").distinct()
 
 
+def links_between(left, right, same: bool, least: list[int], percent: int) -> list[tuple[int, int]]:
+    """Links that join components, between two blocks (nodes, labels, sets) of a bucket, or inside one if ``same``."""
+    parent = {label: label for label in (*left[1], *right[1])}
+
+    def root(label: int) -> int:
+        while parent[label] != label:
+            parent[label] = label = parent[parent[label]]
+        return label
+
+    nodes, labels, sets = right
+    if len({*left[1], *labels}) < 2:
+        return []
+    sizes = np.array([len(s) for s in sets])
+    values = np.concatenate(sets)
+    owners = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(values, kind="stable")
+    values, owners = values[order], owners[order]
+    signatures = np.array([signature(np.asarray(s).view(np.uint64)) for s in sets])
+    out = []
+    for x, (node, label, members) in enumerate(zip(*left)):
+        roots = np.array([root(v) for v in labels])
+        apart = roots != root(label)
+        if same:
+            apart[: x + 1] = False
+        others = np.flatnonzero(apart)
+        if not len(others):
+            continue
+        own = signatures[x] if same else signature(np.asarray(members).view(np.uint64))
+        others = others[survives(np.broadcast_to(own, (len(others), HASHES)), signatures[others], least)[0]]
+        if not len(others):
+            continue
+        low, high = np.searchsorted(values, members, "left"), np.searchsorted(values, members, "right")
+        count = high - low
+        at = np.repeat(low - np.concatenate([[0], count.cumsum()[:-1]]), count) + np.arange(count.sum())
+        shared = np.bincount(owners[at], minlength=len(sets))[others]
+        for y in others[100 * shared >= percent * (len(members) + sizes[others] - shared)]:
+            a, b = root(label), root(labels[y])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((min(node, nodes[y]), max(node, nodes[y])))
+    return out
+
+
 def mark_near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """``documents`` with ``COLUMNS``; of rows that repeat both id and text one is left, if there are such rows."""
     plain, held, back = shelter(documents, COLUMNS)
