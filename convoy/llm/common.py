@@ -45,6 +45,17 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """Rows whose hash of ``key`` is below the share that gives ``rows`` of them; all if there are no more.
+
+    The number is ``rows`` on average, give or take its root; no task sees more than its part of the sample.
+    """
+    total = df.count()
+    if total <= rows:
+        return df
+    return df.filter(F.pmod(F.xxhash64(key, F.lit(7)), F.lit(1 << 40)) < int((1 << 40) * rows / total))
+
+
 def partitions_for(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

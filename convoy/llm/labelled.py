@@ -7,10 +7,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import held_out, small_batches
+from convoy.llm.common import bounded_sample, held_out, small_batches
 from convoy.llm.doc_stats import FEATURES, statistics
 
-#: At most so many labelled documents are used for fitting, those with the smallest hash of their id.
+#: So many labelled documents are used for fitting at most; hashes of their ids choose them.
 MAX_TRAINING_ROWS = 20_000
 
 
@@ -22,12 +22,12 @@ def training_matrix(documents: DataFrame, labels: DataFrame, max_rows: int = MAX
     collected matrix are bounded whatever the size of the tables.
     """
     small_batches(documents.sparkSession)
-    chosen = (
+    known = (
         labels.select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_label"))
         .filter(F.col("_id").isNotNull() & F.col("_label").isNotNull() & ~held_out(F.col("_id")))
         .groupBy("_id").agg(F.min("_label").alias("_label"))
-        .orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
     )
+    chosen = bounded_sample(known, F.col("_id"), max_rows)
     texts = documents.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
     joined = texts.join(F.broadcast(chosen), "_id").select("_id", "_label", "_text")
 

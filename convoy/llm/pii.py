@@ -28,13 +28,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import shelter, small_batches
+from convoy.llm.common import bounded_sample, shelter, small_batches
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret")
 LONGEST = 14
 CERTAIN = 0.9
-#: Documents whose regions may be used for fitting, those with the smallest hash of their text, and regions of these.
+#: Documents whose regions may be used for fitting, chosen by hashes of their texts, and regions of these.
 SAMPLE_DOCUMENTS = 4000
 SAMPLE_REGIONS = 400
 COLUMNS = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
@@ -236,7 +236,7 @@ def train(documents: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS, sample
     """Weights from the regions of a bounded sample of documents: hashes decide, so the sample is the same every time."""
     small_batches(documents.sparkSession)
     texts = documents.select(F.col("text").alias("_text")).filter(F.col("_text").rlike("[0-9@]"))
-    sample = texts.orderBy(F.xxhash64("_text"), "_text").limit(sample_documents)
+    sample = bounded_sample(texts, F.col("_text"), sample_documents)
 
     def gather(batches):
         for batch in batches:

@@ -30,7 +30,7 @@ THRESHOLD = 0.3
 #: Features along which the score may only fall.
 FALLING = {"symbol_share", "dup_line_share", "repeat_share", "top_word_share", "bang_share", "bar_share", "symbol_word_share", "adjacent_share"}
 DIRECTIONS = tuple(-1 if name in FALLING else 0 for name in FEATURES)
-COLUMNS = (*BASE, "base_failed", "quality_score", "kept")
+COLUMNS = (*BASE, "quality_score", "base_failed", "kept")
 
 
 def fit_rules(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS, settings: trees.Settings = trees.Settings()) -> trees.Trees:

@@ -99,4 +99,47 @@ SELECT q.doc_id, q.size, q.source_size, q.target, CAST(coalesce(n.copies, 0) * q
 FROM q LEFT JOIN n ON q.doc_id IS NOT DISTINCT FROM n.doc_id
 """
 
-ORACLES = {"op4_source_mixing": _OP4}
+# Near duplicates by all pairs that share a shingle, and components by reachability.
+_OP6 = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+g AS (
+  SELECT doc_id, unnest(CASE WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE [array_to_string(ws[i : i + 3], ' ') FOR i IN range(1, len(ws) - 2)] END) AS shingle
+  FROM w WHERE len(ws) > 0),
+s AS (SELECT DISTINCT doc_id, shingle FROM g),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (
+  SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u),
+m AS (SELECT u, min(v) AS low FROM r GROUP BY u)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(m.low, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(m.low, d.doc_id)) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.u = d.doc_id
+"""
+
+# Repeats by the smallest id of every 50-byte string, in hexadecimal.
+_OP9 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (
+  SELECT doc_id, i, substr(h, CAST(2 * i + 1 AS BIGINT), 100) AS x
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)),
+f AS (SELECT x, min(doc_id) AS low FROM p GROUP BY x),
+g AS (SELECT p.doc_id, p.i FROM p JOIN f ON p.x = f.x WHERE f.low < p.doc_id),
+c AS (SELECT DISTINCT doc_id, i + unnest(range(0, 50)) AS i FROM g),
+n AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE NOT joined) AS n_spans
+      FROM (SELECT doc_id, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) = 1, false) AS joined FROM c) GROUP BY doc_id),
+k AS (
+  SELECT b.doc_id, string_agg(substr(b.h, CAST(2 * b.i + 1 AS BIGINT), 2), '' ORDER BY b.i) AS kept
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS i FROM d WHERE doc_id IN (SELECT doc_id FROM n)) b
+  LEFT JOIN c ON c.doc_id = b.doc_id AND c.i = b.i WHERE c.i IS NULL GROUP BY b.doc_id)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n.n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN n.doc_id IS NULL THEN d.h ELSE coalesce(k.kept, '') END)) AS kept_sha256
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+ORACLES = {"op4_source_mixing": _OP4, "op6_minhash_near_dedup": _OP6, "op9_prefix_free_parsing": _OP9}

@@ -1,4 +1,8 @@
-"""From raw documents to a shuffled, sharded mix, in stages that are each written before the next one reads."""
+"""From raw documents to a shuffled, sharded mix, in stages that are each written before the next one reads.
+
+Nulls in any column, empty and very long texts, repeated rows and empty tables pass through as the operators define.
+Extra columns stay, whatever their names, until the last stage, where those named like its own are replaced.
+"""
 
 from __future__ import annotations
 
@@ -12,25 +16,38 @@ from convoy.llm.common import read_table
 from convoy.session import ensure_checkpoint_dir
 
 
+#: Columns that the operators read; others are out of their way under names that none of them uses.
+READ = ("doc_id", "text", "source")
+
+
+def _aside(docs: DataFrame) -> DataFrame:
+    return docs.toDF(*[c if c in READ else f"other{i}" for i, c in enumerate(docs.columns)])
+
+
+def _back(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    """``kept`` with the columns of ``docs`` under their names."""
+    return kept.select(*[F.col(c if c in READ else f"other{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     model = quality_rules.fit_rules(docs, read_table(spark, sf_dir, "labels"))
-    return quality_rules.apply_rules(docs, model).filter("kept").select(docs.columns)
+    return _back(quality_rules.apply_rules(_aside(docs), model).filter("kept"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: that with the smallest id."""
-    return near_dedup.mark_near_duplicates(docs).filter("kept").select(docs.columns)
+    return _back(near_dedup.mark_near_duplicates(_aside(docs)).filter("kept"), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item in them."""
-    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark")).select(docs.columns)
+    return _back(decontaminate.drop_contaminated(_aside(docs), read_table(spark, sf_dir, "benchmark")), docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources; a document that is taken twice is there twice."""
-    return mixing.expand_copies(mixing.mix(docs)).select(docs.columns)
+    return _back(mixing.expand_copies(mixing.mix(_aside(docs))), docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
