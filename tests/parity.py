@@ -41,7 +41,7 @@ def compare(df, con, sql: str) -> str | None:
     kinds = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     for field in df.schema:
         spark_kind = field.dataType.simpleString()
-        expected = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER"}.get(spark_kind)
+        expected = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER", "boolean": "BOOLEAN"}.get(spark_kind)
         if kinds[field.name] != expected:
             return f"type of {field.name}: {spark_kind} != {kinds[field.name]}"
     position = {c: i for i, c in enumerate(rel.columns)}
