@@ -3,9 +3,10 @@
 ``Window.partitionBy(key)`` puts every row of a key in one task. When one key may hold a
 third of the data that task never ends, so groups above a row limit are range-split into
 chunks by ``(key, order)``; each chunk is evaluated on its own and then shifted by what the
-earlier chunks of the same key hold. Range splitting cuts a key only at a partition edge,
-so the table of carried values has at most one row per chunk and can be broadcast safely.
-Without hot groups the plan is one plain window: one exchange, one sort.
+earlier chunks of the same key hold. What a chunk holds is a plain aggregate of its rows,
+taken behind the one exchange that the windows use too; the prefix over chunks is a table
+with at most one row per chunk. Without hot groups the plan is one plain window: one
+exchange, one sort.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ HOT_ROWS_CONF = "spark.convoy.hotGroupRows"
 HOT_ROWS_DEFAULT = 10_000_000
 
 _CHUNK = "_chunk"
-_END = "_chunk_end"
+_RANK = "_chunk_rank"
 
 
 @dataclass(frozen=True)
@@ -43,6 +44,14 @@ class Running:
             return F.first(value, ignorenulls=True)
         return F.last(value, ignorenulls=True)
 
+    def whole(self) -> Column:
+        """The value over all rows of a chunk; ranks give the order."""
+        if self.kind == "first":
+            return F.min_by(self.value, F.when(self.value.isNotNull(), F.col(_RANK)))
+        if self.kind == "last":
+            return F.max_by(self.value, F.when(self.value.isNotNull(), F.col(_RANK)))
+        return self.aggregate(self.value)
+
     def finish(self, local: Column) -> Column:
         return F.coalesce(local, F.lit(0)) if self.kind == "sum" else local
 
@@ -109,26 +118,22 @@ class OrderedGroups:
         if not self.split:
             return self._with({n: specs[n].finish(c) for n, c in local.items()})
 
-        ends = {f"_end_{n}": s.aggregate(s.value).over(upto) for n, s in specs.items()}
-        rows = self.df.withColumns({**local, **ends, _END: F.lead(F.lit(1)).over(base).isNull()})
         earlier = (
             Window.partitionBy(*self.keys).orderBy(_CHUNK)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         carried = (
-            rows.filter((F.col(_CHUNK) > 0) & F.col(_END))
-            .select(*self.keys, _CHUNK, *ends)
-            .withColumns({
-                f"_carry_{n}": s.aggregate(F.col(f"_end_{n}")).over(earlier)
-                for n, s in specs.items()
-            })
-            .drop(*ends)
+            self.df.filter(F.col(_CHUNK) > 0).groupBy(*self.keys, _CHUNK)
+            .agg(*[s.whole().alias(f"_end_{n}") for n, s in specs.items()])
+            .select(*self.keys, _CHUNK, *[
+                s.aggregate(F.col(f"_end_{n}")).over(earlier).alias(f"_carry_{n}") for n, s in specs.items()
+            ])
         )
-        joined = rows.join(F.broadcast(carried), [*self.keys, _CHUNK], "left")
+        joined = self.df.withColumns(local).join(carried, [*self.keys, _CHUNK], "left")
         merged = joined.withColumns({
             n: s.combine(F.col(f"_carry_{n}"), F.col(n)) for n, s in specs.items()
         })
-        return replace(self, df=merged.drop(_END, *ends, *[f"_carry_{n}" for n in specs]))
+        return replace(self, df=merged.drop(*[f"_carry_{n}" for n in specs]))
 
     def with_columns(self, **columns: Column) -> "OrderedGroups":
         return self._with(columns)
@@ -142,7 +147,7 @@ class OrderedGroups:
         return replace(self, df=change(self.df), order=order or self.order)
 
     def result(self) -> DataFrame:
-        return self.df.drop(_CHUNK)
+        return self.df.drop(_CHUNK, _RANK)
 
 
 def ordered_groups(df: DataFrame, keys, order, hot_rows: int | None = None) -> OrderedGroups:
@@ -152,7 +157,8 @@ def ordered_groups(df: DataFrame, keys, order, hot_rows: int | None = None) -> O
     spark = df.sparkSession
     limit = hot_rows or int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
     plain = OrderedGroups(df, keys, order)
-    if df.isStreaming or _plan_bytes(df) < limit:
+    # No group is larger than the whole, and counting the whole needs no shuffle.
+    if df.isStreaming or df.count() <= limit:
         return plain
 
     # At most total_rows / limit keys pass the filter, so this collect is bounded.
@@ -160,23 +166,17 @@ def ordered_groups(df: DataFrame, keys, order, hot_rows: int | None = None) -> O
     if not hot:
         return plain
     schema = df.select(*keys).schema
-    hot_keys = F.broadcast(
-        spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema)
-    )
+    hot_keys = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema)
     chunks = max(2, ceil(2 * sum(r["count"] for r in hot) / limit))
     ensure_checkpoint_dir(spark)
-    # The chunk number must be the same wherever it is read, hence the checkpoint.
+    # Chunk and rank must be the same wherever they are read, hence the checkpoint. Ranks grow
+    # with the order: partitions are ranges of it, and rows are sorted inside them.
     split = (
         df.join(hot_keys, list(keys), "left_semi")
-        .repartitionByRange(chunks, *keys, *order)
-        .withColumn(_CHUNK, F.spark_partition_id() + 1)
+        .repartitionByRange(chunks, *keys, *order).sortWithinPartitions(*keys, *order)
+        .withColumns({_CHUNK: F.spark_partition_id() + 1, _RANK: F.monotonically_increasing_id()})
         .checkpoint()
     )
-    cold = df.join(hot_keys, list(keys), "left_anti").withColumn(_CHUNK, F.lit(0))
-    return OrderedGroups(cold.unionByName(split), keys, order, split=True)
-
-
-def _plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate before pruning: a row takes at least a byte, so a plan smaller
-    than the limit cannot hold a hot group and the counting pass is skipped."""
-    return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+    cold = df.join(hot_keys, list(keys), "left_anti").withColumns({_CHUNK: F.lit(0), _RANK: F.lit(0).cast("long")})
+    # One exchange for the windows, the chunk aggregates and the joins of all levels.
+    return OrderedGroups(cold.unionByName(split).repartition(*keys, _CHUNK), keys, order, split=True)

@@ -291,6 +291,12 @@ def wear_trends(wear: DataFrame) -> DataFrame:
     )
 
 
+def ordered_wear_trends(trends: DataFrame) -> DataFrame:
+    """The wear trends of a region as one array, ordered by component and unit; a row per region."""
+    entry = F.struct("component_id", "unit", "mean_rul_remaining", "asset_count")
+    return trends.groupBy("region_id").agg(F.array_sort(F.collect_list(entry)).alias("wear_trends"))
+
+
 def stamp_provenance(rollup: DataFrame, observed_at: Column) -> DataFrame:
     return rollup.withColumns({
         "observed_at": observed_at,

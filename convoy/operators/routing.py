@@ -43,24 +43,61 @@ def route_by_config(events: DataFrame, sensors: Iterable[tuple] = SENSORS, engin
     })
 
 
+# Fixed value: what counts as a number in a text.
+_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+
+
 def extract_reading(events: DataFrame, data: str = "data") -> DataFrame:
-    """``temperature``, or ``value`` when it is absent or zero; rows without a number are dropped."""
-    def field(name: str) -> Column:
-        return F.get_json_object(F.col(data), f"$.{name}")
+    """``temperature``, or ``value`` when it is missing, null, false, zero or empty.
+
+    Numbers, booleans and texts that hold a number count; rows without one are dropped. The kind
+    of the JSON value decides: the text "0" is a temperature of 0, the number 0 is none.
+    """
+    parsed = F.try_parse_json(F.col(data))
+
+    def field(name: str, kind: str) -> Column:
+        return F.try_variant_get("_parsed", f"$.{name}", kind)
+
+    def kind(name: str) -> Column:
+        return F.coalesce(F.schema_of_variant(field(name, "variant")), F.lit("VOID"))
+
+    def number(name: str) -> Column:
+        text = field(name, "string")
+        return (
+            F.when(kind(name) == "BOOLEAN", field(name, "boolean").cast("double"))
+            .when(kind(name) == "STRING", F.when(text.rlike(_NUMBER), F.expr(f"try_cast(trim(try_variant_get(_parsed, '$.{name}', 'string')) as double)")))
+            .when(~kind(name).rlike("^(VOID|ARRAY|OBJECT)"), field(name, "double"))
+        )
 
+    empty = (
+        F.when(kind("temperature") == "VOID", True)
+        .when(kind("temperature") == "BOOLEAN", ~field("temperature", "boolean"))
+        .when(kind("temperature").rlike("^(STRING|ARRAY|OBJECT)"), field("temperature", "string").isin("", "[]", "{}"))
+        .otherwise(field("temperature", "double") == 0)
+    )
     return (
-        events.withColumns({"_first": field("temperature"), "_second": field("value")})
-        .withColumn("_raw", F.when(
-            F.col("_first").isNull() | F.col("_first").isin("", "false")
-            | F.coalesce(F.expr("try_cast(_first as double) = 0"), F.lit(False)),
-            F.col("_second"),
-        ).otherwise(F.col("_first")))
-        .withColumn("reading", F.expr("try_cast(_raw as double)"))
-        .filter(F.col("reading").isNotNull())
-        .drop("_first", "_second", "_raw")
+        events.withColumn("_parsed", parsed)
+        .withColumn("reading", F.when(empty, number("value")).otherwise(number("temperature")))
+        .filter(F.col("reading").isNotNull()).drop("_parsed")
     )
 
 
+def namespaced(sensors: Iterable[tuple] = SENSORS, namespace: str = "fleet") -> tuple[tuple, ...]:
+    """The configuration with types as events carry them: namespace and sensor prefix before the name."""
+    return tuple((f"{namespace}.sensor.{kind}", *rest) for kind, *rest in sensors)
+
+
+def connection_states(events: DataFrame, namespace: str = "fleet") -> DataFrame:
+    """Events of the two connection types with ``state`` lost or restored; others are left out.
+
+    Types count with and without the namespace and sensor prefix.
+    """
+    states = {"Connection_Lost": "lost", "Connection_Restored": "restored"}
+    types = {t: state for name, state in states.items() for t in (name, f"{namespace}.sensor.{name}")}
+    pairs = [F.lit(x) for pair in types.items() for x in pair]
+    return events.filter(F.col("type").isin(*types)).withColumn("state", F.element_at(F.create_map(*pairs), F.col("type")))
+
+
 def window_start(ts: Column, seconds: Column) -> Column:
     return F.timestamp_micros(micros(ts) - F.pmod(micros(ts), seconds.cast("long") * 1_000_000))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from convoy.functions.common import iso_time, micros, slot, stable_id
 from convoy.functions.quantities import quantity, quantity_in
-from convoy.operators.ordered import last_value, ordered_groups, previous_row, running_count
+from convoy.operators.ordered import ordered_groups, previous_row, running_count
 
 # Smoothing factor and limits of the thermal rule.
 EWMA_ALPHA = 0.2
@@ -33,43 +33,58 @@ def event_view(telemetry: DataFrame) -> DataFrame:
     )
 
 
+#: Rows of a block of the average at most.
+EWMA_BLOCK = 4096
+#: Powers of two between the largest and the smallest double, and a little more.
+_DOUBLE_RANGE = 2100
+
+
 def ewma(df: DataFrame, value: str, key: str = "asset_id", alpha: float = EWMA_ALPHA,
          out: str = "ewma", seed: float | None = None, hot_rows: int | None = None) -> DataFrame:
     """Exponential moving average seeded with the first value (or with ``seed``).
 
-    Weights older than ``block`` rows are below double precision, so the average is a scaled
-    running sum inside a block plus the end of the block before: two running passes, no
-    array per row.
+    ``alpha`` may be anything above 0 up to 1; every earlier row counts with its full weight.
     """
+    if not 0 < alpha <= 1:
+        raise ValueError("alpha must lie above 0 and not above 1")
     decay = 1.0 - alpha
-    block = max(1, math.ceil(53 * math.log(2) / -math.log(decay)))
-    groups = ordered_groups(df, key, ["ts", "seq"], hot_rows).with_running(_n=running_count())
+    numbered = ordered_groups(df, key, ["ts", "seq"], hot_rows).with_running(_n=running_count()).result()
     share = alpha * F.col(value)
     start = F.col(value) if seed is None else share + decay * seed
-    pos = F.col("_pos")
-    # At most ``block`` rows each, so these groups need no splitting.
-    inside = (
-        Window.partitionBy(key, "_block").orderBy("ts", "seq")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    rows = numbered.withColumn("_share", F.when(F.col("_n") == 1, start).otherwise(share))
+    if decay == 0.0:
+        return rows.withColumn(out, F.col("_share")).drop("_n", "_share")
+    return _decayed_sum(rows, key, "_n", "_share", math.log(decay), out).drop("_n", "_share")
 
-    def average_inside_blocks(rows: DataFrame) -> DataFrame:
-        scaled = F.col("_share") * F.pow(F.lit(1.0 / decay), pos)
-        return (
-            rows.withColumns({
-                "_block": slot(F.col("_n") - 1, block), "_pos": ((F.col("_n") - 1) % block).cast("double"),
-                "_share": F.when(F.col("_n") == 1, start).otherwise(share),
-            })
-            .withColumn("_own", F.sum(scaled).over(inside) * F.pow(F.lit(decay), pos))
-        )
 
-    ended = groups.apply(
-        average_inside_blocks, F.col("_block"), F.col("ts"), F.col("seq")
-    ).with_running(_before=last_value(F.when(pos == block - 1, F.col("_own")), inclusive=False))
-    carried = F.coalesce("_before", F.lit(0.0)) * F.pow(F.lit(decay), pos + 1)
-    return ended.with_columns(**{out: F.col("_own") + carried}).result().drop(
-        "_n", "_block", "_pos", "_share", "_own", "_before"
-    )
+def _decayed_sum(rows: DataFrame, key: str, n: str, share: str, log_decay: float, out: str) -> DataFrame:
+    """``out(i) = share(i) + decay * out(i - 1)`` along the numbers ``n`` = 1, 2, ... of a key.
+
+    Inside blocks it is a scaled running sum. Ends of blocks are a series of the same kind, one
+    row for a block with the decay of a whole block: where few ends reach over the range of a
+    double they are summed directly, otherwise the same method runs over them. So no group is
+    larger than a block and nothing is cut off.
+    """
+    block = max(1, min(EWMA_BLOCK, math.ceil(-53 * math.log(2) / log_decay)))
+    inside = Window.partitionBy(key, "_block").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pos = F.col("_pos")
+    own = F.sum(F.col(share) * F.exp(-log_decay * pos)).over(inside) * F.exp(log_decay * pos)
+    placed = rows.withColumns({
+        "_block": slot(F.col(n) - 1, block), "_pos": ((F.col(n) - 1) % block).cast("double"),
+    }).withColumn("_own", own)
+    ends = placed.filter(pos == block - 1).select(key, (F.col("_block") + 1).alias("_block"), F.col("_own").alias("_end"))
+    reach = math.ceil(-_DOUBLE_RANGE * math.log(2) / (log_decay * block))
+    if reach <= 64:
+        weighted = F.col("_end") * F.exp(log_decay * block * F.col("_back"))
+        before = (
+            ends.withColumn("_back", F.explode(F.sequence(F.lit(0), F.lit(reach))))
+            .groupBy(key, (F.col("_block") + F.col("_back")).alias("_block")).agg(F.sum(weighted).alias("_carry"))
+        )
+    else:
+        before = _decayed_sum(ends.withColumnRenamed("_block", "_b"), key, "_b", "_end", log_decay * block, "_carry").select(
+            key, F.col("_b").alias("_block"), "_carry")
+    carried = F.coalesce(F.col("_before") * F.exp(log_decay * (pos + 1)), F.lit(0.0))
+    return placed.join(before.withColumnRenamed("_carry", "_before"), [key, "_block"], "left").withColumn(out, F.col("_own") + carried).drop("_block", "_pos", "_own", "_before")
 
 
 def sample_delta(df: DataFrame, value: str, key: str = "asset_id", out: str = "rate",
@@ -80,21 +95,23 @@ def sample_delta(df: DataFrame, value: str, key: str = "asset_id", out: str = "r
     return groups.with_columns(**{out: F.col(value) - before}).result().drop("_prev")
 
 
-def thermal_runaway(view: DataFrame, hot_rows: int | None = None) -> DataFrame:
-    """Component far above ambient and still rising; events lacking a temperature leave no trace."""
-    kelvin = view.withColumns({
+def thermal_samples(view: DataFrame) -> DataFrame:
+    """Events with both temperatures, in kelvin."""
+    return view.withColumns({
         "component_temp_k": quantity_in(F.col("component_temp"), "kelvin"),
         "ambient_temp_k": quantity_in(F.col("ambient_temp"), "kelvin"),
-    }).filter(F.col("component_temp_k").isNotNull() & F.col("ambient_temp_k").isNotNull())
-    delta = F.col("component_temp_k") - F.col("ambient_temp_k")
-    rated = sample_delta(
-        kelvin.select("asset_id", "ts", "seq", "sample_time", "component_temp_k", "ambient_temp_k"),
-        "component_temp_k", out="rate_k_per_sample", hot_rows=hot_rows,
-    ).withColumn("delta_k", delta)
-    return rated.filter(
+    }).filter(F.col("component_temp_k").isNotNull() & F.col("ambient_temp_k").isNotNull()).select(
+        "asset_id", "ts", "seq", "sample_time", "component_temp_k", "ambient_temp_k")
+
+
+def runaways(rated: DataFrame) -> DataFrame:
+    """Anomalies among samples with their change since the sample before."""
+    hot = rated.withColumn("delta_k", F.col("component_temp_k") - F.col("ambient_temp_k"))
+    return hot.filter(
         (F.col("delta_k") > DELTA_LIMIT_K) & (F.col("rate_k_per_sample") > RATE_LIMIT_K)
     ).select(
         F.lit(THERMAL_RULE).alias("rule_id"), F.lit("critical").alias("severity"), "asset_id",
+        # Fixed value: the wording of the summary.
         F.format_string("Component %.1fK above ambient, rising %.2fK/sample", "delta_k", "rate_k_per_sample")
         .alias("summary"),
         F.coalesce("sample_time", "ts").alias("detected_at"), "ts", "seq",
@@ -102,6 +119,11 @@ def thermal_runaway(view: DataFrame, hot_rows: int | None = None) -> DataFrame:
     )
 
 
+def thermal_runaway(view: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """Component far above ambient and still rising; events lacking a temperature leave no trace."""
+    return runaways(sample_delta(thermal_samples(view), "component_temp_k", out="rate_k_per_sample", hot_rows=hot_rows))
+
+
 Detector = Callable[[DataFrame], DataFrame]
 
 DETECTORS: list[Detector] = [thermal_runaway]

@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 
 from convoy.functions.common import filled, micros, slot
 from convoy.functions.quantities import present
-from convoy.operators.ordered import ordered_groups, running_count
-from convoy.session import ensure_checkpoint_dir
+from convoy.operators.ordered import last_value, ordered_groups, running_count
 
-# Default window lengths, emission interval and sample cap.
+# Default window lengths, emission interval, and the sample cap for those who ask for one.
 FLUID_WINDOW = "15 minutes"
 WEAR_WINDOW = "60 minutes"
 EMIT_EVERY = 5
@@ -78,22 +77,23 @@ def emit_ticks(events: DataFrame, every: int = EMIT_EVERY, key: str = "asset_id"
 
 # ---------------------------------------------------------------- trends
 
-def rolling_trend(samples: DataFrame, window, keys=("asset_id", "signal"), cap: int = SAMPLE_CAP,
+def rolling_trend(samples: DataFrame, window, keys=("asset_id", "signal"), cap: int | None = None,
                   hot_rows: int | None = None) -> DataFrame:
-    """Trend at each sample over [ts - window, ts]; rows with fewer than two samples are dropped."""
+    """Trend at each sample over [ts - window, ts]; rows with fewer than two samples are dropped.
+
+    With ``cap`` only the newest ``cap`` samples of a window count.
+    """
     rows = samples.withColumns({
         "_us": micros(F.col("ts")), "_wanted": F.lit(True), "_width": F.lit(interval_us(window)),
     })
-    dense = _dense_groups(rows.filter("value is not null"), list(keys), cap)
-    return _trends(rows, dense, list(keys), cap, hot_rows).filter(F.col("n") >= 2)
+    return _trends(rows, list(keys), cap, hot_rows).filter(F.col("n") >= 2)
 
 
-def trends_at(samples: DataFrame, requests: DataFrame, dense: DataFrame, keys=("asset_id", "signal"),
-              cap: int = SAMPLE_CAP, hot_rows: int | None = None) -> DataFrame:
+def trends_at(samples: DataFrame, requests: DataFrame, keys=("asset_id", "signal"), cap: int | None = None,
+              hot_rows: int | None = None) -> DataFrame:
     """Trend at each requested (keys, ts, seq); requests without samples keep n = 0.
 
     Both sides carry the window of their signal as ``width`` in microseconds.
-    ``dense`` lists the groups whose windows may reach the cap.
     """
     columns = [*keys, "ts", "seq", F.col("width").alias("_width")]
     rows = (
@@ -102,24 +102,11 @@ def trends_at(samples: DataFrame, requests: DataFrame, dense: DataFrame, keys=("
                                      F.lit(True).alias("_wanted")))
         .withColumn("_us", micros(F.col("ts")))
     )
-    return _trends(rows, dense, list(keys), cap, hot_rows).drop("value")
+    return _trends(rows, list(keys), cap, hot_rows).drop("value")
 
 
-def _dense_groups(samples: DataFrame, keys: list[str], cap: int) -> DataFrame:
-    """Groups with a slice above half the cap: below that, two adjacent slices stay within it."""
-    return (
-        samples.groupBy(*keys, slot(F.col("_us"), F.col("_width")).alias("_slice")).count()
-        .filter(F.col("count") > cap // 2)
-        .select(*keys).distinct()
-    )
-
-
-def _trends(rows: DataFrame, dense: DataFrame, keys: list[str], cap: int, hot_rows: int | None) -> DataFrame:
-    if dense.isEmpty():
-        return _finish(_timed(rows, keys))
-    sparse = rows.join(dense, keys, "left_anti")
-    capped = rows.join(dense, keys, "left_semi")
-    return _finish(_timed(sparse, keys).unionByName(_capped(capped, keys, cap, hot_rows)))
+def _trends(rows: DataFrame, keys: list[str], cap: int | None, hot_rows: int | None) -> DataFrame:
+    return _finish(_timed(rows, keys) if cap is None else _capped(rows, keys, cap, hot_rows))
 
 
 def _moments(x: Column, y: Column, at: Column, order: Column, window) -> Column:
@@ -164,16 +151,20 @@ def _timed(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _capped(rows: DataFrame, keys: list[str], cap: int, hot_rows: int | None) -> DataFrame:
-    """Moments where the cap can bite.
+    """Moments of the newest ``cap`` samples of the time window.
 
     The newest ``cap`` samples are a window over the sample number, so the same pass gives them.
     The time window is taken inside blocks of ``cap`` samples that carry the block before: it is
-    complete there whenever it holds no more than the cap, and no group exceeds twice the cap.
+    complete there whenever it holds no more than the cap, and no group holds more than twice the
+    cap of samples. Requests whose newest sample is older than the window need no block.
     """
     sample = F.col("value").isNotNull()
     numbered = ordered_groups(rows, keys, [F.col("_us"), F.desc(sample), F.col("seq")], hot_rows)
+    known = numbered.with_running(_idx=running_count(sample), _newest=last_value(F.when(sample, F.col("_us")))).result()
+    stale = ~sample & (F.coalesce("_newest", F.col("_us") - F.col("_width") - 1) < F.col("_us") - F.col("_width"))
+    fresh = known.filter(~stale).drop("_newest")
     counted = _windowed(
-        numbered.with_running(_idx=running_count(sample)).result(), keys, F.col("_idx"), F.lit(max(cap - 1, 1)),
+        fresh, keys, F.col("_idx"), F.lit(max(cap - 1, 1)),
         F.min("_us").over(Window.partitionBy(*keys, "_slice")),
     ).withColumnRenamed("_m", "_counted")
     blocks = (
@@ -182,12 +173,13 @@ def _capped(rows: DataFrame, keys: list[str], cap: int, hot_rows: int | None) ->
             F.when(sample, F.array(F.col("_block_home"), F.col("_block_home") + 1)).otherwise(F.array("_block_home"))
         ))
     )
-    return (
+    found = (
         _timed(blocks, [*keys, "_block"])
         .filter(F.col("_block") == F.col("_block_home"))
         .withColumn("_m", F.when(F.col("_m.n") <= cap, F.col("_m")).otherwise(F.col("_counted")))
         .drop("_idx", "_counted", "_block", "_block_home")
     )
+    return found.unionByName(known.filter(stale).drop("_idx", "_newest"), allowMissingColumns=True)
 
 
 def _windowed(rows: DataFrame, keys: list[str], at: Column, width: Column, origin: Column) -> DataFrame:
@@ -235,7 +227,7 @@ def _finish(df: DataFrame) -> DataFrame:
     m = F.col("_m")
     moving = m["sxx"] > 0
     return df.filter("_wanted").withColumns({
-        "n": m["n"].cast("long"),
+        "n": F.coalesce(m["n"], F.lit(0)).cast("long"),
         "slope_per_hour": F.when(moving, m["sxy"] / m["sxx"]).otherwise(0.0),
         "r_squared": F.when(
             moving & (m["syy"] > 0), F.least(F.lit(1.0), m["sxy"] * m["sxy"] / (m["sxx"] * m["syy"]))
@@ -250,21 +242,16 @@ def _finish(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- windowed telemetry
 
 def tick_trends(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_window=WEAR_WINDOW,
-                every: int = EMIT_EVERY, cap: int = SAMPLE_CAP, hot_rows: int | None = None) -> DataFrame:
+                every: int = EMIT_EVERY, cap: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """Every known signal of an asset evaluated at each of the asset's ticks."""
     fluid_us, wear_us = interval_us(fluid_window), interval_us(wear_window)
     wear = F.col("signal").startswith("wear_")
     found = signals(telemetry).withColumn("width", F.when(wear, wear_us).otherwise(fluid_us).cast("long"))
-    # One row per asset and signal, used three times below; written once, it is read cheaply.
-    ensure_checkpoint_dir(telemetry.sparkSession)
+    # One row per asset and signal.
     known = (
-        found.groupBy("asset_id", "signal", "width", slot(micros(F.col("ts")), F.col("width")).alias("slice"))
-        .agg(F.count("*").alias("n"), F.min(F.struct("ts", "seq")).alias("since"),
-             F.min("unit").alias("unit"), F.max("unit").alias("other_unit"))
-        .groupBy("asset_id", "signal", "width")
-        .agg(F.max("n").alias("most"), F.min("since").alias("since"), F.max("other_unit").alias("unit"),
-             (F.min("unit") != F.max("other_unit")).alias("mixed_units"))
-        .checkpoint()
+        found.groupBy("asset_id", "signal", "width")
+        .agg(F.min(F.struct("ts", "seq")).alias("since"), F.max("unit").alias("unit"),
+             (F.min("unit") != F.max("unit")).alias("mixed_units"))
     )
     events = (
         telemetry.filter(filled(F.col("asset.asset_id")))
@@ -275,8 +262,7 @@ def tick_trends(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_window=WEA
         .filter(F.col("since") <= F.struct("ts", "seq"))
         .select("asset_id", "signal", "ts", "seq", "width")
     )
-    dense = known.filter(F.col("most") > cap // 2).select("asset_id", "signal")
-    return trends_at(found, requests, dense, cap=cap, hot_rows=hot_rows).join(
+    return trends_at(found, requests, cap=cap, hot_rows=hot_rows).join(
         known.select("asset_id", "signal", "unit", "mixed_units"), ["asset_id", "signal"]
     )
 
@@ -324,7 +310,7 @@ def enrich_consumables(trends: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def windowed_telemetry(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_window=WEAR_WINDOW,
-                       every: int = EMIT_EVERY, cap: int = SAMPLE_CAP,
+                       every: int = EMIT_EVERY, cap: int | None = None,
                        edge_id: str = "edge-01", region_id: str = "region-01",
                        producer_id: str = "edge-windows") -> DataFrame:
     """One record per tick: fluid map, rounds and wear arrays, fault codes, window spec.

@@ -218,6 +218,10 @@ def extract_reading(spark, sf_dir):
         .when(k % 5 == 3, F.to_json(F.struct(F.lit("12.5").alias("temperature"), "value")))
         .otherwise("{}")
     )
+    odd = [
+        '{"temperature":"0","value":9}', '{"temperature":true}', '{"value":"12d"}', '{"temperature":[],"value":4}', '{"temperature":{"a":1},"value":4}',
+    ]
+    data = F.when(F.col("seq") % 7 == 0, F.element_at(F.array(*map(F.lit, odd)), (k % 5 + 1).cast("int"))).otherwise(data)
     return routing.extract_reading(e.select("seq", data.alias("data"))).select("seq", r6("reading").alias("reading"))
 
 
@@ -440,6 +444,26 @@ def wear_trends(spark, sf_dir):
     return found.withColumn("mean_rul_remaining", r6("mean_rul_remaining"))
 
 
+@query
+def wear_trends_ordered(spark, sf_dir):
+    """Wear trends as an ordered array per region, with the place of each entry."""
+    found = regional.ordered_wear_trends(regional.wear_trends(regional.wear_latest(tv.envelopes(spark, sf_dir))))
+    return found.select("region_id", F.posexplode("wear_trends").alias("place", "t")).select(
+        "region_id", _long("place"), "t.component_id", "t.unit", r6("t.mean_rul_remaining").alias("mean_rul_remaining"), "t.asset_count",
+    )
+
+
+@query
+def connection_states(spark, sf_dir):
+    """Lost and restored connections from cloud events whose types carry namespace and prefix."""
+    e = tv.events(spark, sf_dir)
+    kind = (
+        F.when(F.col("kind") == "error", "fleet.sensor.Connection_Lost").when(F.col("kind") == "signup", "fleet.sensor.Connection_Restored")
+        .when(F.col("kind") == "view", "Connection_Lost").otherwise(F.col("kind"))
+    )
+    return routing.connection_states(e.select("seq", kind.alias("type"))).select("seq", "state")
+
+
 @query
 def stamped_rollup(spark, sf_dir):
     """Fleet summary with the provenance of the rollup."""
@@ -509,6 +533,13 @@ def ewma(spark, sf_dir):
     return thermal.ewma(tv.events(spark, sf_dir), "value").select("asset_id", "seq", r6("ewma").alias("ewma"))
 
 
+@query
+def ewma_spike(spark, sf_dir):
+    """The average after rare, very large values: every earlier row still counts, as powers of ten show."""
+    e = tv.events(spark, sf_dir).withColumn("value", (F.col("value") + 1) * F.when(F.col("seq") % 500 == 0, 1e20).otherwise(1.0))
+    return thermal.ewma(e, "value").select("asset_id", "seq", r6(F.log10("ewma")).alias("log_ewma"))
+
+
 @query
 def sample_delta(spark, sf_dir):
     return thermal.sample_delta(tv.events(spark, sf_dir), "value").select("asset_id", "seq", r6("rate").alias("rate"))

@@ -289,7 +289,9 @@ SELECT user_id AS device, seq, kind AS type, CAST(86400 AS BIGINT) AS window_sec
   85.0::DOUBLE AS critical_threshold FROM e WHERE kind <> 'error'""")
 _add("extract_reading", BASE, """
 SELECT seq, CASE k % 5 WHEN 3 THEN 12.5::DOUBLE ELSE round(value, 6) END AS reading
-FROM e WHERE k % 5 IN (1, 3) OR (k % 5 = 0 AND value <> 0)""")
+FROM e WHERE seq % 7 <> 0 AND (k % 5 IN (1, 3) OR (k % 5 = 0 AND value <> 0))
+UNION ALL
+SELECT seq, CASE k % 5 WHEN 0 THEN 0.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 4.0::DOUBLE END FROM e WHERE seq % 7 = 0 AND k % 5 IN (0, 1, 3)""")
 _add("route_region", (BASE, REGISTRY, CM), """
 SELECT asset_id, seq, region_id FROM cm_resolved WHERE region_id = 'region-1'""")
 _add("guard_region", BASE, """
@@ -400,6 +402,10 @@ WHERE rank <= 5 AND a.logistics_severity > 1 GROUP BY 1, 2, 3""")
 _add("wear_trends", REGIONAL, """
 SELECT region_id, component_id, unit, round(avg(rul), 6) AS mean_rul_remaining, count(*) AS asset_count
 FROM wear GROUP BY region_id, component_id, unit""")
+_add("wear_trends_ordered", REGIONAL, """
+SELECT region_id, row_number() OVER (PARTITION BY region_id ORDER BY component_id, unit) - 1 AS place, component_id, unit,
+  round(avg(rul), 6) AS mean_rul_remaining, count(*) AS asset_count
+FROM wear GROUP BY region_id, component_id, unit""")
 _add("stamped_rollup", (*REGIONAL, _SUMMARY), """
 SELECT region_id, asset_count, epoch_us(TIMESTAMP '2024-02-01 00:00:00') AS observed_us,
   'regional-aggregator' AS producer_id, 'U' AS classification FROM summary""")
@@ -456,6 +462,13 @@ _add("ewma", BASE, """
 SELECT asset_id, seq, round(list_reduce(
   list(value) OVER (PARTITION BY asset_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING),
   lambda a, x: 0.2::DOUBLE * x + 0.8::DOUBLE * a), 6) AS ewma FROM e""")
+_add("ewma_spike", BASE, """
+SELECT asset_id, seq, round(log10(list_reduce(
+  list((value + 1) * CASE WHEN seq % 500 = 0 THEN 1e20::DOUBLE ELSE 1.0::DOUBLE END)
+    OVER (PARTITION BY asset_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING),
+  lambda a, x: 0.2::DOUBLE * x + 0.8::DOUBLE * a)), 6) AS log_ewma FROM e""")
+_add("connection_states", BASE, """
+SELECT seq, CASE kind WHEN 'signup' THEN 'restored' ELSE 'lost' END AS state FROM e WHERE kind IN ('error', 'signup', 'view')""")
 _add("sample_delta", BASE, """
 SELECT asset_id, seq, round(value - coalesce(nullif(lag(value) OVER (PARTITION BY asset_id ORDER BY ts, seq), 0), value), 6)
   AS rate FROM e""")

@@ -2,6 +2,11 @@
 
 Functions return streaming DataFrames where Spark keeps the state, and started queries where
 a table is kept through ``foreachBatch``.
+
+``delay`` says how late an event may come: the watermark trails the newest event time by it. What
+arrives later than that is dropped, and timers fire that much later. There is no default, since
+any default would drop rows of some source. Jobs without ``delay`` take rows of a key in the order
+of event time within a batch and keep every row.
 """
 
 from __future__ import annotations
@@ -11,32 +16,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from convoy.functions.common import micros
-from convoy.operators import alerts, regional, routing, trends, usage
+from convoy.operators import alerts, regional, routing, thermal, trends, usage
 from convoy.sources.tables import BatchTable, LatestTable, SnapshotTable
-from convoy.streaming.processors import LifetimeUsage, OfflineTimer, TickTrends, TumblingMean
+from convoy.streaming.processors import LifetimeUsage, OfflineTimer, SampleDelta, TickTrends, TumblingMean
 
 HEARTBEAT = "30 seconds"
 
 
 def _timed(df: DataFrame, delay: str) -> DataFrame:
-    rows = df.withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = df.withColumns({"ts": F.col("ts").cast("timestamp"), "device": F.col("device").cast("string")})
     return rows.withColumn("us", micros(F.col("ts"))).withWatermark("ts", delay)
 
 
 # ---------------------------------------------------------------- state kept by Spark
 
-def stream_tumbling_mean(readings: DataFrame, window: str, delay: str = "0 seconds") -> DataFrame:
+def stream_tumbling_mean(readings: DataFrame, window: str, delay: str) -> DataFrame:
     """Final mean per device and window, emitted once the watermark has passed the window."""
     return routing.tumbling_mean(_timed(readings, delay), window)
 
 
-def stream_tumbling_alerts(readings: DataFrame, delay: str = "0 seconds", per_type: bool = True) -> DataFrame:
+def stream_tumbling_alerts(readings: DataFrame, delay: str, per_type: bool = True) -> DataFrame:
     rows = _timed(readings, delay).withColumn("group_type", F.col("type") if per_type else F.lit(""))
     return rows.groupBy("device").transformWithState(TumblingMean(), TumblingMean.OUTPUT, "Append", "EventTime")
 
 
-def stream_offline(connections: DataFrame, timeout_seconds: int = routing.OFFLINE_TIMEOUT_SECONDS,
-                   delay: str = "0 seconds") -> DataFrame:
+def stream_offline(connections: DataFrame, delay: str,
+                   timeout_seconds: int = routing.OFFLINE_TIMEOUT_SECONDS) -> DataFrame:
     rows = _timed(connections, delay).select("device", "ts", "us", "seq", "state")
     return rows.groupBy("device").transformWithState(
         OfflineTimer(timeout_seconds), OfflineTimer.OUTPUT, "Append", "EventTime"
@@ -50,8 +55,18 @@ def stream_wear(telemetry: DataFrame, fired: Column | None = None) -> DataFrame:
     return rows.groupBy("asset_id").transformWithState(LifetimeUsage(), LifetimeUsage.OUTPUT, "Append", "None")
 
 
+def stream_anomalies(telemetry: DataFrame) -> DataFrame:
+    """Thermal runaways; feed them to ``anomaly_events``. The state is the last temperature of an asset."""
+    rows = thermal.thermal_samples(thermal.event_view(telemetry)).select(
+        "asset_id", "seq", micros(F.col("ts")).alias("us"), micros(F.col("sample_time")).alias("sample_us"),
+        "component_temp_k", "ambient_temp_k",
+    )
+    rated = rows.groupBy("asset_id").transformWithState(SampleDelta(), SampleDelta.OUTPUT, "Append", "None")
+    return thermal.runaways(rated.withColumns({"ts": F.timestamp_micros("us"), "sample_time": F.timestamp_micros("sample_us")}))
+
+
 def stream_trends(telemetry: DataFrame, fluid_window=trends.FLUID_WINDOW, wear_window=trends.WEAR_WINDOW,
-                  every: int = trends.EMIT_EVERY, cap: int = trends.SAMPLE_CAP) -> DataFrame:
+                  every: int = trends.EMIT_EVERY, cap: int | None = None) -> DataFrame:
     """Trends of every signal at each tick of an asset."""
     wear_us, fluid_us = trends.interval_us(wear_window), trends.interval_us(fluid_window)
     def width(sample: Column) -> Column:

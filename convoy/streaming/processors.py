@@ -10,6 +10,7 @@ import math
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -22,7 +23,7 @@ class TumblingMean(StatefulProcessor):
     """Mean of a device's window after each event; a window is kept for its own length again."""
 
     OUTPUT = (
-        "device bigint, type string, seq bigint, us bigint, window_us bigint, n bigint, mean double, "
+        "device string, type string, seq bigint, us bigint, window_us bigint, n bigint, mean double, "
         "critical_threshold double"
     )
 
@@ -62,7 +63,7 @@ class TumblingMean(StatefulProcessor):
 class OfflineTimer(StatefulProcessor):
     """Alerts when no restore follows a lost connection within the timeout."""
 
-    OUTPUT = "device bigint, seq bigint, lost_us bigint, detected_us bigint"
+    OUTPUT = "device string, seq bigint, lost_us bigint, detected_us bigint"
 
     def __init__(self, timeout_seconds: int) -> None:
         self.timeout_us = timeout_seconds * 1_000_000
@@ -150,20 +151,21 @@ class TickTrends(StatefulProcessor):
         "r_squared double, latest double, latest_us bigint, window_start_us bigint"
     )
 
-    def __init__(self, every: int, cap: int) -> None:
+    def __init__(self, every: int, cap: int | None) -> None:
         self.every = every
         self.cap = cap
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.events = handle.getValueState("events", "n bigint")
+        self.events = handle.getValueState("events", "n bigint, clock bigint")
         self.buffers = handle.getMapState(
             "buffers", "signal string", "us array<bigint>, value array<double>, width bigint"
         )
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         buffers = {s[0]: (list(v[0]), list(v[1]), v[2]) for s, v in self.buffers.iterator()}
-        n = self.events.get()[0] if self.events.exists() else 0
+        n, clock = self.events.get() if self.events.exists() else (0, 0)
         for row in in_order(rows):
+            clock = max(clock, row.us)
             for signal, reading, width in zip(row.signals, row.readings, row.widths):
                 times, values, _ = buffers.setdefault(signal, ([], [], width))
                 times.append(row.us)
@@ -175,30 +177,55 @@ class TickTrends(StatefulProcessor):
                     if found is not None:
                         yield Row(asset_id=key[0], seq=row.seq, us=row.us, signal=signal, **found)
         for signal, (times, values, width) in buffers.items():
-            start = max(len(times) - self.cap, 0)
-            while start < len(times) and times[start] < times[-1] - width:
-                start += 1
-            self.buffers.updateValue((signal,), (times[start:], values[start:], width))
-        self.events.update((n,))
+            # The asset's clock decides what can still be in a window, so silent signals leave the state.
+            kept = [i for i in range(max(0, len(times) - (self.cap or len(times))), len(times)) if times[i] >= clock - width]
+            if kept:
+                self.buffers.updateValue((signal,), ([times[i] for i in kept], [values[i] for i in kept], width))
+            elif self.buffers.containsKey((signal,)):
+                self.buffers.removeKey((signal,))
+        self.events.update((n, clock))
 
     def close(self) -> None:
         pass
 
 
-def fit(times: list[int], values: list[float], start: int, end: int, cap: int) -> dict | None:
-    """Least squares over the newest ``cap`` samples inside [start, end]; None below two."""
-    kept = [(t, v) for t, v in zip(times[-cap:], values[-cap:]) if start <= t <= end]
-    n = len(kept)
-    if n < 2:
+def fit(times: list[int], values: list[float], start: int, end: int, cap: int | None) -> dict | None:
+    """Least squares over the samples inside [start, end], of the newest ``cap`` if given; None below two."""
+    first = max(0, len(times) - (cap or len(times)))
+    at, readings = np.array(times[first:], np.int64), np.array(values[first:], float)
+    inside = (at >= start) & (at <= end)
+    at, readings = at[inside], readings[inside]
+    if len(at) < 2:
         return None
-    hours = [(t - kept[0][0]) / 3.6e9 for t, _ in kept]
-    mx, my = math.fsum(hours) / n, math.fsum(v for _, v in kept) / n
-    sxx = math.fsum((h - mx) ** 2 for h in hours)
-    syy = math.fsum((v - my) ** 2 for _, v in kept)
-    sxy = math.fsum((h - mx) * (v - my) for h, (_, v) in zip(hours, kept))
+    hours = (at - at[0]) / 3.6e9
+    dx, dy = hours - hours.mean(), readings - readings.mean()
+    sxx, syy, sxy = float(dx @ dx), float(dy @ dy), float(dx @ dy)
+    if not np.ptp(readings):
+        syy = sxy = 0.0
     return {
-        "n": n,
+        "n": len(at),
         "slope_per_hour": sxy / sxx if sxx > 0 else 0.0,
         "r_squared": min(1.0, sxy * sxy / (sxx * syy)) if sxx > 0 and syy > 0 else 0.0,
-        "latest": kept[-1][1], "latest_us": kept[-1][0], "window_start_us": kept[0][0],
+        "latest": float(readings[-1]), "latest_us": int(at[-1]), "window_start_us": int(at[0]),
     }
+
+
+class SampleDelta(StatefulProcessor):
+    """Change of a value since the row before; 0 on the first and after a value of 0."""
+
+    OUTPUT = "asset_id string, seq bigint, us bigint, sample_us bigint, component_temp_k double, ambient_temp_k double, rate_k_per_sample double"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "value double")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        last = self.last.get()[0] if self.last.exists() else 0.0
+        for row in in_order(rows):
+            rate = row.component_temp_k - (last or row.component_temp_k)
+            last = row.component_temp_k
+            yield Row(asset_id=key[0], seq=row.seq, us=row.us, sample_us=row.sample_us, component_temp_k=last,
+                      ambient_temp_k=row.ambient_temp_k, rate_k_per_sample=rate)
+        self.last.update((last,))
+
+    def close(self) -> None:
+        pass

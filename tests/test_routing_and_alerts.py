@@ -30,6 +30,9 @@ def test_routing(spark):
     ('{"temperature": 5.5}', 5.5), ('{"temperature": 0, "value": 7}', 7.0), ('{"temperature": 0.0}', None),
     ('{"value": 0}', 0.0), ('{"value": "abc"}', None), ('{"temperature": "12.5", "value": 1}', 12.5),
     ('{"temperature": "abc", "value": 1}', None), ('{"temperature": null, "value": 3}', 3.0), ("{}", None), ("oops", None),
+    ('{"temperature":"0","value":9}', 0.0), ('{"temperature":true}', 1.0), ('{"value":"12d"}', None), ('{"temperature":[],"value":4}', 4.0),
+    ('{"temperature":{},"value":"5"}', 5.0), ('{"temperature":[1],"value":4}', None), ('{"temperature":false,"value":false}', 0.0),
+    ('{"temperature":"","value":6}', 6.0), ('{"temperature":1e3}', 1000.0), ("[1]", None), (None, None),
 ])
 def test_reading(spark, data, expected):
     out = routing.extract_reading(spark.createDataFrame([(data,)], "data string")).collect()

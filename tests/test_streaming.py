@@ -1,10 +1,14 @@
 """A stream over the same rows, split into several files, gives what the batch operator gives."""
 
+import json
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
-from convoy.operators import alerts, regional, routing, trends, usage
+from convoy.operators import alerts, regional, routing, thermal, trends, usage
 from convoy.plans import testviews as tv
+from convoy.sources import readers
 from convoy.sources.tables import BatchTable, LatestTable
 from convoy.streaming import jobs
 
@@ -38,6 +42,10 @@ def tv_order():
     return Window.orderBy("ts", "seq")
 
 
+def text_device():
+    return F.col("device").cast("string")
+
+
 def rows(df, *columns):
     return sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.select(*columns).collect())
 
@@ -45,27 +53,27 @@ def rows(df, *columns):
 def test_offline(spark, run):
     as_stream, collect, _ = run
     source = tv.connections(spark, SF)
-    streamed = collect(jobs.stream_offline(as_stream(source, "conn"), tv.OFFLINE_SECONDS), "offline_out")
+    streamed = collect(jobs.stream_offline(as_stream(source, "conn"), "0 seconds", tv.OFFLINE_SECONDS), "offline_out")
     end = source.agg(F.max(F.unix_micros("ts"))).first()[0]
     batch = routing.offline_alerts(source, tv.OFFLINE_SECONDS).withColumn("detected_us", F.unix_micros("detected_at"))
-    due = rows(batch.filter(F.col("detected_us") < end - 1000), "device", "seq", "detected_us")
+    due = rows(batch.filter(F.col("detected_us") < end - 1000), text_device(), "seq", "detected_us")
     assert due and due == [r for r in rows(streamed, "device", "seq", "detected_us") if r[2] < end - 1000]
 
 
 def test_tumbling_alerts(spark, run):
     as_stream, collect, _ = run
     source = routing.extract_reading(routing.route_by_config(tv.readings(spark, SF), tv.SENSORS))
-    streamed = collect(jobs.stream_tumbling_alerts(as_stream(source, "read"), per_type=False), "tumbling_out")
+    streamed = collect(jobs.stream_tumbling_alerts(as_stream(source, "read"), "0 seconds", per_type=False), "tumbling_out")
     batch = routing.tumbling_alerts(source, per_type=False)
-    assert rows(streamed, "device", "seq", "n", "mean") == rows(batch, "device", "seq", "n", "mean") != []
+    assert rows(streamed, "device", "seq", "n", "mean") == rows(batch, text_device(), "seq", "n", "mean") != []
 
 
 def test_tumbling_mean(spark, run):
     as_stream, collect, _ = run
     source = routing.extract_reading(routing.route_by_config(tv.readings(spark, SF), tv.SENSORS))
-    streamed = rows(collect(jobs.stream_tumbling_mean(as_stream(source, "mean"), "1 day"), "mean_out"),
+    streamed = rows(collect(jobs.stream_tumbling_mean(as_stream(source, "mean"), "1 day", "0 seconds"), "mean_out"),
                     "device", F.col("window_start").cast("long"), "n", "mean")
-    batch = rows(routing.tumbling_mean(source, "1 day"), "device", F.col("window_start").cast("long"), "n", "mean")
+    batch = rows(routing.tumbling_mean(source, "1 day"), text_device(), F.col("window_start").cast("long"), "n", "mean")
     last = max(r[1] for r in batch)
     assert [r for r in streamed if r[1] < last] == [r for r in batch if r[1] < last]
 
@@ -89,6 +97,63 @@ def test_trends(spark, run):
     assert rows(streamed, *names) == rows(batch, *names)
 
 
+def write_events(folder, batches):
+    """Cloud events as JSON lines, a file for each micro-batch."""
+    folder.mkdir()
+    for number, events in enumerate(batches):
+        lines = [
+            json.dumps({"id": i, "source": d, "type": t, "time": f"2024-01-01T00:{s // 60:02d}:{s % 60:02d}Z", "data": json.dumps(data)})
+            for i, d, t, s, data in events
+        ]
+        path = folder / f"{number}.json"
+        path.write_text("\n".join(lines))
+        os.utime(path, (1_700_000_000 + number, 1_700_000_000 + number))
+
+
+def test_offline_from_cloud_events(spark, run):
+    """Text ids, and a restore that comes two batches after its loss, though only five seconds later in event time."""
+    _, collect, tmp = run
+    lost, restored = "fleet.sensor.Connection_Lost", "Connection_Restored"
+    write_events(tmp / "events", [
+        [("1", "radar-1", lost, 0, {}), ("2", "radar-2", lost, 1, {})],
+        [("3", "radar-3", lost, 40, {}), ("x", "radar-1", "other", 41, {})],
+        [("4", "radar-1", restored, 5, {}), ("5", "radar-3", restored, 80, {})],
+        [("6", "radar-9", lost, 600, {})],
+        [("7", "radar-9", restored, 601, {})],
+    ])
+    source = routing.connection_states(readers.read_cloud_events(spark, str(tmp / "events"), stream=True, maxFilesPerTrigger="1"))
+    streamed = collect(jobs.stream_offline(source, "1 minute"), "late_out")
+    batch = routing.offline_alerts(routing.connection_states(readers.read_cloud_events(spark, str(tmp / "events"))))
+    assert rows(streamed, "device") == rows(batch, "device") == [("radar-2",)]
+
+
+def test_tumbling_from_cloud_events(spark, run):
+    _, collect, tmp = run
+    kind = "fleet.sensor.temperature"
+    write_events(tmp / "events", [
+        [("1", "radar-1", kind, 0, {"temperature": 90}), ("2", "radar-1", kind, 3, {"temperature": "80"})],
+        [("3", "radar-1", kind, 9, {"value": 99}), ("4", "radar-2", kind, 4, {"temperature": 10})],
+        [("5", "radar-2", kind, 5, {"temperature": 200})],
+    ])
+    sensors = routing.namespaced()
+
+    def read(stream):
+        events = readers.read_cloud_events(spark, str(tmp / "events"), stream=stream, **({"maxFilesPerTrigger": "1"} if stream else {}))
+        return routing.extract_reading(routing.route_by_config(events, sensors))
+
+    streamed = collect(jobs.stream_tumbling_alerts(read(True), "1 minute"), "tumble_out")
+    assert rows(streamed, "device", "n", "mean") == rows(routing.tumbling_alerts(read(False)), "device", "n", "mean") != []
+
+
+def test_anomalies(spark, run):
+    as_stream, collect, _ = run
+    source = tv.telemetry(spark, SF)
+    streamed = collect(jobs.stream_anomalies(as_stream(source, "hot")), "hot_out")
+    batch = thermal.thermal_runaway(thermal.event_view(source))
+    names = ("asset_id", "seq", "summary", F.col("detected_at").cast("long"))
+    assert rows(streamed, *names) == rows(batch, *names) != []
+
+
 def test_latest_state_and_alerts(spark, run):
     as_stream, _, tmp = run
     source = tv.events(spark, SF)
