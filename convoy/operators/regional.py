@@ -17,7 +17,9 @@ from convoy.operators.ordered import last_value, ordered_groups
 LOOKUP_ATTEMPTS = 3
 LOOKUP_DELAY_US = 200_000
 TOP_FACTORS = 10
+PRODUCER = "regional-aggregator"
 
+# The names of the payloads.
 LOGISTICS, SUSTAINMENT = "logistics_status", "derived_sustainment"
 WINDOWS, CM_STATE = "asset_telemetry_windows", "asset_cm_state_json"
 
@@ -98,25 +100,31 @@ def wrap(df: DataFrame, payload_type: str, payload: Column, asset_id: Column,
     )
 
 
+def _message(df: DataFrame) -> Column:
+    """The whole message; readers prune what they do not need."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def wrap_logistics(logistics: DataFrame, region_id: Column | str) -> DataFrame:
-    payload = F.struct("status", "provenance")
+    payload = _message(logistics)
     return wrap(logistics, LOGISTICS, payload, F.col("status.asset_id"), F.col("provenance.edge_id"), region_id)
 
 
 def wrap_cm_state(cm: DataFrame, region_id: Column | str) -> DataFrame:
-    payload = F.to_json(F.struct("asset_id", "edge_id", "overall_status", "lifecycle"))
+    payload = F.to_json(_message(cm))
     return wrap(cm, CM_STATE, payload, F.col("asset_id"), F.col("edge_id"), region_id)
 
 
 def wrap_sustainment(derived: DataFrame, edge_id: Column | str, region_id: Column | str) -> DataFrame:
     payload = F.struct(
-        F.col("asset.asset_id").alias("asset_id"), F.col("sustainment.wear.components").alias("components")
+        F.col("asset.asset_id").alias("asset_id"), F.col("sustainment.wear.components").alias("components"),
+        _message(derived).alias("message"),
     )
     return wrap(derived, SUSTAINMENT, payload, F.col("asset.asset_id"), edge_id, region_id)
 
 
 def wrap_windows(windows: DataFrame, edge_id: Column | str, region_id: Column | str) -> DataFrame:
-    payload = F.struct("asset_id", "window")
+    payload = _message(windows)
     return wrap(windows.withColumn("ts", F.col("computed_at")), WINDOWS, payload, F.col("asset_id"),
                 edge_id, region_id)
 
@@ -301,7 +309,7 @@ def stamp_provenance(rollup: DataFrame, observed_at: Column) -> DataFrame:
     return rollup.withColumns({
         "observed_at": observed_at,
         "provenance": F.struct(
-            F.lit("regional-aggregator").alias("producer_id"), F.col("region_id"),
+            F.lit(PRODUCER).alias("producer_id"), F.col("region_id"),
             observed_at.alias("ingest_time"), F.lit("U").alias("classification"),
         ),
     })

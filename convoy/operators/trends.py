@@ -257,8 +257,10 @@ def tick_trends(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_window=WEA
         telemetry.filter(filled(F.col("asset.asset_id")))
         .select(F.col("asset.asset_id").alias("asset_id"), "ts", "seq")
     )
+    # An event that came twice and is a tick both times counts once.
+    ticks = emit_ticks(events, every, hot_rows=hot_rows).dropDuplicates(["asset_id", "ts", "seq"])
     requests = (
-        emit_ticks(events, every, hot_rows=hot_rows).join(known, "asset_id")
+        ticks.join(known, "asset_id")
         .filter(F.col("since") <= F.struct("ts", "seq"))
         .select("asset_id", "signal", "ts", "seq", "width")
     )
@@ -296,16 +298,22 @@ def pair_wear_trends(trends: DataFrame) -> DataFrame:
     )
 
 
-def enrich_consumables(trends: DataFrame, events: DataFrame) -> DataFrame:
-    """Rounds trend per slot with the capacity and stock number the tick's event states."""
-    item = F.try_element_at(F.col("items"), F.col("slot_key"))
+def _consumable(items: Column, slot_key: Column, remaining: Column) -> Column:
+    """A rounds trend with the capacity and stock number that the tick's event states."""
+    item = F.try_element_at(items, slot_key)
+    return F.struct(slot_key.alias("slot_key"), remaining.alias("remaining"),
+                    item["quantity_capacity"].alias("capacity"), item["nsn"].alias("nsn"))
+
+
+def enrich_consumables(trends: DataFrame, ticks: DataFrame) -> DataFrame:
+    """Rounds trend per slot, enriched from the events of the ticks (asset_id, ts, seq, items)."""
     return (
         trends.filter(F.col("signal").startswith(AMMO) & (F.col("n") >= 2))
         .select("asset_id", "ts", "seq", F.split("signal", ":", 2)[1].alias("slot_key"),
                 scalar_trend(F.col("unit")).alias("remaining"))
-        .join(events.select("asset_id", "seq", "items"), ["asset_id", "seq"])
-        .select("asset_id", "ts", "seq", "slot_key", "remaining",
-                item["quantity_capacity"].alias("capacity"), item["nsn"].alias("nsn"))
+        .join(ticks.select("asset_id", "ts", "seq", "items"), ["asset_id", "ts", "seq"])
+        .select("asset_id", "ts", "seq", _consumable(F.col("items"), F.col("slot_key"), F.col("remaining")).alias("c"))
+        .select("asset_id", "ts", "seq", "c.*")
     )
 
 
@@ -315,7 +323,8 @@ def windowed_telemetry(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_win
                        producer_id: str = "edge-windows") -> DataFrame:
     """One record per tick: fluid map, rounds and wear arrays, fault codes, window spec.
 
-    Sample count and window start come from the fluid trends alone.
+    Sample count and window start come from the fluid trends alone. ``mixed_units`` names the
+    signals whose samples state more than one unit, so that their trends can be told apart.
     """
     trends = tick_trends(telemetry, fluid_window, wear_window, every, cap)
     trend = scalar_trend(F.col("unit"))
@@ -332,18 +341,19 @@ def windowed_telemetry(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_win
                               F.struct(name.alias("component_key"), trend.alias("trend")))).alias("rul"),
         F.sum(F.when(fluid, F.col("n")).otherwise(0)).alias("sample_count"),
         F.min(F.when(fluid, F.col("window_start_us"))).alias("start_us"),
+        F.array_sort(F.collect_set(F.when(F.col("mixed_units"), F.col("signal")))).alias("mixed_units"),
     )
-    events = telemetry.select(
-        F.col("asset.asset_id").alias("asset_id"), "seq",
+    events = telemetry.filter(filled(F.col("asset.asset_id"))).select(
+        F.col("asset.asset_id").alias("asset_id"), "ts", "seq",
         F.coalesce("asset.platform_variant", F.lit("")).alias("platform_variant"),
         F.col("provenance.sample_time").alias("sample_time"),
         F.col("sustainment.consumables.items").alias("items"),
         F.col("sustainment.health.active_fault_codes").alias("faults"),
     )
+    ticks = emit_ticks(events, every).dropDuplicates(["asset_id", "ts", "seq"])
+
     def slot(a: Column) -> Column:
-        item = F.try_element_at(F.col("items"), a["slot_key"])
-        return F.struct(a["slot_key"].alias("slot_key"), a["remaining"].alias("remaining"),
-                        item["quantity_capacity"].alias("capacity"), item["nsn"].alias("nsn"))
+        return _consumable(F.col("items"), a["slot_key"], a["remaining"])
 
     def component(h: Column) -> Column:
         match = F.get(F.filter("rul", lambda r: r["component_key"] == h["component_key"]), F.lit(0))
@@ -357,7 +367,7 @@ def windowed_telemetry(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_win
 
     end_us = micros(F.col("ts"))
     start_us = F.coalesce("start_us", end_us)
-    return per_tick.join(events, ["asset_id", "seq"]).select(
+    return per_tick.join(ticks, ["asset_id", "ts", "seq"]).select(
         "asset_id", "seq", "platform_variant", F.col("ts").alias("computed_at"),
         F.struct(
             F.lit(producer_id).alias("producer_id"), F.col("sample_time"), F.col("ts").alias("ingest_time"),
@@ -371,4 +381,5 @@ def windowed_telemetry(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_win
             F.timestamp_micros(start_us).alias("window_start"), F.timestamp_micros(end_us).alias("window_end"),
             F.greatest(F.lit(0), end_us - start_us).alias("duration_us"), F.col("sample_count"),
         ).alias("window"),
+        "mixed_units",
     )

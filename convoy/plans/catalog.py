@@ -324,7 +324,7 @@ def pair_wear_trends(spark, sf_dir):
 def enrich_consumables(spark, sf_dir):
     telemetry = tv.telemetry(spark, sf_dir)
     events = telemetry.select(
-        F.col("asset.asset_id").alias("asset_id"), "seq", F.col("sustainment.consumables.items").alias("items")
+        F.col("asset.asset_id").alias("asset_id"), "ts", "seq", F.col("sustainment.consumables.items").alias("items")
     )
     found = trends.enrich_consumables(_tick_trends(spark, sf_dir), events)
     return found.select("asset_id", "seq", "slot_key", r6("remaining.slope.value").alias("slope"),
@@ -528,6 +528,39 @@ def windowed_telemetry(spark, sf_dir):
     )
 
 
+def _windowed(spark, sf_dir):
+    return trends.windowed_telemetry(tv.telemetry(spark, sf_dir), FLUID_WINDOW, WEAR_WINDOW)
+
+
+@query
+def windowed_consumables(spark, sf_dir):
+    """The rounds trends of the windowed records, entry by entry."""
+    rows = _windowed(spark, sf_dir).select("asset_id", "seq", F.explode("consumable_trends").alias("c"))
+    return rows.select("asset_id", "seq", "c.slot_key", r6("c.remaining.slope.value").alias("slope"), "c.capacity", "c.nsn")
+
+
+@query
+def windowed_wear(spark, sf_dir):
+    """The wear trends of the windowed records, entry by entry."""
+    rows = _windowed(spark, sf_dir).select("asset_id", "seq", F.explode("wear_trends").alias("w"))
+    return rows.select(
+        "asset_id", "seq", "w.component_key", r6("w.hours_in_service.slope.value").alias("hours_slope"),
+        r6("w.remaining_useful_life.slope.value").alias("rul_slope"), r6("w.remaining_useful_life.latest.value").alias("rul_latest"),
+    )
+
+
+@query
+def window_envelopes(spark, sf_dir):
+    """Windowed records as envelopes that carry the whole record."""
+    wrapped = regional.wrap_windows(_windowed(spark, sf_dir), "edge-1", "region-1")
+    record = F.col(regional.WINDOWS)
+    return wrapped.select(
+        "source_edge_id", "region_id", "asset_id", "seq", us("wrapped_at").alias("us"), "payload_type",
+        record["platform_variant"].alias("platform_variant"), record["provenance"]["producer_id"].alias("producer_id"),
+        F.size(record["consumable_trends"]).cast("long").alias("n_consumables"), record["window"]["sample_count"].alias("sample_count"),
+    )
+
+
 @query
 def ewma(spark, sf_dir):
     return thermal.ewma(tv.events(spark, sf_dir), "value").select("asset_id", "seq", r6("ewma").alias("ewma"))

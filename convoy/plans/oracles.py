@@ -458,6 +458,11 @@ SELECT p.asset_id, p.seq, p.us, 'v' || (t.k % 3) AS platform_variant, round(fuel
   CAST(CASE WHEN t.kind = 'error' THEN 1 ELSE 0 END AS BIGINT) AS n_faults,
   CAST(sample_count AS BIGINT) AS sample_count, start_us, p.us - start_us AS duration_us
 FROM per_tick p JOIN ticks t ON p.seq = t.seq""")
+ORACLES["windowed_consumables"] = ORACLES["enrich_consumables"]
+ORACLES["windowed_wear"] = ORACLES["pair_wear_trends"]
+ORACLES["window_envelopes"] = f"""
+SELECT 'edge-1' AS source_edge_id, 'region-1' AS region_id, asset_id, seq, us, 'asset_telemetry_windows' AS payload_type,
+  platform_variant, 'edge-windows' AS producer_id, n_consumables, sample_count FROM ({ORACLES["windowed_telemetry"]})"""
 _add("ewma", BASE, """
 SELECT asset_id, seq, round(list_reduce(
   list(value) OVER (PARTITION BY asset_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING),
