@@ -41,7 +41,7 @@ GRAM = 20
 REACH = LENGTH - GRAM  # bytes before a trigger that a string holding it may begin
 CONTEXT = REACH + LENGTH
 #: Bytes of text that a task gathers before it sends, and that one bucket of triggers stands for.
-FLUSH_BYTES = 16_000_000
+FLUSH_BYTES = 8_000_000
 BUCKET_BYTES = 8_000_000
 #: Strings that one sort holds.
 SORT_ROWS = 400_000
@@ -104,9 +104,20 @@ def _runs(keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """The low 48 bits of values, six bytes each."""
+    return np.ascontiguousarray(values.astype(np.uint64)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpack(data: bytes, n: int, start: int = 0) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8, 6 * n, start).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """Buckets in the order of the hashes."""
-    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    """Buckets in the order of the hashes, of which 48 bits are left."""
+    return ((hashes >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 def _by_key(keys: np.ndarray, *columns: np.ndarray):
@@ -133,6 +144,10 @@ def _batches(frames, columns: list[str]):
 
 
 # ---- 1. which triggers occur in two texts
+#
+# Hashes of triggers and texts travel with 48 bits. Triggers or replies that coincide by chance only
+# send a few phrases too many to step 2, where bytes decide; two texts of one trigger that coincide
+# (once in 2**48 pairs) would be taken for one.
 
 _SENT = "bucket long, reply boolean, a long, b long, data binary"
 
@@ -141,14 +156,18 @@ def _sent(rows: list) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["bucket", "reply", "a", "b", "data"])
 
 
+def _short(cls: int) -> int:
+    return cls & (1 << 48) - 1
+
+
 def _parse(buckets: int):
     def run(frames):
         for rows in _batches(frames, ["cls", "text"]):
             hashes, owners = [], []
             for cls, text in rows:
-                found = np.unique(triggers(_bytes_of(text))[1])
+                found = np.unique(triggers(_bytes_of(text))[1] >> np.uint64(16))
                 hashes.append(found)
-                owners.append(np.full(len(found), cls, np.int64))
+                owners.append(np.full(len(found), _short(cls), np.int64))
             hashes, owners = np.concatenate(hashes), np.concatenate(owners)
             order = np.lexsort((owners, hashes))
             hashes, owners = hashes[order], owners[order]
@@ -159,12 +178,12 @@ def _parse(buckets: int):
             shared = owners[starts] != owners[starts + counts - 1]
             # What two texts of the batch share is known here; it is sent once, marked as shared.
             mine = np.repeat(shared, counts)
-            out = [(cls % buckets, True, cls, 0, h.tobytes()) for cls, h in _by_key(owners[mine], hashes[mine])]
+            out = [(cls % buckets, True, cls, 0, _pack(h)) for cls, h in _by_key(owners[mine], hashes[mine])]
             firsts = hashes[starts]
             place = _bucket(firsts, buckets)
             cuts = _runs(place)
             for a, b in zip(cuts, [*cuts[1:], len(place)]):
-                data = firsts[a:b].tobytes() + owners[starts[a:b]].tobytes() + shared[a:b].tobytes()
+                data = _pack(firsts[a:b]) + _pack(owners[starts[a:b]]) + np.packbits(shared[a:b]).tobytes()
                 out.append((int(place[a]), False, int(b - a), 0, data))
             yield _sent(out)
 
@@ -174,9 +193,9 @@ def _parse(buckets: int):
 def _shared(group: pd.DataFrame) -> pd.DataFrame:
     hashes, owners, known = [], [], []
     for n, data in zip(group["a"][~group["reply"]], group["data"][~group["reply"]]):
-        hashes.append(np.frombuffer(data, np.uint64, n))
-        owners.append(np.frombuffer(data, np.int64, n, 8 * n))
-        known.append(np.frombuffer(data, bool, n, 16 * n))
+        hashes.append(_unpack(data, n))
+        owners.append(_unpack(data, n, 6 * n).astype(np.int64))
+        known.append(np.unpackbits(np.frombuffer(data, np.uint8, -1, 12 * n), count=n).astype(bool))
     out = [(int(cls), data) for cls, data in zip(group["a"][group["reply"]], group["data"][group["reply"]])]
     if hashes:
         hashes, owners, known = np.concatenate(hashes), np.concatenate(owners), np.concatenate(known)
@@ -186,30 +205,56 @@ def _shared(group: pd.DataFrame) -> pd.DataFrame:
         counts = np.diff([*starts, len(hashes)])
         hit = np.logical_or.reduceat(known, starts) | (owners[starts] != owners[starts + counts - 1])
         tell = np.repeat(hit, counts) & ~known
-        out += [(cls, np.unique(h).tobytes()) for cls, h in _by_key(owners[tell], hashes[tell])]
-    return pd.DataFrame(out, columns=["cls", "data"])
+        out += [(cls, _pack(np.unique(h))) for cls, h in _by_key(owners[tell], hashes[tell])]
+    return pd.DataFrame(out, columns=["short", "data"])
 
 
 # ---- 2. and 3. phrases of shared triggers, and what is removed
 
-_ENTRY = np.dtype([("h", "u8"), ("doc", "i8"), ("cls", "i8"), ("at", "i8"), ("key", "u8"), ("left", "u1"), ("right", "u1"), ("text", "u1", (CONTEXT,))])
+_SENT_ENTRY = [("doc", "i8"), ("row", "i8"), ("at", "i8"), ("left", "u1"), ("right", "u1"), ("text", "u1", (CONTEXT,))]
+_ENTRY = np.dtype([("h", "u8"), ("key", "u8"), *_SENT_ENTRY])
+_SENT_ENTRY = np.dtype(_SENT_ENTRY)
 
 
-def _entries(doc: int, cls: int, text: str, shared: np.ndarray) -> np.ndarray:
+def _entries(doc: int, row: int, text: str, shared: np.ndarray) -> np.ndarray:
+    """Phrases of the shared triggers of a text; ``row`` stands for id and text."""
     raw = _bytes_of(text)
     at, hashes = triggers(raw)
-    keep = np.isin(hashes, shared)
-    at, hashes = at[keep], hashes[keep]
+    at = at[np.isin(hashes >> np.uint64(16), shared)]
     out = np.zeros(len(at), _ENTRY)
-    out["h"], out["doc"], out["cls"], out["at"] = hashes, doc, cls, at
+    out["doc"], out["row"], out["at"] = doc, row, at
     out["left"], out["right"] = np.minimum(at, REACH), np.minimum(len(raw) - at, LENGTH)
     padded = np.concatenate([np.zeros(REACH, np.uint8), raw, np.zeros(LENGTH, np.uint8)])
     for a in range(0, len(at), 20_000):
         part = out[a: a + 20_000]
         part["text"] = padded[part["at"][:, None] + np.arange(CONTEXT)]
-        sums = part["text"].astype(np.uint64) @ _SPREAD[:CONTEXT] + part["left"] * _SPREAD[-2] + part["right"] * _SPREAD[-1]
+    return _keyed(out)
+
+
+def _keyed(entries: np.ndarray) -> np.ndarray:
+    """Fills in the hashes of trigger and phrase."""
+    for a in range(0, len(entries), 20_000):
+        part = entries[a: a + 20_000]
+        wide = part["text"].astype(np.uint64)
+        part["h"] = _mix(wide[:, REACH: REACH + GRAM] @ _UP[:GRAM])
+        sums = wide @ _SPREAD[:CONTEXT] + part["left"] * _SPREAD[-2] + part["right"] * _SPREAD[-1]
         part["key"] = _mix(_mix(sums) ^ part["h"])
-    return out
+    return entries
+
+
+def _send(entries: np.ndarray) -> bytes:
+    out = np.zeros(len(entries), _SENT_ENTRY)
+    for name in _SENT_ENTRY.names:
+        out[name] = entries[name]
+    return zlib.compress(out.tobytes(), 1)
+
+
+def _receive(data: bytes) -> np.ndarray:
+    sent = np.frombuffer(zlib.decompress(data), _SENT_ENTRY)
+    out = np.zeros(len(sent), _ENTRY)
+    for name in _SENT_ENTRY.names:
+        out[name] = sent[name]
+    return _keyed(out)
 
 
 def _span(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,40 +279,40 @@ def _smallest_first(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _replies(entries: np.ndarray, buckets: int) -> list:
     out = []
     if len(entries):
-        key = entries["cls"] * 31 + entries["doc"]
-        for _, part in _by_key(key, entries):
+        for row, part in _by_key(entries["row"], entries):
             pairs = _intervals(part)
             if len(pairs):
-                out.append((int(part["cls"][0] % buckets), True, int(part["doc"][0]), int(part["cls"][0]), pairs.tobytes()))
+                out.append((row % buckets, True, row, 0, merge(pairs).tobytes()))
     return out
 
 
 def _phrases(buckets: int):
     def run(frames):
-        for rows in _batches(frames, ["doc_id", "cls", "shared", "text"]):
+        for rows in _batches(frames, ["doc_id", "row", "shared", "text"]):
             parts = [
-                _entries(doc, cls, text, np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in shared])))
-                for doc, cls, shared, text in rows
+                _entries(doc, row, text, np.unique(np.concatenate([_unpack(x, len(x) // 6) for x in shared])))
+                for doc, row, shared, text in rows
             ]
             entries, smallest = _smallest_first(np.concatenate(parts))
             late = entries["doc"] > smallest
             out = _replies(entries[late], buckets)
             rest = entries[~late]
-            out += [(bucket, False, len(part), 0, zlib.compress(part.tobytes(), 1)) for bucket, part in _by_key(_bucket(rest["h"], buckets), rest)]
+            place = _bucket(rest["h"] >> np.uint64(16), buckets)
+            out += [(bucket, False, len(part), 0, _send(part)) for bucket, part in _by_key(place, rest)]
             yield _sent(out)
 
     return run
 
 
 def _removed(group: pd.DataFrame) -> pd.DataFrame:
-    out = [(doc, cls, data) for doc, cls, data in zip(group["a"][group["reply"]], group["b"][group["reply"]], group["data"][group["reply"]])]
-    parts = [np.frombuffer(zlib.decompress(data), _ENTRY) for data in group["data"][~group["reply"]]]
+    out = list(zip(group["a"][group["reply"]], group["data"][group["reply"]]))
+    parts = [_receive(data) for data in group["data"][~group["reply"]]]
     if parts:
         entries, smallest = _smallest_first(np.concatenate(parts))
         late = entries["doc"] > smallest
-        out += [(doc, cls, data) for _, _, doc, cls, data in _replies(entries[late], 1)]
+        out += [(row, data) for _, _, row, _, data in _replies(entries[late], 1)]
         out += _by_suffix(entries[~late])
-    return pd.DataFrame(out, columns=["doc_id", "cls", "data"])
+    return pd.DataFrame(out, columns=["row", "data"])
 
 
 def _by_suffix(entries: np.ndarray) -> list:
@@ -310,9 +355,8 @@ def _by_suffix(entries: np.ndarray) -> list:
     begin, end = np.searchsorted(pairs[:, 0], phrase, "left"), np.searchsorted(pairs[:, 0], phrase, "right")
     count = end - begin
     at = np.repeat(entries["at"], count) - pairs[np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum()), 1]
-    doc, cls = np.repeat(entries["doc"], count), np.repeat(entries["cls"], count)
     spans = np.stack([at, at + LENGTH], 1)
-    return [(int(d[0]), int(c[0]), merge(s).tobytes()) for _, d, c, s in _by_key(cls * 31 + doc, doc, cls, spans)]
+    return [(row, merge(part).tobytes()) for row, part in _by_key(np.repeat(entries["row"], count), spans)]
 
 
 def merge(spans: np.ndarray) -> np.ndarray:
@@ -360,27 +404,33 @@ def remove_repeats(documents: DataFrame, with_bytes: bool = False) -> DataFrame:
     narrow = cut(source.select("doc_id", "cls", F.octet_length("text").cast("long").alias("size")))
     total = narrow.agg(F.sum("size")).first()[0] or 0
     buckets = max(partitions_for(documents), ceil(total / BUCKET_BYTES))
-    known = source.filter(F.col("doc_id").isNotNull())
+    row = F.xxhash64("doc_id", "cls")
+    # Texts are shuffled once; both joins below read the same exchange.
+    dealt = source.select(row.alias("row"), "doc_id", "cls", "text").repartition("row")
+
+    def same_text(cls: str):
+        return F.col("cls").bitwiseXOR(F.col(cls)) == 0
 
-    sent = known.filter(F.octet_length("text") >= LENGTH).select("cls", "text").mapInPandas(_parse(buckets), _SENT)
-    shared = sent.groupBy("bucket").applyInPandas(_shared, "cls long, data binary")
-    shared = shared.groupBy("cls").agg(F.collect_list("data").alias("shared"))
+    sent = source.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).select("cls", "text").mapInPandas(_parse(buckets), _SENT)
+    shared = sent.groupBy("bucket").applyInPandas(_shared, "short long, data binary")
+    shared = shared.groupBy("short").agg(F.collect_list("data").alias("shared"))
     first = narrow.filter("doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("first"))
-    wanted = first.join(shared, "cls").select(F.col("cls").alias("c"), F.col("first").alias("d"), "shared")
+    wanted = first.withColumn("short", F.col("cls").bitwiseAND(F.lit((1 << 48) - 1))).join(shared, "short").select(
+        F.xxhash64("first", "cls").alias("of"), F.col("cls").alias("c"), "shared")
 
-    texts = known.join(wanted, (F.col("doc_id") == F.col("d")) & (F.col("cls") == F.col("c"))).select("doc_id", "cls", "shared", "text")
+    texts = dealt.join(wanted, F.col("row") == F.col("of")).filter(same_text("c")).select("doc_id", "row", "shared", "text")
     sent = texts.mapInPandas(_phrases(buckets), _SENT)
-    found = sent.groupBy("bucket").applyInPandas(_removed, "doc_id long, cls long, data binary")
-    found = found.groupBy(F.col("doc_id").alias("d"), F.col("cls").alias("c")).agg(F.collect_list("data").alias("data"))
+    found = sent.groupBy("bucket").applyInPandas(_removed, "row long, data binary")
+    found = found.groupBy(F.col("row").alias("of")).agg(F.collect_list("data").alias("data"))
 
     ids = narrow.filter("doc_id is not null").select("doc_id", "cls").distinct().join(first, "cls")
     marks = (
-        ids.join(found, (F.col("doc_id") == F.col("d")) & (F.col("cls") == F.col("c")), "left")
+        ids.withColumn("_row", row).join(found, F.col("_row") == F.col("of"), "left")
         .filter("doc_id > first or data is not null")
-        .select(F.col("doc_id").alias("i"), F.col("cls").alias("k"), (F.col("doc_id") > F.col("first")).alias("copy"), "data")
+        .select(F.col("_row").alias("of"), F.col("cls").alias("c"), (F.col("doc_id") > F.col("first")).alias("copy"), "data")
     )
     rows = (
-        source.join(marks, (F.col("doc_id") == F.col("i")) & (F.col("cls") == F.col("k")), "left")
+        dealt.join(marks, (F.col("row") == F.col("of")) & same_text("c"), "left")
         .select(F.col("doc_id").cast("string"), "text", F.coalesce("copy", F.lit(False)).alias("copy"), "data")
     )
     schema = "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * with_bytes

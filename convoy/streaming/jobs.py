@@ -11,14 +11,16 @@ of event time within a batch and keep every row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from convoy.functions.common import micros
+from convoy.functions.common import blank, filled, micros
 from convoy.operators import alerts, regional, routing, thermal, trends, usage
 from convoy.sources.tables import BatchTable, LatestTable, SnapshotTable
-from convoy.streaming.processors import LifetimeUsage, OfflineTimer, SampleDelta, TickTrends, TumblingMean
+from convoy.streaming.processors import LifetimeUsage, OfflineTimer, RegionHold, SampleDelta, TickTrends, TumblingMean
 
 HEARTBEAT = "30 seconds"
 
@@ -55,6 +57,24 @@ def stream_wear(telemetry: DataFrame, fired: Column | None = None) -> DataFrame:
     return rows.groupBy("asset_id").transformWithState(LifetimeUsage(), LifetimeUsage.OUTPUT, "Append", "None")
 
 
+def stream_resolve_region(events: DataFrame, registry: DataFrame, delay: str, attempts: int = regional.LOOKUP_ATTEMPTS,
+                          delay_us: int = regional.LOOKUP_DELAY_US) -> DataFrame:
+    """Events with their region, open ones filled from the registry as of their arrival and held for the
+    last lookup; those whose asset stays unknown are dropped. Columns are those of ``events``."""
+    stated = events.filter(filled(F.col("region_id")))
+    if attempts < 1:
+        return stated
+    at = {"ts": F.col("ts").cast("timestamp"), "us": micros(F.col("ts"))}
+    open_ = events.filter(blank(F.col("region_id")) & filled(F.col("asset_id"))).withColumn("event", F.to_json(F.struct("*")))
+    known = registry.filter(filled(F.col("asset_id")) & filled(F.col("region_id"))).withColumn("event", F.lit(None).cast("string"))
+    rows = reduce(DataFrame.unionByName, [
+        df.withColumns(at).select("asset_id", "ts", "us", "seq", "region_id", "event").withWatermark("ts", delay) for df in (open_, known)
+    ])
+    found = rows.groupBy("asset_id").transformWithState(RegionHold(attempts, delay_us), RegionHold.OUTPUT, "Append", "EventTime")
+    parsed = found.select("region_id", F.from_json("event", events.schema).alias("e"))
+    return stated.unionByName(parsed.select("e.*", F.col("region_id").alias("_found")).withColumn("region_id", F.col("_found")).drop("_found"))
+
+
 def stream_anomalies(telemetry: DataFrame) -> DataFrame:
     """Thermal runaways; feed them to ``anomaly_events``. The state is the last temperature of an asset."""
     rows = thermal.thermal_samples(thermal.event_view(telemetry)).select(

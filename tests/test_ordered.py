@@ -35,3 +35,19 @@ def test_hot_plan_broadcasts_only_carried_values(spark):
     chunk_sizes = groups.df.filter("_chunk > 0").groupBy("k", "_chunk").count().collect()
     assert {r["k"] for r in chunk_sizes} == {"a"}
     assert max(r["count"] for r in chunk_sizes) < 60
+
+
+def test_packed_parquet_is_split(spark, tmp_path):
+    """Rows are counted: a table whose file has far fewer bytes than rows is split all the same."""
+    path = str(tmp_path / "packed")
+    spark.range(200_000).select(F.lit("hot").alias("k"), F.lit(0).alias("t"), F.lit(1.0).alias("v")).coalesce(1).write.parquet(path)
+    groups = ordered_groups(spark.read.parquet(path), "k", ["t"], hot_rows=50_000)
+    assert groups.split
+    total = groups.with_running(n=running_count(), s=running_sum("v")).result().agg(F.max("n"), F.max("s"), F.count_distinct("n")).first()
+    assert tuple(total) == (200_000, 200_000.0, 200_000)
+
+
+def test_split_plan_shares_one_exchange(spark):
+    groups = ordered_groups(_rows(spark), "k", ["t"], hot_rows=20).with_running(p=previous_row(t=F.col("t"))).with_running(n=running_count())
+    plan = groups.result()._jdf.queryExecution().optimizedPlan().toString()
+    assert "ResolvedHint" not in plan and "broadcast" not in plan.lower()

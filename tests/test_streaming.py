@@ -145,6 +145,39 @@ def test_tumbling_from_cloud_events(spark, run):
     assert rows(streamed, "device", "n", "mean") == rows(routing.tumbling_alerts(read(False)), "device", "n", "mean") != []
 
 
+def test_region_with_hold(spark, run):
+    """The registry row may come shortly after the event, and in a later batch."""
+    _, collect, tmp = run
+    event = "asset_id string, region_id string, ms long, seq long, note string"
+    entry = "asset_id string, region_id string, edge_id string, ms long, seq long"
+    events = [
+        [("a", "", 1000, 1, "x"), ("b", "", 1000, 2, "y"), ("c", "given", 1000, 3, None)],
+        [("a", "", 5000, 4, "z"), ("d", "", 5000, 5, "w"), ("d", None, 5001, 6, "v")],
+        [("q", "", 90_000, 7, "end")], [("q", "", 190_000, 8, "end")],
+    ]
+    registry = [
+        [("a", "east", "e", 500, 1)], [("b", "west", "e", 1350, 2), ("a", "north", "e", 4000, 3), ("d", "late", "e", 5400, 4)],
+        [("z", "far", "e", 90_000, 5)], [("z", "far", "e", 190_000, 6)],
+    ]
+
+    def source(name, batches, ddl, stream):
+        folder = tmp / name
+        if not folder.exists():
+            for number, rows_ in enumerate(batches):
+                part = spark.createDataFrame(rows_, ddl).withColumn("ts", F.timestamp_millis("ms")).drop("ms")
+                part.coalesce(1).write.mode("append").parquet(str(folder))
+        reader = spark.readStream.option("maxFilesPerTrigger", 1) if stream else spark.read
+        return reader.schema(spark.read.parquet(str(folder)).schema).parquet(str(folder))
+
+    def both(stream):
+        return source("ev", events, event, stream), source("reg", registry, entry, stream)
+
+    streamed = collect(jobs.stream_resolve_region(*both(True), "5 seconds"), "region_out")
+    names = ("asset_id", "region_id", "seq", F.coalesce("note", F.lit("")))
+    assert rows(streamed.filter("asset_id <> 'q'"), *names) == rows(regional.resolve_region(*both(False)), *names)
+    assert {r.seq: r.region_id for r in streamed.collect()} == {1: "east", 2: "west", 3: "given", 4: "north", 5: "late", 6: "late"}
+
+
 def test_anomalies(spark, run):
     as_stream, collect, _ = run
     source = tv.telemetry(spark, SF)

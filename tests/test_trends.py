@@ -88,6 +88,15 @@ def test_requests_without_samples_stay(spark):
         assert out == {2: (0, None), 3: (0, None)}
 
 
+def test_many_requests_after_the_last_sample(spark):
+    """Requests whose window is empty join no group, however many there are."""
+    known = samples(spark, [("a", "s", 60_000_000 * i, i, float(i)) for i in range(40)]).withColumn("width", F.lit(600_000_000))
+    asked = samples(spark, [("a", "s", 10**11 + i, 100 + i, 0.0) for i in range(500)] + [("a", "s", 60_000_000 * 39 + 1, 99, 0.0)])
+    out = trends_at(known, asked.drop("value").withColumn("width", F.lit(600_000_000)), cap=16)
+    counts = {r.seq: r.n for r in out.collect()}
+    assert counts[99] == 10 and all(counts[100 + i] == 0 for i in range(500)) and len(counts) == 501
+
+
 def test_tick_trends_with_cap(spark):
     """The cap path and the slice path agree where the cap does not bite."""
     source = tv.telemetry(spark, "/root/testdata/sf0.001")
