@@ -37,7 +37,7 @@ def interval_us(text: str | int) -> int:
 
 # ---------------------------------------------------------------- signals and ticks
 
-def event_samples(telemetry: DataFrame) -> DataFrame:
+def event_samples(telemetry: DataFrame, *keep: Column) -> DataFrame:
     """One row per event with its samples: fuel, rounds per slot, hours and life per component."""
     def sample(name: Column, value: Column, unit: Column) -> Column:
         return F.struct(name.alias("signal"), value.alias("value"), unit.alias("unit"))
@@ -57,7 +57,7 @@ def event_samples(telemetry: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<signal:string,value:double,unit:string>>")
     found = F.concat(*[F.coalesce(part, none) for part in (fuel, ammo, hours, rul)])
     return telemetry.filter(filled(F.col("asset.asset_id"))).select(
-        F.col("asset.asset_id").alias("asset_id"), "ts", "seq",
+        F.col("asset.asset_id").alias("asset_id"), "ts", "seq", *keep,
         F.filter(found, lambda s: s.isNotNull()).alias("found"),
     )
 
@@ -271,11 +271,15 @@ def tick_trends(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_window=WEA
 
 def scalar_trend(unit: Column) -> Column:
     """The trend record of a row of ``trends_at``; null below two samples."""
-    return F.when(F.col("n") >= 2, F.struct(
-        F.struct(F.col("latest").alias("value"), unit.alias("unit")).alias("latest"),
-        F.struct(F.col("slope_per_hour").alias("value"), F.concat(unit, F.lit("/h")).alias("unit")).alias("slope"),
-        F.col("r_squared"),
-        F.timestamp_micros("latest_us").alias("latest_sample_at"),
+    return _trend_record(*[F.col(c) for c in ("n", "latest", "slope_per_hour", "r_squared", "latest_us")], unit)
+
+
+def _trend_record(n: Column, latest: Column, slope: Column, r_squared: Column, latest_us: Column, unit: Column) -> Column:
+    return F.when(n >= 2, F.struct(
+        F.struct(latest.alias("value"), unit.alias("unit")).alias("latest"),
+        F.struct(slope.alias("value"), F.concat(unit, F.lit("/h")).alias("unit")).alias("slope"),
+        r_squared.alias("r_squared"),
+        F.timestamp_micros(latest_us).alias("latest_sample_at"),
     ))
 
 
@@ -344,14 +348,42 @@ def windowed_telemetry(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_win
         F.array_sort(F.collect_set(F.when(F.col("mixed_units"), F.col("signal")))).alias("mixed_units"),
     )
     events = telemetry.filter(filled(F.col("asset.asset_id"))).select(
-        F.col("asset.asset_id").alias("asset_id"), "ts", "seq",
+        F.col("asset.asset_id").alias("asset_id"), "ts", "seq", *tick_fields())
+    ticks = emit_ticks(events, every).dropDuplicates(["asset_id", "ts", "seq"])
+    return window_records(per_tick.join(ticks, ["asset_id", "ts", "seq"]), edge_id, region_id, producer_id)
+
+
+def tick_fields() -> list[Column]:
+    """What a record takes from the event of its tick."""
+    return [
         F.coalesce("asset.platform_variant", F.lit("")).alias("platform_variant"),
-        F.col("provenance.sample_time").alias("sample_time"),
+        micros(F.col("provenance.sample_time")).alias("sample_us"),
         F.col("sustainment.consumables.items").alias("items"),
         F.col("sustainment.health.active_fault_codes").alias("faults"),
-    )
-    ticks = emit_ticks(events, every).dropDuplicates(["asset_id", "ts", "seq"])
+    ]
+
+
+def gathered_trends(ticks: DataFrame) -> DataFrame:
+    """Ticks that hold their trends as an array, with the lists that ``window_records`` reads."""
+    def of(prefix: str, least: int) -> Column:
+        return F.filter("trends", lambda t: t["signal"].startswith(prefix) & (t["n"] >= least))
+
+    def listed(found: Column, key: str, value: str) -> Column:
+        return F.transform(found, lambda t: F.struct(F.split(t["signal"], ":", 2)[1].alias(key), _trend_record(
+            t["n"], t["latest"], t["slope_per_hour"], t["r_squared"], t["latest_us"], t["unit"]).alias(value)))
+
+    fluid = of(FLUID, 2)
+    return ticks.withColumns({
+        "fluid": listed(fluid, "key", "value"), "ammo": listed(of(AMMO, 2), "slot_key", "remaining"),
+        "hours": listed(of(WEAR_HOURS, 0), "component_key", "trend"), "rul": listed(of(WEAR_RUL, 0), "component_key", "trend"),
+        "sample_count": F.aggregate(fluid, F.lit(0).cast("long"), lambda n, t: n + t["n"]),
+        "start_us": F.array_min(F.transform(fluid, lambda t: t["window_start_us"])),
+        "mixed_units": F.array_sort(F.transform(F.filter("trends", lambda t: t["mixed_units"]), lambda t: t["signal"])),
+    }).drop("trends")
+
 
+def window_records(per_tick: DataFrame, edge_id: str, region_id: str, producer_id: str) -> DataFrame:
+    """The records of ticks with lists of trends by kind and the fields of the tick's event."""
     def slot(a: Column) -> Column:
         return _consumable(F.col("items"), a["slot_key"], a["remaining"])
 
@@ -367,10 +399,10 @@ def windowed_telemetry(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_win
 
     end_us = micros(F.col("ts"))
     start_us = F.coalesce("start_us", end_us)
-    return per_tick.join(ticks, ["asset_id", "ts", "seq"]).select(
+    return per_tick.select(
         "asset_id", "seq", "platform_variant", F.col("ts").alias("computed_at"),
         F.struct(
-            F.lit(producer_id).alias("producer_id"), F.col("sample_time"), F.col("ts").alias("ingest_time"),
+            F.lit(producer_id).alias("producer_id"), F.timestamp_micros("sample_us").alias("sample_time"), F.col("ts").alias("ingest_time"),
             F.lit("U").alias("classification"), F.lit(edge_id).alias("edge_id"), F.lit(region_id).alias("region_id"),
         ).alias("provenance"),
         F.map_from_entries("fluid").alias("fluid_trends"),

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from convoy.functions.common import blank, filled, micros
 from convoy.operators import alerts, regional, routing, thermal, trends, usage
 from convoy.sources.tables import BatchTable, LatestTable, SnapshotTable
-from convoy.streaming.processors import LifetimeUsage, OfflineTimer, RegionHold, SampleDelta, TickTrends, TumblingMean
+from convoy.streaming.processors import LifetimeUsage, OfflineTimer, RegionHold, SampleDelta, TickTrends, TickWindows, TumblingMean
 
 HEARTBEAT = "30 seconds"
 
@@ -85,21 +85,39 @@ def stream_anomalies(telemetry: DataFrame) -> DataFrame:
     return thermal.runaways(rated.withColumns({"ts": F.timestamp_micros("us"), "sample_time": F.timestamp_micros("sample_us")}))
 
 
-def stream_trends(telemetry: DataFrame, fluid_window=trends.FLUID_WINDOW, wear_window=trends.WEAR_WINDOW,
-                  every: int = trends.EMIT_EVERY, cap: int | None = None) -> DataFrame:
-    """Trends of every signal at each tick of an asset."""
+def _sampled(telemetry: DataFrame, fluid_window, wear_window, *keep: Column) -> DataFrame:
+    """Events of an asset with the signals, readings, units and window lengths of their samples."""
     wear_us, fluid_us = trends.interval_us(wear_window), trends.interval_us(fluid_window)
     def width(sample: Column) -> Column:
         return F.when(sample["signal"].startswith("wear_"), wear_us).otherwise(fluid_us).cast("long")
 
-    rows = trends.event_samples(telemetry).select(
-        "asset_id", micros(F.col("ts")).alias("us"), "seq",
-        F.col("found.signal").alias("signals"), F.col("found.value").alias("readings"),
+    return trends.event_samples(telemetry, *keep).select(
+        "asset_id", micros(F.col("ts")).alias("us"), "seq", *[k for k in ("tick",) if keep],
+        F.col("found.signal").alias("signals"), F.col("found.value").alias("readings"), F.col("found.unit").alias("units"),
         F.transform("found", width).alias("widths"),
     )
+
+
+def stream_trends(telemetry: DataFrame, fluid_window=trends.FLUID_WINDOW, wear_window=trends.WEAR_WINDOW,
+                  every: int = trends.EMIT_EVERY, cap: int | None = None) -> DataFrame:
+    """Trends of every signal at each tick of an asset."""
+    rows = _sampled(telemetry, fluid_window, wear_window)
     return rows.groupBy("asset_id").transformWithState(TickTrends(every, cap), TickTrends.OUTPUT, "Append", "None")
 
 
+def stream_windowed_telemetry(telemetry: DataFrame, fluid_window=trends.FLUID_WINDOW, wear_window=trends.WEAR_WINDOW,
+                              every: int = trends.EMIT_EVERY, cap: int | None = None, edge_id: str = "edge-01",
+                              region_id: str = "region-01", producer_id: str = "edge-windows") -> DataFrame:
+    """The windowed record of every tick, as the batch operator builds it."""
+    tick = F.struct(*trends.tick_fields())
+    rows = _sampled(telemetry, fluid_window, wear_window, F.to_json(tick).alias("tick"))
+    ticks = rows.groupBy("asset_id").transformWithState(TickWindows(every, cap), TickWindows.OUTPUT, "Append", "None")
+    fields = telemetry.select(tick.alias("t")).schema["t"].dataType
+    opened = ticks.withColumns({"ts": F.timestamp_micros("us"), "_tick": F.from_json("tick", fields)})
+    return trends.window_records(
+        trends.gathered_trends(opened.select("asset_id", "ts", "seq", "trends", "_tick.*")), edge_id, region_id, producer_id)
+
+
 # ---------------------------------------------------------------- tables kept by batches
 
 def _start(df: DataFrame, write, checkpoint: str, trigger: dict | None) -> StreamingQuery:

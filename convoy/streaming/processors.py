@@ -189,6 +189,56 @@ class TickTrends(StatefulProcessor):
         pass
 
 
+class TickWindows(StatefulProcessor):
+    """One row per tick with the trends of all signals the asset has shown so far.
+
+    Samples that no window can reach any more leave the state; of a silent signal only its name and units stay.
+    """
+
+    OUTPUT = (
+        "asset_id string, seq bigint, us bigint, tick string, trends array<struct<signal:string,unit:string,mixed_units:boolean,"
+        "n:bigint,slope_per_hour:double,r_squared:double,latest:double,latest_us:bigint,window_start_us:bigint>>"
+    )
+    EMPTY = {"slope_per_hour": 0.0, "r_squared": 0.0, "latest": None, "latest_us": None, "window_start_us": None}
+
+    def __init__(self, every: int, cap: int | None) -> None:
+        self.every = every
+        self.cap = cap
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.events = handle.getValueState("events", "n bigint, clock bigint")
+        self.buffers = handle.getMapState(
+            "buffers", "signal string", "us array<bigint>, value array<double>, width bigint, low string, high string"
+        )
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        buffers = {s[0]: [list(v[0]), list(v[1]), *v[2:]] for s, v in self.buffers.iterator()}
+        n, clock = self.events.get() if self.events.exists() else (0, 0)
+        for row in in_order(rows):
+            clock = max(clock, row.us)
+            for signal, reading, unit, width in zip(row.signals, row.readings, row.units, row.widths):
+                buffer = buffers.setdefault(signal, [[], [], width, unit, unit])
+                buffer[0].append(row.us)
+                buffer[1].append(reading)
+                buffer[3:] = min(buffer[3], unit), max(buffer[4], unit)
+            n += 1
+            if n % self.every == 0 and buffers:
+                yield Row(asset_id=key[0], seq=row.seq, us=row.us, tick=row.tick,
+                          trends=[self._trend(s, b, row.us) for s, b in buffers.items()])
+        for signal, (times, values, width, low, high) in buffers.items():
+            kept = [i for i in range(max(0, len(times) - (self.cap or len(times))), len(times)) if times[i] >= clock - width]
+            self.buffers.updateValue((signal,), ([times[i] for i in kept], [values[i] for i in kept], width, low, high))
+        self.events.update((n, clock))
+
+    def _trend(self, signal: str, buffer: list, us: int) -> Row:
+        times, values, width, low, high = buffer
+        found = fit(times, values, us - width, us, self.cap) or {**self.EMPTY, "n": 0}
+        return Row(signal=signal, unit=high, mixed_units=low != high, **{k: found[k] for k in ("n", *self.EMPTY)})
+
+    def close(self) -> None:
+        pass
+
+
 def fit(times: list[int], values: list[float], start: int, end: int, cap: int | None) -> dict | None:
     """Least squares over the samples inside [start, end], of the newest ``cap`` if given; None below two."""
     first = max(0, len(times) - (cap or len(times)))

@@ -187,6 +187,26 @@ def test_anomalies(spark, run):
     assert rows(streamed, *names) == rows(batch, *names) != []
 
 
+def test_windowed_records(spark, run):
+    as_stream, collect, _ = run
+    source = tv.telemetry(spark, SF)
+    streamed = collect(jobs.stream_windowed_telemetry(as_stream(source, "win"), "7 days", "14 days"), "win_out")
+    batch = trends.windowed_telemetry(source, "7 days", "14 days")
+    fuel = F.try_element_at("fluid_trends", F.lit("fuel_remaining"))
+    plain = (
+        "asset_id", "seq", "platform_variant", F.col("computed_at").cast("long"), F.col("provenance.sample_time").cast("long"),
+        F.round(F.coalesce(fuel["slope"]["value"], F.lit(-1.0)), 6), F.size("consumable_trends"), F.size("wear_trends"),
+        F.concat_ws(",", "active_fault_codes_latest"), F.col("window.duration_us"), F.col("window.sample_count"), F.concat_ws(",", "mixed_units"),
+    )
+    assert rows(streamed, *plain) == rows(batch, *plain) != []
+    for entries, columns in (
+        ("consumable_trends", ("e.slot_key", F.round("e.remaining.slope.value", 6), "e.remaining.slope.unit", F.coalesce("e.capacity", F.lit(-1.0)), F.coalesce("e.nsn", F.lit("")))),
+        ("wear_trends", ("e.component_key", F.round(F.coalesce("e.hours_in_service.slope.value", F.lit(-1.0)), 6), F.round(F.coalesce("e.remaining_useful_life.latest.value", F.lit(-1.0)), 6))),
+    ):
+        one, two = (d.select("asset_id", "seq", F.explode(entries).alias("e")) for d in (streamed, batch))
+        assert rows(one, "asset_id", "seq", *columns) == rows(two, "asset_id", "seq", *columns) != []
+
+
 def test_latest_state_and_alerts(spark, run):
     as_stream, _, tmp = run
     source = tv.events(spark, SF)
