@@ -115,9 +115,23 @@ def latest_state(spark, sf_dir):
 
 # ---------------------------------------------------------------- projections
 
+@query
+def telemetry_source(spark, sf_dir):
+    """Telemetry as JSON text, parsed by the reader; every tenth line is broken and left out."""
+    source = tv.telemetry(spark, sf_dir)
+    fields = [c for c in source.columns if c not in ("ts", "seq")]
+    text = F.to_json(F.struct(*fields), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    lines = source.select(F.when(F.col("seq") % 10 == 0, F.substring(text, 1, 40)).otherwise(text).alias("value"))
+    parsed = readers.parse_telemetry(lines)
+    return _event_columns(thermal.event_view(parsed.withColumn("seq", F.col("event_id").cast("long"))))
+
+
 @query
 def event_view(spark, sf_dir):
-    view = thermal.event_view(tv.telemetry(spark, sf_dir))
+    return _event_columns(thermal.event_view(tv.telemetry(spark, sf_dir)))
+
+
+def _event_columns(view):
     return view.select(
         "asset_id", "seq", us("sample_time").alias("us"),
         *[r6(F.col(c)["value"]).alias(c) for c in ("component_temp", "ambient_temp", "ground_speed",

@@ -458,6 +458,7 @@ SELECT p.asset_id, p.seq, p.us, 'v' || (t.k % 3) AS platform_variant, round(fuel
   CAST(CASE WHEN t.kind = 'error' THEN 1 ELSE 0 END AS BIGINT) AS n_faults,
   CAST(sample_count AS BIGINT) AS sample_count, start_us, p.us - start_us AS duration_us
 FROM per_tick p JOIN ticks t ON p.seq = t.seq""")
+ORACLES["telemetry_source"] = f"""SELECT * FROM ({ORACLES["event_view"]}) WHERE seq % 10 <> 0"""
 ORACLES["windowed_consumables"] = ORACLES["enrich_consumables"]
 ORACLES["windowed_wear"] = ORACLES["pair_wear_trends"]
 ORACLES["window_envelopes"] = f"""

@@ -40,12 +40,21 @@ def _sequenced(df: DataFrame, ts: Column, *identity: Column) -> DataFrame:
     return df.withColumns({"ts": ts, "seq": F.xxhash64(*identity)})
 
 
-def read_telemetry(spark: SparkSession, path: str, fmt: str = "parquet", stream: bool = False, **options) -> DataFrame:
-    rows = read_rows(spark, path, schemas.TELEMETRY, fmt, stream, **options)
+def _telemetry(rows: DataFrame) -> DataFrame:
+    """Event time from the sample, else from the message; rows without any keep a null time."""
     ts = F.coalesce("kinematics.position.valid_at", "provenance.sample_time", "provenance.ingest_time")
     return _sequenced(rows, ts, F.col("event_id"))
 
 
+def parse_telemetry(df: DataFrame, column: str = "value", *keep: str) -> DataFrame:
+    """Telemetry held as JSON text."""
+    return _telemetry(parse_json(df, column, schemas.TELEMETRY, *keep))
+
+
+def read_telemetry(spark: SparkSession, path: str, fmt: str = "parquet", stream: bool = False, **options) -> DataFrame:
+    return _telemetry(read_rows(spark, path, schemas.TELEMETRY, fmt, stream, **options))
+
+
 def read_cloud_events(spark: SparkSession, path: str, fmt: str = "json", stream: bool = False, **options) -> DataFrame:
     rows = read_rows(spark, path, schemas.CLOUD_EVENT, fmt, stream, **options)
     return _sequenced(rows.withColumn("device", F.col("source")), F.try_to_timestamp("time"), F.col("id"))

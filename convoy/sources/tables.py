@@ -8,14 +8,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from convoy.session import ensure_checkpoint_dir
+
 BATCH = "batch_id"
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a folder, or None where nothing has been written yet; a table that cannot be read is an error."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 @dataclass(frozen=True)
 class BatchTable:
     """A parquet table whose rows are grouped by the batch that wrote them."""
@@ -27,9 +40,8 @@ class BatchTable:
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
         """All rows, or those of the batches before ``before``; None while there are none."""
-        try:
-            rows = spark.read.parquet(self.path)
-        except AnalysisException:
+        rows = _stored(spark, self.path)
+        if rows is None:
             return None
         return rows if before is None else rows.filter(F.col(BATCH) < before)
 
@@ -90,10 +102,17 @@ class SnapshotTable:
         return f"{self.path}/turn={batch_id % 2}"
 
     def advance(self, rows: DataFrame, batch_id: int) -> DataFrame:
-        """Writes the snapshot of ``batch_id`` and returns it."""
+        """Writes the snapshot of ``batch_id`` and returns it.
+
+        Batch 0 of a stream that starts with a new checkpoint goes on from what an earlier one left.
+        """
         spark = rows.sparkSession
         if batch_id > 0:
             rows = rows.unionByName(spark.read.parquet(self.folder(batch_id - 1)))
+        elif earlier := [d for d in (_stored(spark, self.folder(turn)) for turn in (0, 1)) if d is not None]:
+            # One of the folders is overwritten below, so both are read to the end first.
+            ensure_checkpoint_dir(spark)
+            rows = rows.unionByName(reduce(DataFrame.unionByName, earlier).checkpoint())
         packed = F.max_by(F.struct("*"), F.struct(*self.order)).alias("_row")
         merged = rows.groupBy(*self.keys).agg(packed).select("_row.*")
         merged.write.mode("overwrite").parquet(self.folder(batch_id))

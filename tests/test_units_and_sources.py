@@ -113,3 +113,22 @@ def test_append_stream(spark, tmp_path):
     jobs.append_stream(stream, str(tmp_path / "out"), str(tmp_path / "c"), {"availableNow": True}).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == source.filter("kind = 'error'").count()
     assert latest_state(source).count() == 15
+
+
+def test_snapshot_goes_on_after_a_new_checkpoint(spark, tmp_path):
+    """A stream that starts again at batch 0 keeps what an earlier one stored, whichever folder was last."""
+    for batches in (1, 2):
+        table = SnapshotTable(str(tmp_path / f"again{batches}"), ("id",), ("seq",))
+        for n in range(batches):
+            table.advance(spark.createDataFrame([(f"k{n}", n)], "id string, seq long"), n)
+        rows = table.advance(spark.createDataFrame([("k0", 9), ("new", 1)], "id string, seq long"), 0)
+        want = {("k0", 9), ("new", 1)} | ({("k1", 1)} if batches == 2 else set())
+        assert {tuple(r) for r in rows.collect()} == want
+
+
+def test_an_unreadable_table_is_an_error(spark, tmp_path):
+    assert BatchTable(str(tmp_path / "none")).read(spark) is None
+    (tmp_path / "bad" / "batch_id=0").mkdir(parents=True)
+    (tmp_path / "bad" / "batch_id=0" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        BatchTable(str(tmp_path / "bad")).read(spark)
