@@ -41,11 +41,12 @@ GRAM = 20
 REACH = LENGTH - GRAM  # bytes before a trigger that a string holding it may begin
 CONTEXT = REACH + LENGTH
 #: Bytes of text that a task gathers before it sends, and that one bucket of triggers stands for.
-FLUSH_BYTES = 8_000_000
-BUCKET_BYTES = 8_000_000
+FLUSH_BYTES = 4_000_000
+BUCKET_BYTES = 3_000_000
 #: Strings that one sort holds.
-SORT_ROWS = 400_000
-SEGMENT = 1 << 20
+SORT_ROWS = 100_000
+#: Bytes that one pass of the rolling hash takes; its tables of powers travel with the functions and stay small.
+SEGMENT = 1 << 14
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -398,7 +399,7 @@ def _cut_out(with_bytes: bool):
 def remove_repeats(documents: DataFrame, with_bytes: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept_bytes of every row."""
     spark = documents.sparkSession
-    small_batches(spark)
+    small_batches(spark, 200)
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     source = source.withColumn("cls", F.xxhash64("text", F.length("text")))
     narrow = cut(source.select("doc_id", "cls", F.octet_length("text").cast("long").alias("size")))
