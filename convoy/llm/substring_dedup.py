@@ -191,7 +191,35 @@ def _parse(buckets: int):
     return run
 
 
-def _shared(group: pd.DataFrame) -> pd.DataFrame:
+def _shared(groups: int):
+    """Shared triggers of a bucket, packed by groups of texts: (text, number of triggers) pairs, then the triggers."""
+    def run(bucket: pd.DataFrame) -> pd.DataFrame:
+        rows = _shared_by_text(bucket)
+        texts = np.array([r[0] for r in rows], np.int64)
+        place = np.empty(len(rows), np.int64)
+        place[:] = texts % groups
+        out = []
+        for group, at in _by_key(place, np.arange(len(rows))):
+            data = [rows[k][1] for k in at]
+            head = np.stack([texts[at], np.array([len(d) // 6 for d in data], np.int64)], 1)
+            out.append((group, len(at), head.tobytes() + b"".join(data)))
+        return pd.DataFrame(out, columns=["group", "n", "data"])
+
+    return run
+
+
+def _gather(group: pd.DataFrame) -> pd.DataFrame:
+    """All shared triggers of each text of a group."""
+    found: dict[int, list[bytes]] = {}
+    for n, data in zip(group["n"], group["data"]):
+        at = 16 * n
+        for text, count in np.frombuffer(data, np.int64, 2 * n).reshape(-1, 2).tolist():
+            found.setdefault(text, []).append(data[at: at + 6 * count])
+            at += 6 * count
+    return pd.DataFrame([(text, b"".join(parts)) for text, parts in found.items()], columns=["short", "shared"])
+
+
+def _shared_by_text(group: pd.DataFrame) -> list[tuple[int, bytes]]:
     hashes, owners, known = [], [], []
     for n, data in zip(group["a"][~group["reply"]], group["data"][~group["reply"]]):
         hashes.append(_unpack(data, n))
@@ -207,7 +235,7 @@ def _shared(group: pd.DataFrame) -> pd.DataFrame:
         hit = np.logical_or.reduceat(known, starts) | (owners[starts] != owners[starts + counts - 1])
         tell = np.repeat(hit, counts) & ~known
         out += [(cls, _pack(np.unique(h))) for cls, h in _by_key(owners[tell], hashes[tell])]
-    return pd.DataFrame(out, columns=["short", "data"])
+    return out
 
 
 # ---- 2. and 3. phrases of shared triggers, and what is removed
@@ -291,7 +319,7 @@ def _phrases(buckets: int):
     def run(frames):
         for rows in _batches(frames, ["doc_id", "row", "shared", "text"]):
             parts = [
-                _entries(doc, row, text, np.unique(np.concatenate([_unpack(x, len(x) // 6) for x in shared])))
+                _entries(doc, row, text, np.unique(_unpack(shared, len(shared) // 6)))
                 for doc, row, shared, text in rows
             ]
             entries, smallest = _smallest_first(np.concatenate(parts))
@@ -413,8 +441,8 @@ def remove_repeats(documents: DataFrame, with_bytes: bool = False) -> DataFrame:
         return F.col("cls").bitwiseXOR(F.col(cls)) == 0
 
     sent = source.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).select("cls", "text").mapInPandas(_parse(buckets), _SENT)
-    shared = sent.groupBy("bucket").applyInPandas(_shared, "short long, data binary")
-    shared = shared.groupBy("short").agg(F.collect_list("data").alias("shared"))
+    packed = sent.groupBy("bucket").applyInPandas(_shared(partitions_for(documents)), "group long, n long, data binary")
+    shared = packed.groupBy("group").applyInPandas(_gather, "short long, shared binary")
     first = narrow.filter("doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("first"))
     wanted = first.withColumn("short", F.col("cls").bitwiseAND(F.lit((1 << 48) - 1))).join(shared, "short").select(
         F.xxhash64("first", "cls").alias("of"), F.col("cls").alias("c"), "shared")
