@@ -80,6 +80,13 @@ def test_messy_leaks(spark):
     assert decontaminate.find_leaks(messy.frame(spark), items.limit(0)).count() == 0
 
 
+def test_only_texts_with_an_item_are_dropped(spark):
+    items = spark.createDataFrame([(1, messy.PROSE)], "item_id long, text string")
+    rows = [(None, messy.PROSE), (None, "clean"), (None, None), (7, messy.PROSE + "x"), (7, "clean too"), (7, ""), (8, messy.PROSE), (9, "clean")]
+    out = decontaminate.drop_contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert {tuple(r) for r in out} == {(None, "clean"), (None, None), (7, "clean too"), (7, ""), (9, "clean")} and len(out) == 5
+
+
 # ---- licenses
 
 def test_licenses_of_the_tables(spark):
