@@ -11,7 +11,12 @@ that of the article around the core (``article`` or ``main``); on pages without
 below nodes that reach the threshold. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are left out before densities are computed.
 
-Defined results: a null or empty page and one without text outside those parts give an empty text; broken markup is
+Forms and what only its class, id or role calls noise may be a wrapper of the text, so this noise is lifted from the
+elements around the longest article, and on pages without one from those around the core that hold most of the page's
+text. Reader comments are taken for the article only if there is no other. A class or id counts as a whole, or by its
+first word where that word names nothing else (``sidebar-left``, but not ``has-sidebar`` or ``share-price``).
+
+Defined results: a null or empty page and one without text outside those parts and wrappers give an empty text; broken markup is
 read as far as it can be (unclosed and stray tags, unquoted attributes, unfinished comments); rows that are equal or
 share an id get a row each; an empty table gives an empty table. Other columns are carried through; ``text`` and
 ``n_chars`` are replaced.
@@ -40,18 +45,37 @@ INLINE = frozenset(
 )
 #: Elements that never hold article text.
 NOISE_TAGS = frozenset(
-    "script style noscript template head title nav footer aside form button select option textarea iframe svg canvas "
+    "script style noscript template head title nav footer aside button select option textarea iframe svg canvas "
     "object embed dialog menu audio video map xmp noembed noframes".split()
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
-#: Words of class or id that mark adverts, menus, notices, sidebars, forms and comments.
+#: Classes and ids that mark adverts, menus, notices, sidebars, forms and comments.
 NOISE_WORDS = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion "
     "banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription "
     "signup login menu nav navbar navigation breadcrumb breadcrumbs sidebar sidebars widget widgets related recommended "
     "recommendations share sharing social comment comments commentlist disqus reply replies respond footer header "
-    "masthead pagination pager toolbar skip topbar".split()
+    "masthead pagination pager toolbar skip topbar "
+    "site-header site-footer page-footer global-header global-footer main-nav main-menu main-navigation site-nav site-navigation "
+    "nav-menu nav-bar nav-links menu-bar top-bar top-nav tool-bar side-bar left-sidebar right-sidebar left-nav right-nav "
+    "share-bar share-buttons share-links social-bar social-buttons social-icons social-links social-media social-share "
+    "related-articles related-content related-links related-posts related-stories recommended-articles recommended-posts "
+    "comment-area comment-form comment-list comment-section comments-area comments-list comments-section "
+    "reader-comments user-comments post-comments reply-form login-form signup-form search-form skip-link skip-to-content "
+    "google-ad banner-ad top-ad side-ad ad-banner".split()
+)
+#: First words of hyphenated classes and ids that name nothing but noise.
+NOISE_PREFIXES = frozenset(
+    "ad ads adbox adslot advert adverts advertisement advertising adsense sponsor sponsored sponsors promo cookie cookies "
+    "consent gdpr popup modal newsletter navbar breadcrumb breadcrumbs sidebar commentlist disqus pagination".split()
 )
+#: Classes and ids of reader comments.
+_REPLIES = frozenset(
+    "comment comments commentlist disqus reply replies respond comment-area comment-form comment-list comment-section "
+    "comments-area comments-list comments-section reader-comments user-comments post-comments reply-form".split()
+)
+#: The own state of an element: text, noise that nothing lifts, noise that may wrap the text, reader comments.
+_TEXT, _HARD, _SOFT, _REPLY = range(4)
 #: Elements whose start ends an open element of the second kind.
 _CLOSES = {
     **{t: frozenset(["p"]) for t in (
@@ -75,7 +99,7 @@ class Page:
     """Nodes in page order; a node's parent stands before it."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.noise = ["#root"], [-1], [False]
+        self.tag, self.parent, self.state = ["#root"], [-1], [_TEXT]
         self.texts: list[tuple[int, str, int]] = []  # (node, decoded text, block borders before it), in page order
         self.borders = 0
         stack, at, size = [0], 0, len(source)
@@ -98,6 +122,7 @@ class Page:
             if name in RAW:
                 end = re.compile(rf"</{name}[\s/>]", re.I).search(source, at)
                 at = size if end is None else end.start()
+        self.noise = self._noise()
 
     def _text(self, node: int, text: str) -> None:
         if text and self.tag[node] not in RAW:
@@ -118,26 +143,77 @@ class Page:
         self.borders += name not in INLINE
         self.tag.append(name)
         self.parent.append(stack[-1])
-        self.noise.append(self.noise[stack[-1]] or self._is_noise(stack, name, attributes))
+        self.state.append(self._state(stack, name, attributes))
         if name not in VOID:
             stack.append(node)
 
-    def _is_noise(self, stack: list[int], name: str, attributes: str) -> bool:
+    def _state(self, stack: list[int], name: str, attributes: str) -> int:
         if name in NOISE_TAGS:
-            return True
+            return _HARD
         if name in ("html", "body", "article", "main"):
-            return False
+            return _TEXT
         if name == "header":
-            return not any(self.tag[n] in ("article", "main") for n in stack)
+            return _TEXT if self._in_article(stack) else _HARD
+        state = _SOFT if name == "form" else _TEXT
         if "=" not in attributes:
-            return False
+            return state
         for key, *values in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), next((v for v in values if v), "").lower()
-            if key in ("class", "id") and not NOISE_WORDS.isdisjoint(_PARTS.findall(value)):
-                return True
+            if key in ("class", "id"):
+                for words in map(_PARTS.findall, value.split()):
+                    whole = "-".join(words)
+                    if whole in _REPLIES or words and words[0] in ("commentlist", "disqus"):
+                        return _REPLY
+                    if whole == "header" and self._in_article(stack):
+                        continue
+                    if whole in NOISE_WORDS or words and words[0] in NOISE_PREFIXES:
+                        state = _SOFT
             if key == "role" and value.strip() in NOISE_ROLES:
-                return True
-        return False
+                state = _SOFT
+        return state
+
+    def _in_article(self, stack: list[int]) -> bool:
+        return any(self.tag[n] in ("article", "main") for n in stack)
+
+    def _noise(self) -> list[bool]:
+        """For each node, whether it or an element around it is noise; wrappers of the text are not."""
+        n, state = len(self.tag), self.state
+        if _SOFT in state or _REPLY in state:
+            hard, reply, own = [False] * n, [False] * n, [0] * n
+            for node in range(1, n):
+                hard[node] = hard[self.parent[node]] or state[node] == _HARD
+                reply[node] = reply[self.parent[node]] or state[node] == _REPLY
+            for node, text, _ in self.texts:
+                if not hard[node]:
+                    own[node] += len("".join(text.split()))
+            clean = list(own)  # characters below a node without the noise in it
+            for node in range(n - 1, 0, -1):
+                if state[node] == _TEXT:
+                    clean[self.parent[node]] += clean[node]
+            articles = [i for i in range(n) if self.tag[i] in ("article", "main") and clean[i] and not hard[i]]
+            if articles:
+                up = max(articles, key=lambda i: (not reply[i], clean[i], -i))
+                while up > 0:
+                    state[up] = _TEXT
+                    up = self.parent[up]
+            else:
+                self._lift_core(hard, reply, own)
+        out = [False] * n
+        for node in range(1, n):
+            out[node] = out[self.parent[node]] or state[node] != _TEXT
+        return out
+
+    def _lift_core(self, hard: list[bool], reply: list[bool], own: list[int]) -> None:
+        """Lifts the noise around the core of the density sum from elements with more than half of the text."""
+        n = len(self.tag)
+        self.noise = [a or b for a, b in zip(hard, reply)]
+        core, held = self._densities()[0], [0 if noise else c for noise, c in zip(self.noise, own)]
+        for node in range(n - 1, 0, -1):
+            held[self.parent[node]] += held[node]
+        while core is not None and core > 0:
+            if 2 * held[core] > held[0]:
+                self.state[core] = _TEXT
+            core = self.parent[core]
 
     def _close(self, stack: list[int], name: str) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -146,8 +222,8 @@ class Page:
                 del stack[depth:]
                 return
 
-    def content(self) -> list[bool]:
-        """For each node, whether its text belongs to the main text."""
+    def _densities(self) -> tuple:
+        """(core, body, density of each node, density sum of each node, whether a node is below the body and no noise)."""
         n = len(self.tag)
         chars, tags, link_chars, link_tags, own = ([0] * n for _ in range(5))
         in_link = [False] * n
@@ -170,7 +246,7 @@ class Page:
         if not chars[body]:
             body = 0
         if not chars[body]:
-            return [False] * n
+            return None, 0, [], [], []
         share = link_chars[body] / chars[body]
 
         def density(c: int, t: int, lc: int, lt: int) -> float:
@@ -189,7 +265,15 @@ class Page:
         for node in range(body + 1, n):
             inside[node] = inside[self.parent[node]] and not self.noise[node]
         core = max((i for i in range(n) if inside[i]), key=lambda i: (total[i], -i))
+        return core, body, dense, total, inside
+
+    def content(self) -> list[bool]:
+        """For each node, whether its text belongs to the main text."""
+        n = len(self.tag)
+        core, body, dense, total, inside = self._densities()
         keep = [False] * n
+        if core is None:
+            return keep
         up, around = core, None
         while up >= 0:
             if self.tag[up] in ("article", "main"):

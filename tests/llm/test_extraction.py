@@ -43,6 +43,29 @@ def test_pages(source, want):
     assert html_text.main_text(source) == want
 
 
+ARTICLE = "<article><h1>Title</h1><p>Some text of an article that is long enough to count.</p></article>"
+ARTICLE_TEXT = "Title Some text of an article that is long enough to count."
+BARE = "<h1>Title</h1><p>Some text of a page that has no such element, and it goes on.</p><p>More.</p>"
+BARE_TEXT = "Title Some text of a page that has no such element, and it goes on. More."
+
+
+@pytest.mark.parametrize(("source", "want"), [
+    *((f"<body><nav>x</nav><div class='{c}'>{ARTICLE}</div><div class=footer>f</div></body>", ARTICLE_TEXT) for c in (
+        "container has-sidebar", "page-with-comments", "sidebar", "modal", "widget alert")),
+    (f"<body><form id=aspnetForm action=x><div id=nav>n</div>{ARTICLE}<input></form></body>", ARTICLE_TEXT),
+    (f"<body><form id=aspnetForm><div class=menu><a href=x>n</a></div><div id=content>{BARE}</div></form></body>", BARE_TEXT),
+    (f"<body><div class='promo'><div>{BARE}</div></div><div class='sidebar'><a href=x>n</a></div></body>", BARE_TEXT),
+    (f"<div class=comments><div>{ARTICLE}</div></div>", ARTICLE_TEXT),
+    ("<article><div class='article-header'><h1>T</h1></div><p class='market-share'>Shares fell.</p><div class=header>H</div></article>", "T Shares fell. H"),
+    (f"<main>{ARTICLE}<section id=comments><article><p>{'I agree. ' * 30}</p></article></section></main>", ARTICLE_TEXT),
+    (f"<body>{ARTICLE}<div class='related'><article>Read on</article></div><form><article>Sign up</article></form></body>", ARTICLE_TEXT),
+    (f"<body><div class=x>{BARE}</div><div class='comment-list'><p>{'I agree. ' * 30}</p></div><div class='sidebar-left'>side</div></body>", BARE_TEXT),
+    ("<article><p>Text here.</p><div class='ad-slot'>buy</div><div class='adslot_3'>buy</div><div class='share-buttons'>tweet</div><form>mail</form></article>", "Text here."),
+])
+def test_wrappers_are_no_noise(source, want):
+    assert html_text.main_text(source) == want
+
+
 def test_deep_page():
     assert html_text.main_text("<div>" * 20_000 + "deep" + "</div>" * 20_000) == "deep"
 
