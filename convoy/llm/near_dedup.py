@@ -16,8 +16,10 @@ classes are linked when the Jaccard similarity of their full sets is at least 80
 
 Defined results: null and empty texts have n_shingles 0 and are their own component; rows that are equal or share an
 id count in one class each by their text; the component id is the smallest id reachable, null only if all ids in it are
-null, in which case ``kept`` is true for each of these rows; an empty table gives an empty table. Other columns are
-carried through by ``mark_near_duplicates``; columns of the names in ``COLUMNS`` are replaced.
+null, in which case ``kept`` is true for each of these rows; an empty table gives an empty table. Rows are told apart by
+a hash of id and text, so those without an id are linked like any others. ``mark_near_duplicates`` keeps one text of a
+component, also where ids are null or shared, and carries other columns through; columns of the names in ``COLUMNS``
+are replaced.
 """
 
 from __future__ import annotations
@@ -99,7 +101,7 @@ def survives(left: np.ndarray, right: np.ndarray, least: list[int]) -> tuple[np.
 
 
 def _fingerprints(documents: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, node (digest of the set), sig; without sets that are empty, node is null."""
+    """doc_id, _key (of the row), n_shingles, node (digest of the set), sig; node is null where the set is empty."""
     small_batches(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType
 
@@ -111,45 +113,65 @@ def _fingerprints(documents: DataFrame, size: int) -> DataFrame:
                 counts.append(len(s))
                 nodes.append(_digest(s) if len(s) else None)
                 sigs.append(signature(s).tobytes() if len(s) else None)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": counts, "node": pd.array(nodes, "Int64"), "sig": sigs})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "_key": batch["_key"], "n_shingles": counts, "node": pd.array(nodes, "Int64"), "sig": sigs})
 
-    ids = documents.select(F.col("doc_id").cast("string"), "text")  # as text meanwhile: null ids would make it a float
-    prints = ids.mapInPandas(measure, "doc_id string, n_shingles long, node long, sig binary")
+    ids = documents.select(F.col("doc_id").cast("string"), _key().alias("_key"), "text")  # as text meanwhile: null ids would make it a float
+    prints = ids.mapInPandas(measure, "doc_id string, _key long, n_shingles long, node long, sig binary")
     return prints.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
+def _key() -> Column:
+    """Hash of a row's id and text; ids may be null or shared."""
+    return F.xxhash64("doc_id", "text")
+
+
 def _digest(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def _sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """node and set of the classes in ``wanted`` (node, rep), computed again from the text of the representative."""
+    """node and set of the classes in ``wanted`` (node, _key), computed again from the text of the representative."""
     def measure(batches):
+        done: set[int] = set()
         for batch in batches:
-            sets = [shingle_set(text, size) for text in batch["text"]]
-            yield pd.DataFrame({"node": [_digest(s) for s in sets], "want": batch["node"], "members": [s.view(np.int64) for s in sets]})
+            nodes, members = [], []
+            for node, text in zip(batch["node"], batch["text"]):
+                if node not in done:  # equal rows have equal keys
+                    found = shingle_set(text, size)
+                    if _digest(found) == node:
+                        done.add(node)
+                        nodes.append(node)
+                        members.append(found.view(np.int64))
+            yield pd.DataFrame({"node": pd.Series(nodes, dtype="int64"), "members": members})
 
-    texts = documents.select(F.col("doc_id").alias("rep"), "text").filter(F.col("text").isNotNull())
-    found = texts.join(wanted, "rep").select("node", "text").mapInPandas(measure, "node long, want long, members array<long>")
-    return found.filter(F.col("node") == F.col("want")).drop("want").dropDuplicates(["node"])
+    texts = documents.select(_key().alias("_key"), "text").filter(F.col("text").isNotNull())
+    found = texts.join(wanted, "_key").select("node", "text").mapInPandas(measure, "node long, members array<long>")
+    return found.dropDuplicates(["node"])
 
 
 def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``documents``."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull())
+    return _components(documents, size, percent).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+def _components(documents: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, _key, n_shingles, component_id and the key of the component's first row for every row of ``documents``."""
     prints = cut(_fingerprints(documents, size))
-    classes = prints.filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
-    classes = cut(classes)
+    first = F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "_key")
+    classes = prints.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(first).alias("rep"), F.first("sig").alias("sig"))
+    classes = cut(classes.select("node", "rep", "rep._key", "sig"))
     labels = _link(documents, classes, size, percent)
     rep = (
         classes.select("node", "rep").join(labels, "node", "left")
         .select("node", F.coalesce("label", "node").alias("label"), "rep")
     )
-    smallest = rep.groupBy("label").agg(F.min("rep").alias("component_id"))
-    by_node = rep.drop("rep").join(smallest, "label").select("node", "component_id")
-    return (
-        prints.drop("sig").join(by_node, "node", "left")
-        .withColumn("component_id", F.coalesce("component_id", "doc_id"))
-        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull()).alias("kept"))
+    smallest = rep.groupBy("label").agg(F.min("rep").alias("rep"))
+    by_node = rep.drop("rep").join(smallest, "label").select("node", F.col("rep.doc_id").alias("component_id"), F.col("rep._key").alias("_keeper"))
+    return prints.drop("sig").join(by_node, "node", "left").select(
+        "doc_id", "_key", "n_shingles",
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce("_keeper", "_key").alias("_keeper"),
     )
 
 
@@ -161,7 +183,7 @@ def _link(documents: DataFrame, classes: DataFrame, size: int, percent: int) ->
     buckets = cut(banded.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("members")).filter("members > 1"))
     members = cut(banded.join(buckets, "bucket"))
     signatures = classes.select("node", "sig")
-    wanted = members.select("node").distinct().join(classes.select("node", "rep"), "node")
+    wanted = members.select("node").distinct().join(classes.select("node", "_key"), "node")
     sets = cut(_sets(documents, wanted, size))
 
     stars = members.filter(F.col("node") != F.col("leader")).select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct()
@@ -282,10 +304,12 @@ def links_between(left, right, same: bool, least: list[int], percent: int) -> li
 def mark_near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """``documents`` with ``COLUMNS``; of rows that repeat both id and text one is left, if there are such rows."""
     plain, held, back = shelter(documents, COLUMNS)
-    rows = near_duplicates(plain.select("doc_id", "text"), size, percent)
-    marks = cut(rows.groupBy("doc_id").agg(
-        F.max("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id"), F.max("kept").alias("kept"), F.count(F.lit(1)).alias("_copies")))
+    rows = _components(plain.select("doc_id", "text"), size, percent)
+    marks = cut(rows.groupBy("doc_id", "_key").agg(
+        F.max("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id"),
+        F.max(F.col("_key") == F.col("_keeper")).alias("kept"), F.count(F.lit(1)).alias("_copies")))
     if marks.filter("_copies > 1").limit(1).count():
         plain = plain.dropDuplicates(["doc_id", "text"])
     renamed = marks.withColumnRenamed("doc_id", "_id")
-    return plain.join(renamed, F.col("doc_id").eqNullSafe(F.col("_id"))).select(*back, *COLUMNS)
+    keyed = plain.withColumn("_own", _key())
+    return keyed.join(renamed, (F.col("_own") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select(*back, *COLUMNS)

@@ -89,3 +89,23 @@ def test_messy_rows(spark):
     assert marked.columns.count("kept") == 1 and {"_hash", "a b"} <= set(marked.columns)
     kept = [r.doc_id for r in marked.filter("kept").collect()]
     assert kept.count(9) == 1 and 2 not in kept and 1 in kept
+
+
+def test_rows_without_an_id_are_linked(spark):
+    base = [f"w{k}" for k in range(60)]
+    text = lambda *changed: " ".join(f"x{k}" if k in changed else w for k, w in enumerate(base))
+    other = lambda word, n=40: " ".join(f"{word}{k}" for k in range(n))
+    rows = [
+        (1, text()), (None, text(0)), (None, text(0, 59)), (5, text(0, 1, 58, 59)),  # a chain over rows without an id
+        (None, other("y")), (None, other("y") + " end"), (None, other("z")), (3, other("v")), (3, other("u")), (3, other("u") + " end"), (None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain(dict(enumerate(t for _, t in rows)), 4)
+    ids = [[rows[k][0] for k in want if want[k][1] == want[n][1] and rows[k][0] is not None] for n in range(len(rows))]
+    component = {n: min(ids[n], default=None) for n in range(len(rows))}
+    assert component[1] == component[2] == component[3] == 1
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in near_dedup.near_duplicates(docs, 4).collect())
+    assert got == sorted((str(d), want[n][0], str(component[n]), d == component[n]) for n, (d, _) in enumerate(rows))
+    kept = near_dedup.mark_near_duplicates(docs, 4).filter("kept").collect()
+    assert sorted(want[rows.index((r.doc_id, r.text))][1] for r in kept) == sorted({g for _, g in want.values()})
+    assert {r.text for r in kept} >= {text(), other("z"), other("v"), None}
