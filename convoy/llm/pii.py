@@ -5,12 +5,13 @@ their check are dropped. The model adds spans that the patterns cannot see, such
 without a plus sign and written-out addresses.
 
 The model labels segments, not tokens. A region is a stretch around digits or at-signs; in it every segment of up to
-``LONGEST`` tokens is a candidate for every kind, described by features of the whole span (shape, counts, checksum,
+``LONGEST`` tokens, and every longer run that could be a key, is a candidate for every kind, described by features of the whole span (shape, counts, checksum,
 neighbours, the word before it). Scores are linear; a dynamic program over region positions finds the best cut into
 segments and single other tokens, boundaries and kinds together. Weights maximise the conditional likelihood of
 segmentations of a bounded sample of documents, summed over all segmentations by the forward-backward recursion. The
 sample is labelled by the patterns and by assignments to names such as token or password, and each labelled region
-enters a second time in a form the patterns miss. A found segment counts when its posterior probability reaches
+enters a second time in a form the patterns miss; a region with a label that is no candidate is left out with a
+warning, so it does not teach that there is nothing. A found segment counts when its posterior probability reaches
 ``CERTAIN`` and it touches no base span.
 
 Defined results: null and empty texts have no spans; rows that are equal or share an id get a row each; an empty table
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import warnings
 
 import numpy as np
 import pandas as pd
@@ -49,6 +51,8 @@ PATTERNS = {
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _ASSIGNED = re.compile(r"(?i)\b(?:token|secret|passwo?r?d|api[_-]?key|access[_-]?key|auth)\s*[=:]\s*[\"']?([A-Za-z0-9_+/-]{16,}={0,2})")
+#: What an assigned value may look like, whatever the number of its tokens.
+_KEY_RUN = re.compile(r"[A-Za-z0-9_+/-]{16,}={0,2}")
 _REGION = re.compile(r"[^\s]*[0-9@][^\s]*(?:[ ][^\s]*[0-9@][^\s]*)*")
 _TOKEN = re.compile(r"[A-Za-z0-9]{20,}|[A-Za-z]+|[0-9]+|\s+|.", re.S)
 _NAMES = re.compile(r"(?i)(token|secret|passwo?r?d|key|auth)\W{0,6}$")
@@ -121,7 +125,7 @@ def regions(text: str | None) -> list[tuple[int, int]]:
 
 
 class Lattice:
-    """Segments of one region: (from token, to token, features), at most ``LONGEST`` tokens each."""
+    """Segments of one region: (from token, to token, features), at most ``LONGEST`` tokens each but for runs like keys."""
 
     def __init__(self, text: str, start: int, end: int):
         tokens = [m.span() for m in _TOKEN.finditer(text, start, end)]
@@ -136,6 +140,11 @@ class Lattice:
             (i, j) for i in range(self.n) if opens[i] for j in range(i + 1, min(self.n, i + LONGEST) + 1)
             if closes[j - 1] and marked[j] > marked[i]
         ]
+        known, first, last = set(self.segments), {a: i for i, a in enumerate(self.starts)}, {b: j for j, b in enumerate(self.ends, 1)}
+        for m in _KEY_RUN.finditer(text, start, end):
+            run = first.get(m.start()), last.get(m.end())
+            if None not in run and run not in known and _DIGIT.search(m[0]):
+                self.segments.append(run)
         self.features = np.array([describe(text, self.starts[i], self.ends[j - 1]) for i, j in self.segments]).reshape(-1, len(FEATURES))
 
     def posteriors(self, weights: np.ndarray) -> tuple[np.ndarray, float]:
@@ -183,7 +192,7 @@ class Lattice:
 
 def silver(text: str) -> list[tuple[int, int, int]]:
     """Spans that the patterns and assignments to telling names give, without overlaps."""
-    spans = [*base_spans(text), *((KINDS.index("secret"), *m.span(1)) for m in _ASSIGNED.finditer(text))]
+    spans = [*base_spans(text), *((KINDS.index("secret"), *m.span(1)) for m in _ASSIGNED.finditer(text) if _DIGIT.search(m[1]))]
     out, end = [], -1
     for kind, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
         if a >= end:
@@ -207,12 +216,16 @@ def variant(text: str, spans: list[tuple[int, int, int]]) -> tuple[str, list[tup
 
 def fit_model(examples: list[tuple[str, list[tuple[int, int, int]]]], epochs: int = 40, rate: float = 0.3, ridge: float = 1e-4) -> np.ndarray:
     """Weights (features by kinds) from (region with its surroundings, spans), by full-batch adaptive gradient steps."""
-    prepared = []
+    prepared, lost = [], 0
     for text, spans in examples:
         lattice = Lattice(text, 0, len(text))
         place = {(lattice.starts[i], lattice.ends[j - 1]): k for k, (i, j) in enumerate(lattice.segments)}
-        gold = [(place[a, b], kind) for kind, a, b in spans if (a, b) in place]
-        prepared.append((lattice, gold))
+        missing = sum((a, b) not in place for _, a, b in spans)
+        lost += missing
+        if not missing:
+            prepared.append((lattice, [(place[a, b], kind) for kind, a, b in spans]))
+    if lost:
+        warnings.warn(f"{lost} labelled spans are no candidates; their regions are not trained on", stacklevel=2)
     weights = np.zeros((len(FEATURES), len(KINDS)))
     weights[0] = -4.0  # before any training nothing is an entity
     if not any(gold for _, gold in prepared):

@@ -162,3 +162,32 @@ def test_messy_rows(spark):
     assert (odd.n_email, odd.n_ip, odd.n_card, odd.n_phone) == (1, 1, 1, 1)
     assert all(r.spans == "" and r.base_sha256 == hashlib.sha256(b"").hexdigest() for r in rows if not r.text)
     assert pii.mark_pii(messy.empty(spark), pii.train(messy.empty(spark))).count() == 0
+
+
+UUID, MIXED, PREFIXED = "550e8400-e29b-41d4-a716-446655440000", "a1b2c3d4e5f6a7b8", "sk-proj-4f9a8b7c6d5e4f3a-1b2c"
+BASE64 = "a1B2/c3D4+e5F6/g7H8+i9J0/k1L2+m3N4/o5P6+q7R8/s9T0+u1V2/w3X4+y5Z6/a7B8+c9D0/e1F2+g3H4/=="
+
+
+@pytest.mark.parametrize("key", [UUID, MIXED, PREFIXED, BASE64, "7" * 16, "1-2-3-4-5-6-7-8-9-0-1-2-3-4-5-6"])
+def test_every_labelled_key_is_a_candidate(key):
+    text = f'api_key = "{key}" # 1'
+    ((kind, a, b),) = [s for s in pii.silver(text) if pii.KINDS[s[0]] == "secret"]
+    lattice = pii.Lattice(text, 0, len(text))
+    assert text[a:b] == key and (a, b) in {(lattice.starts[i], lattice.ends[j - 1]) for i, j in lattice.segments}
+    assert len(lattice.segments) == len(set(lattice.segments))
+
+
+def test_keys_of_many_tokens_are_found():
+    examples = [(t, pii.silver(t)) for k in range(6) for t in (
+        f'x{k} token = "{UUID[:-1]}{k}" y', f"api_key: {MIXED[:-1]}{k} and", f"secret={PREFIXED}{k}\n", f'auth = "{BASE64[:-3]}{k}==" z', f"in {1990 + k} we had {k} of 12-{k}", f"v1.{k}.0 is out")]
+    weights = pii.fit_model(examples)
+    for key in (UUID.replace("55", "9c"), "f9e8d7c6b5a4f3e2", PREFIXED.replace("4f", "0b"), BASE64.replace("a1", "zQ9")):
+        text = f'the token = "{key}" of 12 others'
+        added = pii.find_spans(text, weights)[1]
+        assert [text[a:b] for kind, a, b in added if pii.KINDS[kind] == "secret"] == [key]
+
+
+def test_labels_without_a_segment_are_reported():
+    text = "mail a1b2c3d4e5f6g7h8@mail.example.org now"
+    with pytest.warns(UserWarning, match="1 labelled span"):
+        pii.fit_model([(text, pii.silver(text))])
