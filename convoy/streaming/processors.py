@@ -292,7 +292,7 @@ class RegionHold(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.known = handle.getMapState("known", "us bigint, seq bigint", "region string")
-        self.held = handle.getMapState("held", "us bigint, seq bigint", "event string")
+        self.held = handle.getMapState("held", "us bigint, seq bigint", "events array<string>")
 
     def _expiry(self, us: int) -> int:
         return (us + self.waits[-1]) // 1000 + 1
@@ -302,7 +302,9 @@ class RegionHold(StatefulProcessor):
             if row.event is None:
                 self.known.updateValue((row.us, row.seq), (row.region_id,))
             else:
-                self.held.updateValue((row.us, row.seq), (row.event,))
+                at = (row.us, row.seq)
+                before = self.held.getValue(at)[0] if self.held.containsKey(at) else []
+                self.held.updateValue(at, ([*before, row.event],))
                 self.handle.registerTimer(self._expiry(row.us))
         return iter(())
 
@@ -310,14 +312,16 @@ class RegionHold(StatefulProcessor):
         now_ms = expiredTimerInfo.getExpiryTimeInMs()
         regions = sorted((at[0], at[1], v[0]) for at, v in self.known.iterator())
         due = sorted((at[0], at[1], v[0]) for at, v in self.held.iterator() if self._expiry(at[0]) <= now_ms)
-        for us, seq, event in due:
+        for us, seq, events in due:
             self.held.removeKey((us, seq))
             found = (next((r for at, _, r in reversed(regions) if at <= us + wait), None) for wait in self.waits)
             region = next((r for r in found if r is not None), None)
             if region is not None:
-                yield Row(asset_id=key[0], region_id=region, event=event)
-        # Older rows than the last one before anything that may still come answer no event.
-        horizon = min([at[0] for at, _ in self.held.iterator()], default=now_ms * 1000 - self.waits[-1])
+                for event in events:
+                    yield Row(asset_id=key[0], region_id=region, event=event)
+        # Older rows than the last one before anything that may still come answer no event. Held events may be ahead of
+        # the watermark, and what still comes may be before them.
+        horizon = min([at[0] for at, _ in self.held.iterator()] + [now_ms * 1000 - self.waits[-1]])
         old = [r for r in regions if r[0] <= horizon][:-1]
         for us, seq, _ in old:
             self.known.removeKey((us, seq))

@@ -178,6 +178,36 @@ def test_region_with_hold(spark, run):
     assert {r.seq: r.region_id for r in streamed.collect()} == {1: "east", 2: "west", 3: "given", 4: "north", 5: "late", 6: "late"}
 
 
+def test_region_with_hold_and_events_out_of_order(spark, run):
+    """A held event ahead of the watermark does not end what an event before it needs; repeated rows stay."""
+    _, collect, tmp = run
+    event = "asset_id string, region_id string, ms long, seq long, note string"
+    entry = "asset_id string, region_id string, edge_id string, ms long, seq long"
+    events = [
+        [("a", "", 100_000, 1, "early"), ("a", "", 110_000, 2, "ahead"), ("a", "", 110_000, 2, "again"), ("a", "", 110_000, 2, "again")],
+        [("q", "", 112_000, 3, "end")], [("q", "", 112_001, 4, "end")], [("a", "", 107_000, 5, "late")], [("q", "", 290_000, 6, "end")],
+    ]
+    registry = [[("a", "old", "e", 90_000, 1), ("a", "new", "e", 108_500, 2)], [("z", "far", "e", 112_000, 3)],
+                [("z", "far", "e", 112_001, 4)], [("z", "far", "e", 112_002, 5)], [("z", "far", "e", 290_000, 6)]]
+
+    def source(name, batches, ddl, stream):
+        folder = tmp / name
+        if not folder.exists():
+            for rows_ in batches:
+                part = spark.createDataFrame(rows_, ddl).withColumn("ts", F.timestamp_millis("ms")).drop("ms")
+                part.coalesce(1).write.mode("append").parquet(str(folder))
+        reader = spark.readStream.option("maxFilesPerTrigger", 1) if stream else spark.read
+        return reader.schema(spark.read.parquet(str(folder)).schema).parquet(str(folder))
+
+    def both(stream):
+        return source("ev2", events, event, stream), source("reg2", registry, entry, stream)
+
+    streamed = collect(jobs.stream_resolve_region(*both(True), "6 seconds"), "region_order_out")
+    names = ("asset_id", "region_id", "seq", "note")
+    got = rows(streamed.filter("asset_id <> 'q'"), *names)
+    assert got == rows(regional.resolve_region(*both(False)), *names) and len(got) == 5
+
+
 def test_anomalies(spark, run):
     as_stream, collect, _ = run
     source = tv.telemetry(spark, SF)
