@@ -119,6 +119,28 @@ def test_license_containment():
             assert (got.get(name) == pytest.approx(held)) if held >= 0.8 else name not in got
 
 
+def test_the_best_license_of_a_place_wins():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    headers = [n for n in license_scan.TEMPLATES if n.endswith("header")]
+    around = " ".join(f"n{k}" for k in range(40))
+    for name in [n for n in license_scan.TEMPLATES if "GPL" in n or n.startswith("CC")]:
+        family = {n.split("-text")[0].split("-header")[0].removesuffix("-4.0") for n, *_ in scanner.find(f"{around} {license_scan.TEMPLATES[name]} {around}")}
+        assert family == {name.split("-text")[0].split("-header")[0].removesuffix("-4.0")}, name
+    assert {"GPL-2.0-header", "AGPL-3.0-header", "LGPL-3.0-header", "LGPL-2.1-header"} < set(headers)
+    own = license_scan.TEMPLATES["GPL-header"].replace("published", "issued")
+    got = [h[0] for h in scanner.find(f"{license_scan.TEMPLATES['AGPL-3.0-header']} {around} {own} {around}")]
+    assert sorted(got) == ["AGPL-3.0-header", "GPL-header"]  # the weaker place of the GPL counts where nothing beats it
+
+
+@pytest.mark.parametrize(("text", "name"), [
+    ("it is licensed under the MIT License, of course", "MIT-licensed0"), ("// SPDX-License-Identifier: AGPL-3.0-or-later", "AGPL-3.0-spdx"),
+    ("Distributed under the Apache License 2.0", "Apache-2.0-distributed0"), ("and released under the GPLv3", "GPL-3.0-released0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "CC-BY-NC-SA-text"),
+])
+def test_usual_wordings_are_found(text, name):
+    assert [h[0] for h in license_scan.Scanner(license_scan.TEMPLATES).find(text)] == [name]
+
+
 def test_messy_licenses(spark):
     docs = messy.frame(spark)
     assert license_scan.scan_licenses(docs).count() == 0
