@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from convoy.llm import decontaminate, html_text, license_scan, mixing, near_dedup, pii, quality_classifier, quality_rules, sharding, substring_dedup
+from convoy.llm import (
+    alignment, collocations, decontaminate, html_text, license_scan, mixing, near_dedup, pii, quality_classifier, quality_rules, records,
+    sharding, substring_dedup,
+)
 from convoy.llm.common import read_table
 from convoy.llm.doc_stats import BASE
+from convoy.session import ensure_checkpoint_dir
+
+#: The id that ends every document in the record files.
+END_ID = 1
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,11 +66,26 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op11_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/records-{uuid4()}"
+    records.write_records(read_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    return records.read_digests(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op12_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(read_table(spark, sf_dir, "documents"), a, b)
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_quality_rules, op2_quality_classifier, op3_feistel_sharding, op4_source_mixing,
         op5_benchmark_decontamination, op6_minhash_near_dedup, op7_html_extraction, op8_pii_spans,
-        op9_prefix_free_parsing, op10_license_scan,
+        op9_prefix_free_parsing, op10_license_scan, op11_binary_records, op12_collocation_mining, op13_tokenizer_alignment,
     )
 }
 
@@ -142,4 +167,38 @@ SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n.n_rem
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id
 """
 
-ORACLES = {"op4_source_mixing": _OP4, "op6_minhash_near_dedup": _OP6, "op9_prefix_free_parsing": _OP9}
+# Collocations by counting all phrases of up to three words.
+_OP12 = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+x AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w WHERE len(ws) > 0),
+f1 AS (SELECT lang, ws[i] AS a, count(*) AS f FROM x GROUP BY ALL),
+f2 AS (SELECT lang, ws[i] AS a, ws[i + 1] AS b, count(*) AS f FROM x WHERE i + 1 <= len(ws) GROUP BY ALL),
+f3 AS (SELECT lang, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c, count(*) AS f FROM x WHERE i + 2 <= len(ws) GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+inside AS (SELECT lang, a, b, f FROM f3 UNION ALL SELECT lang, b, c, f FROM f3),
+longest AS (SELECT lang, a, b, max(f) AS m FROM inside GROUP BY ALL),
+two AS (
+  SELECT f2.lang, f2.a || ' ' || f2.b AS phrase, f2.f AS a, u.f AS l, v.f AS r
+  FROM f2 JOIN f1 u ON u.lang = f2.lang AND u.a = f2.a JOIN f1 v ON v.lang = f2.lang AND v.a = f2.b
+  LEFT JOIN longest g ON g.lang = f2.lang AND g.a = f2.a AND g.b = f2.b
+  WHERE f2.f >= 10 AND (g.m IS NULL OR 100 * g.m < 50 * f2.f)),
+three AS (
+  SELECT f3.lang, f3.a || ' ' || f3.b || ' ' || f3.c AS phrase, f3.f AS a, u.f AS l1, v.f AS r1, s.f AS l2, t.f AS r2
+  FROM f3 JOIN f1 u ON u.lang = f3.lang AND u.a = f3.a JOIN f2 v ON v.lang = f3.lang AND v.a = f3.b AND v.b = f3.c
+  JOIN f2 s ON s.lang = f3.lang AND s.a = f3.a AND s.b = f3.b JOIN f1 t ON t.lang = f3.lang AND t.a = f3.c),
+scored AS (
+  SELECT lang, phrase, a, l1, r1, l2, r2, (1000000::HUGEINT * a * a) // (l1::HUGEINT * r1) AS s1, (1000000::HUGEINT * a * a) // (l2::HUGEINT * r2) AS s2
+  FROM (SELECT * FROM three UNION ALL SELECT lang, phrase, a, l, r, l, r FROM two)),
+best AS (
+  SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END AS l, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END AS r,
+         CAST(least(s1, s2) AS BIGINT) AS score FROM scored),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT ranked.lang, rank, phrase, a, l, r, n.n, score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+"""
+
+ORACLES = {"op4_source_mixing": _OP4, "op6_minhash_near_dedup": _OP6, "op9_prefix_free_parsing": _OP9,
+           "op12_collocation_mining": _OP12}
