@@ -19,6 +19,7 @@ encoded whole however long; the longest one must fit in a worker's memory. Other
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from functools import cache
@@ -38,14 +39,19 @@ FILE_BYTES = 64_000_000
 RANGE_BYTES = 64_000_000
 PIECE_BYTES = 32_000_000
 FLUSH_BYTES = 4_000_000
-#: Strings between blanks whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Strings between blanks whose ids a worker remembers, twice that for a while.
+REMEMBERED = 600_000
 
 _HEAD = "<BBq"
 _HEAD_BYTES = struct.calcsize(_HEAD)
 _FRAME = 16  # bytes of a record besides its payload
 
 
+#: Letters that stay one character each in every normal form; and marks that are tokens of their own after them.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+_MARKS = ",.;:!?"
+
+
 class ChunkEncoder:
     """Ids of texts by a tokenizer that never joins over a blank; strings between blanks are encoded once and remembered."""
 
@@ -54,18 +60,68 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        # Two generations: what is met again moves on, so frequent strings stay and rare ones go.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.marks = {mark: self._single(mark) for mark in ("", *_MARKS)}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        if suffix:
+            self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        # Whether words may be encoded in lower case, many in one string, and told apart by the ends of words.
+        self.joins = bool(suffix) and self._single("AbÉ,") == self._single("abé") + self.marks[","]
+
+    def _single(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        pieces = [text.replace("\n", " ").split(" ") for text in texts]
-        fresh = list(set().union(*pieces).difference(self.known))
-        for a in range(0, len(fresh), 20_000):
-            part = fresh[a: a + 20_000]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[piece] = np.array(found.ids, self.kind).tobytes()
-        return [b"".join(map(self.known.__getitem__, words)) for words in pieces]
+            self.older, self.known, self.words = self.known, {}, {}
+        pieces, ends = [], []
+        for text in texts:
+            pieces += text.replace("\n", " ").split(" ")
+            ends.append(len(pieces))
+        found = list(map(self.known.get, pieces))
+        missing, i = [], -1
+        for _ in range(found.count(None)):
+            i = found.index(None, i + 1)
+            missing.append(i)
+        self._learn({pieces[i] for i in missing})
+        for i in missing:
+            found[i] = self.known[pieces[i]]
+        return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
+
+    def _learn(self, pieces: set[str]) -> None:
+        plain, other = [], []
+        for piece in pieces:
+            if (ids := self.older.get(piece)) is not None:
+                self.known[piece] = ids
+                continue
+            core, mark = (piece[:-1], piece[-1]) if piece and piece[-1] in _MARKS else (piece, "")
+            if self.joins and (core.isascii() and core.isalpha() or _LATIN(core)):
+                plain.append((piece, core.lower(), mark))
+            else:
+                other.append(piece)
+        self._learn_words(list({core for _, core, _ in plain}.difference(self.words)))
+        for piece, core, mark in plain:
+            self.known[piece] = self.words[core] + self.marks[mark]
+        for a in range(0, len(other), 20_000):
+            part = other[a: a + 20_000]
+            for piece, encoded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[piece] = np.array(encoded.ids, self.kind).tobytes()
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words of letters alone, many at a time in one string: each ends with the token that ends a word."""
+        for a in range(0, len(words), 20_000):
+            part = words[a: a + 20_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            ends = ((np.flatnonzero(self.last[ids]) + 1) * self.kind.itemsize).tolist()
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer does not end words as it says")
+            data = ids.tobytes()
+            for word, start, end in zip(part, [0, *ends], ends):
+                self.words[word] = data[start:end]
 
 
 @cache
