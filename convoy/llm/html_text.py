@@ -5,18 +5,23 @@ links, give the composite density
 
     C / T * log_b(C / LC * T / LT),   b = ln(C / (C - LC) * LC + LCb / Cb * C + e),
 
-with LCb and Cb of the body. A node's sum is that of its children's densities, own text counting as a child. The node
-with the largest sum is the core; the smallest density on the path from the body to it is the threshold. The text is
-that of the article around the core (``article`` or ``main``); on pages without one, that of every largest-sum subtree
-below nodes that reach the threshold. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments are left out before densities are computed.
+with LCb and Cb of the body. T counts the node itself; bold type, line breaks and other inline tags but links are part
+of the text and do not count. A node's sum is that of its children's densities, own text counting as a child. The node
+with the largest sum is the core, of equal ones an ``article`` or ``main`` before others and the outermost; the smallest
+density on the path from the body to it is the threshold. The text is that of every largest-sum subtree below nodes
+that reach the threshold, and of headings that stand before the core in elements around it below the body. Menus,
+headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out before densities
+are computed.
 
 Forms and what only its class, id or role calls noise may be a wrapper of the text, so this noise is lifted from the
 elements around the longest article, and on pages without one from those around the core that hold most of the page's
 text. Reader comments are taken for the article only if there is no other. A class or id counts as a whole, or by its
 first word where that word names nothing else (``sidebar-left``, but not ``has-sidebar`` or ``share-price``).
 
-Defined results: a null or empty page and one without text outside those parts and wrappers give an empty text; broken markup is
+Reading takes time in proportion to the page: stray end tags are told by a count of open elements, and once a quote is
+left open, tags before it end at their first ``>``.
+
+Defined results: a very long page is read whole; ties are settled as said above; a null or empty page and one without text outside those parts and wrappers give an empty text; broken markup is
 read as far as it can be (unclosed and stray tags, unquoted attributes, unfinished comments); rows that are equal or
 share an id get a row each; an empty table gives an empty table. Other columns are carried through; ``text`` and
 ``n_chars`` are replaced.
@@ -26,6 +31,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from math import e, log
 
 import pandas as pd
@@ -87,10 +93,11 @@ _CLOSES = {
 }
 #: Closing by start tags does not reach beyond these.
 _FENCES = frozenset("html body article section main div td th table ul ol dl blockquote aside nav header footer form figure".split())
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.S,
-)
+#: Open elements among which the start of another looks for one to end; others are passed over.
+_MARKS = _FENCES.union(*_CLOSES.values())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _PARTS = re.compile(r"[a-z0-9]+")
 
@@ -102,28 +109,56 @@ class Page:
         self.tag, self.parent, self.state = ["#root"], [-1], [_TEXT]
         self.texts: list[tuple[int, str, int]] = []  # (node, decoded text, block borders before it), in page order
         self.borders = 0
-        stack, at, size = [0], 0, len(source)
-        while at < size:
-            token = _TOKEN.search(source, at)
-            if token is None:
-                self._text(stack[-1], source[at:])
-                break
-            self._text(stack[-1], source[at: token.start()])
-            at = token.end()
-            name = token[2] or token[5]
-            if not name:
+        self.open: Counter = Counter()  # open elements by name
+        self.marks: list[int] = []  # depths of open elements in _MARKS
+        self._plain_until, self._last_end = 0, source.rfind(">")
+        stack, at, size, look = [0], 0, len(source), 0
+        while (start := source.find("<", look)) >= 0:
+            if source.startswith("<!", start) or source.startswith("<?", start):
+                comment = source.startswith("<!--", start)
+                end = source.find("-->", start + 4) + 2 if comment else source.find(">", start)
+                end = size - 1 if end < (start + 4 if comment else start) else end
+                name = None
+            else:
+                name = _NAME.match(source, start)
+                end = self._tag_end(source, name.end()) if name else -1
+                if end < 0:
+                    look = start + 1
+                    continue
+            self._text(stack[-1], source[at:start])
+            at = look = end + 1
+            if name is None:
                 continue
-            name, closing = name.lower(), token[1] or token[4]
-            if closing:
-                self._close(stack, name)
+            tag = name[2].lower()
+            if name[1]:
+                self._close(stack, tag)
                 continue
-            attributes = token[3] if token[2] else token[6]
-            self._open(stack, name, attributes or "")
-            if name in RAW:
-                end = re.compile(rf"</{name}[\s/>]", re.I).search(source, at)
-                at = size if end is None else end.start()
+            self._open(stack, tag, source[name.end():end])
+            if tag in RAW:
+                found = re.compile(rf"</{tag}[\s/>]", re.I).search(source, at)
+                at = look = size if found is None else found.start()
+        self._text(stack[-1], source[at:])
         self.noise = self._noise()
 
+    def _tag_end(self, source: str, start: int) -> int:
+        """The place of the ``>`` that ends a tag, -1 if there is none. Quotes hide it, but not one that is left open."""
+        if start > self._last_end:
+            return -1
+        at = start
+        while at >= self._plain_until:
+            stop = _STOP.search(source, at)
+            if stop is None:
+                self._plain_until = len(source)
+            elif stop[0] == ">":
+                return stop.start()
+            else:
+                end = source.find(stop[0], stop.end())
+                if end < 0:
+                    self._plain_until = len(source) if stop.start() == at else stop.start()
+                    break
+                at = end + 1
+        return source.find(">", start)
+
     def _text(self, node: int, text: str) -> None:
         if text and self.tag[node] not in RAW:
             self.texts.append((node, html.unescape(text), self.borders))
@@ -131,11 +166,11 @@ class Page:
     def _open(self, stack: list[int], name: str, attributes: str) -> None:
         ends = _CLOSES.get(name)
         if ends:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in reversed(self.marks):
                 tag = self.tag[stack[depth]]
                 if tag in ends:
                     self.borders += 1
-                    del stack[depth:]
+                    self._cut(stack, depth)
                     break
                 if tag in _FENCES:
                     break
@@ -143,17 +178,28 @@ class Page:
         self.borders += name not in INLINE
         self.tag.append(name)
         self.parent.append(stack[-1])
-        self.state.append(self._state(stack, name, attributes))
+        self.state.append(self._state(name, attributes))
         if name not in VOID:
+            if name in _MARKS:
+                self.marks.append(len(stack))
+            self.open[name] += 1
             stack.append(node)
 
-    def _state(self, stack: list[int], name: str, attributes: str) -> int:
+    def _cut(self, stack: list[int], depth: int) -> None:
+        """Ends the open elements from ``depth`` on."""
+        for node in stack[depth:]:
+            self.open[self.tag[node]] -= 1
+        while self.marks and self.marks[-1] >= depth:
+            self.marks.pop()
+        del stack[depth:]
+
+    def _state(self, name: str, attributes: str) -> int:
         if name in NOISE_TAGS:
             return _HARD
         if name in ("html", "body", "article", "main"):
             return _TEXT
         if name == "header":
-            return _TEXT if self._in_article(stack) else _HARD
+            return _TEXT if self._in_article() else _HARD
         state = _SOFT if name == "form" else _TEXT
         if "=" not in attributes:
             return state
@@ -164,7 +210,7 @@ class Page:
                     whole = "-".join(words)
                     if whole in _REPLIES or words and words[0] in ("commentlist", "disqus"):
                         return _REPLY
-                    if whole == "header" and self._in_article(stack):
+                    if whole == "header" and self._in_article():
                         continue
                     if whole in NOISE_WORDS or words and words[0] in NOISE_PREFIXES:
                         state = _SOFT
@@ -172,8 +218,8 @@ class Page:
                 state = _SOFT
         return state
 
-    def _in_article(self, stack: list[int]) -> bool:
-        return any(self.tag[n] in ("article", "main") for n in stack)
+    def _in_article(self) -> bool:
+        return self.open["article"] + self.open["main"] > 0
 
     def _noise(self) -> list[bool]:
         """For each node, whether it or an element around it is noise; wrappers of the text are not."""
@@ -216,11 +262,13 @@ class Page:
             core = self.parent[core]
 
     def _close(self, stack: list[int], name: str) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[depth]] == name:
-                self.borders += any(self.tag[n] not in INLINE for n in stack[depth:])
-                del stack[depth:]
-                return
+        if not self.open[name]:
+            return
+        depth = len(stack) - 1
+        while self.tag[stack[depth]] != name:
+            depth -= 1
+        self.borders += any(self.tag[n] not in INLINE for n in stack[depth:])
+        self._cut(stack, depth)
 
     def _densities(self) -> tuple:
         """(core, body, density of each node, density sum of each node, whether a node is below the body and no noise)."""
@@ -239,7 +287,7 @@ class Page:
             up = self.parent[node]
             if not self.noise[node]:
                 chars[up] += chars[node]
-                tags[up] += tags[node] + 1
+                tags[up] += tags[node] + self._counts(node)
                 link_chars[up] += link_chars[node]
                 link_tags[up] += link_tags[node] + in_link[node]
         body = next((i for i in range(n) if self.tag[i] == "body"), 0)
@@ -255,7 +303,7 @@ class Page:
             base = log(c / max(1, c - lc) * lc + share * c + e)
             return max(0.0, c / max(1, t) * log(max(1.0, c / max(1, lc) * max(1, t) / max(1, lt))) / log(base)) if base > 1 else c / max(1, t) * log(max(e, c))
 
-        dense = [density(chars[i], tags[i], link_chars[i], link_tags[i]) for i in range(n)]
+        dense = [density(chars[i], tags[i] + 1, link_chars[i], link_tags[i]) for i in range(n)]
         total = [density(own[i], 1, own[i] if in_link[i] else 0, 1 if in_link[i] else 0) for i in range(n)]
         for node in range(n - 1, 0, -1):
             if not self.noise[node]:
@@ -264,9 +312,13 @@ class Page:
         inside[body] = True
         for node in range(body + 1, n):
             inside[node] = inside[self.parent[node]] and not self.noise[node]
-        core = max((i for i in range(n) if inside[i]), key=lambda i: (total[i], -i))
+        core = max((i for i in range(n) if inside[i]), key=lambda i: (total[i], self.tag[i] in ("article", "main"), -i))
         return core, body, dense, total, inside
 
+    def _counts(self, node: int) -> bool:
+        tag = self.tag[node]
+        return tag == "a" or tag not in INLINE and tag not in VOID
+
     def content(self) -> list[bool]:
         """For each node, whether its text belongs to the main text."""
         n = len(self.tag)
@@ -274,31 +326,32 @@ class Page:
         keep = [False] * n
         if core is None:
             return keep
-        up, around = core, None
-        while up >= 0:
-            if self.tag[up] in ("article", "main"):
-                around = up
+        path, threshold, up = set(), dense[core], core
+        while up != body:
+            path.add(up)
             up = self.parent[up]
-        if around is not None:
-            keep[around] = True
-        else:
-            threshold, up = dense[core], core
-            while up != body:
-                up = self.parent[up]
-                threshold = min(threshold, dense[up])
-            best = list(range(n))  # the largest sum below each node
-            for node in range(n - 1, 0, -1):
-                rival = self.parent[node]
-                if inside[node] and total[best[node]] > total[best[rival]]:
-                    best[rival] = best[node]
-            keep[core] = True
-            for node in range(n):
-                if inside[node] and node != body and dense[node] >= threshold:
-                    keep[best[node]] = True
+            threshold = min(threshold, dense[up])
+        best = list(range(n))  # the largest sum below each node
+        for node in range(n - 1, 0, -1):
+            rival = self.parent[node]
+            if inside[node] and total[best[node]] > total[best[rival]]:
+                best[rival] = best[node]
+        keep[core] = True
+        for node in range(n):
+            if inside[node] and node != body and (dense[node] >= threshold or node < core and self._heads(node, path)):
+                keep[best[node]] = True
         for node in range(1, n):
             keep[node] = (keep[node] or keep[self.parent[node]]) and not self.noise[node]
         return keep
 
+    def _heads(self, node: int, path: set[int]) -> bool:
+        """Whether a node before the core is a heading, itself or within others, of an element around the core."""
+        while self.tag[node] in _HEADINGS or self.tag[node] == "header":
+            node = self.parent[node]
+            if node in path:
+                return True
+        return False
+
     def text(self) -> str:
         """Blocks of the main text in page order, joined by one space."""
         keep = self.content()
