@@ -66,16 +66,25 @@ def known_unit(unit: Column) -> Column:
     return canonical_unit(unit).isin(*UNITS)
 
 
+def _convertible(target: str) -> dict[str, tuple[float, float]]:
+    """Factor and offset to the base unit of every name that converts to ``target``, dialect names included."""
+    dimension = UNITS[UNIT_ALIASES.get(target, target)][0]
+    names = {name: UNIT_ALIASES.get(name, name) for name in (*UNITS, *UNIT_ALIASES)}
+    return {name: UNITS[unit][1:] for name, unit in names.items() if UNITS[unit][0] == dimension}
+
+
+def convertible(q: Column, target: str) -> Column:
+    """Whether ``quantity_in`` gives a value, in a form that reaches the scan as a filter."""
+    return q["value"].isNotNull() & q["unit"].isin(*_convertible(target))
+
+
 def to_unit(value: Column, unit: Column, target: str) -> Column:
     """``value`` converted to ``target``; null for unset, unknown or incompatible units."""
-    dimension, factor, offset = UNITS[UNIT_ALIASES.get(target, target)]
-    same = {u: (f, o) for u, (d, f, o) in UNITS.items() if d == dimension}
-    name = canonical_unit(unit)
-    base = (
-        value * _lookup({u: f for u, (f, _) in same.items()}, name)
-        + _lookup({u: o for u, (_, o) in same.items()}, name)
-    )
-    return F.when(present(value, unit), (base - F.lit(offset)) / F.lit(factor))
+    _, factor, offset = UNITS[UNIT_ALIASES.get(target, target)]
+    known = {name: F.struct(F.lit(f).alias("factor"), F.lit(o).alias("offset")) for name, (f, o) in _convertible(target).items()}
+    scale = F.try_element_at(F.create_map(*[x for name, pair in known.items() for x in (F.lit(name), pair)]), unit)
+    # A unit that converts is not empty, so the quantity is set.
+    return (value * scale["factor"] + scale["offset"] - F.lit(offset)) / F.lit(factor)
 
 
 def quantity_in(q: Column, target: str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convoy.functions.common import filled, stable_id
+from convoy.functions.newest import newest_rows
 from convoy.operators.routing import TACTICAL
 
 # The state row and the work order of a critical anomaly.
@@ -42,16 +43,12 @@ def project_alerts(events: DataFrame, existing: DataFrame | None = None, namespa
                    severity_from_data: bool = False, order: tuple[str, ...] = ("detected_at",)) -> DataFrame:
     """One row per alert id, the earliest wins; ids already in ``existing`` are left alone.
 
-    The earliest copy is an aggregate with partial results before the shuffle, so an id that
-    was sent very many times does not gather in one task.
+    The earliest time is a hash aggregate with partial results before the shuffle, and equal copies are summed up
+    likewise, so an id that was sent very many times does not gather in one task.
     """
-    alerts = tactical_alerts(events, namespace, severity_from_data)
-    fields = F.struct(
-        F.col("source").alias("device_id"), F.col("type").alias("event_type"), "severity", "detected_at"
-    )
-    kept = (
-        alerts.groupBy("id").agg(F.min_by(fields, F.struct(*order)).alias("first")).select("id", "first.*")
-    )
+    fields = dict.fromkeys(["id", "device_id", "event_type", "severity", "detected_at", *order])
+    alerts = tactical_alerts(events, namespace, severity_from_data).withColumns({"device_id": F.col("source"), "event_type": F.col("type")})
+    kept = newest_rows(alerts.select(*fields), ("id",), order, oldest=True).select("id", "device_id", "event_type", "severity", "detected_at")
     if existing is None:
         return kept
     return kept.join(existing.select("id"), "id", "left_anti")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convoy.functions.common import blank, filled, micros
+from convoy.functions.newest import newest_rows, order_number
 from convoy.functions.severity import (
     BUCKETS, bucket_name, cm_rank, logistics_rank, severity_name, worse_rank,
 )
@@ -28,17 +29,13 @@ WINDOWS, CM_STATE = "asset_telemetry_windows", "asset_cm_state_json"
 
 def registry_latest(registry: DataFrame) -> DataFrame:
     """Newest edge and region per asset; rows without asset or region never count."""
-    known = registry.filter(filled(F.col("asset_id")) & filled(F.col("region_id")))
-    return (
-        known.groupBy("asset_id")
-        .agg(F.max_by(F.struct(F.coalesce("edge_id", F.lit("")).alias("edge_id"), "region_id"),
-                      F.struct("ts", "seq")).alias("v"))
-        .select("asset_id", "v.edge_id", "v.region_id")
-    )
+    known = registry.filter(filled(F.col("asset_id")) & filled(F.col("region_id"))).select(
+        "asset_id", F.coalesce("edge_id", F.lit("")).alias("edge_id"), "region_id", "ts", "seq")
+    return newest_rows(known, ("asset_id",), ("ts", "seq")).select("asset_id", "edge_id", "region_id")
 
 
 def resolve_region(events: DataFrame, registry: DataFrame, attempts: int = LOOKUP_ATTEMPTS,
-                   delay_us: int = LOOKUP_DELAY_US, hot_rows: int | None = None) -> DataFrame:
+                   delay_us: int = LOOKUP_DELAY_US, hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """Fills empty regions from the registry as known when the event arrived.
 
     An event whose asset is unknown looks again ``attempts - 1`` times, ``delay_us`` apart, and
@@ -58,7 +55,7 @@ def resolve_region(events: DataFrame, registry: DataFrame, attempts: int = LOOKU
     )
     is_event = F.col("_try").isNull()
     found = ordered_groups(
-        timeline, "asset_id", [F.col("_us"), is_event.asc(), F.col("_at"), F.col("seq")], hot_rows
+        timeline, "asset_id", [F.col("_us"), is_event.asc(), F.col("_at"), F.col("seq")], hot_rows, bound
     ).with_running(**{
         f"_hit{k}": last_value(F.when(F.col("_try") == k, F.col("_region"))) for k in range(attempts)
     }).result().filter(is_event)
@@ -190,16 +187,24 @@ def latest_by_asset(envelopes: DataFrame) -> DataFrame:
 
 
 def latest_contributions(rows: DataFrame) -> DataFrame:
-    """``latest_by_asset`` for rows that are already flat."""
-    order = F.struct("wrapped_at", "seq")
+    """``latest_by_asset`` for rows that are already flat.
+
+    The newest times of the three kinds are one hash aggregate of numbers; the few rows that have them come back by a
+    join. Of rows that tie the greatest content counts.
+    """
     is_log, is_cm = F.col("payload_type") == LOGISTICS, F.col("payload_type") == CM_STATE
-    names_edge = ~is_cm | filled(F.col("edge_id"))
-    latest = rows.groupBy("region_id", "asset_id").agg(
-        F.max_by(F.struct("severity", "factors"), F.when(is_log, order)).alias("log"),
-        F.max_by(F.struct("overall_status", "lifecycle"), F.when(is_cm, order)).alias("cm"),
-        F.max_by("edge_id", F.when(names_edge, order)).alias("edge"),
-        F.max("wrapped_at").alias("last_updated"),
-    )
+    kinds = {"log": is_log, "cm": is_cm, "edge": ~is_cm | filled(F.col("edge_id"))}
+    fields = {"log": F.struct("severity", "factors"), "cm": F.struct("overall_status", "lifecycle"), "edge": F.struct("edge_id")}
+    at = order_number(rows, ("wrapped_at", "seq"))
+    tops = rows.groupBy(F.col("region_id").alias("_region"), F.col("asset_id").alias("_asset")).agg(
+        *[F.max(F.when(kind, at)).alias(f"_{name}") for name, kind in kinds.items()], F.max("wrapped_at").alias("last_updated"))
+    newest = {name: kind & (at == F.col(f"_{name}")) for name, kind in kinds.items()}
+    found = rows.join(tops, F.col("region_id").eqNullSafe(F.col("_region")) & (F.col("asset_id") == F.col("_asset"))).filter(
+        reduce(lambda a, b: a | b, newest.values()))
+    latest = found.groupBy("region_id", "asset_id").agg(
+        *[F.array_max(F.collect_set(F.when(newest[name], fields[name]))).alias(name) for name in kinds],
+        F.max("last_updated").alias("last_updated"),
+    ).withColumn("edge", F.col("edge.edge_id"))
     none = F.array().cast("array<struct<factor_id:string,severity:string>>")
     return latest.select(
         "region_id", "asset_id",
@@ -232,11 +237,8 @@ def wear_contributions(envelopes: DataFrame) -> DataFrame:
 def wear_latest(envelopes: DataFrame) -> DataFrame:
     """Newest remaining life per asset and component; a component missing from a newer
     message keeps its older value."""
-    return (
-        wear_contributions(envelopes).groupBy("region_id", "asset_id", "component_id")
-        .agg(F.max_by(F.struct("unit", "rul"), F.struct("wrapped_at", "seq")).alias("v"))
-        .select("region_id", "asset_id", "component_id", "v.unit", "v.rul")
-    )
+    keys = ("region_id", "asset_id", "component_id")
+    return newest_rows(wear_contributions(envelopes), keys, ("wrapped_at", "seq")).select(*keys, "unit", "rul")
 
 
 def merge_assets(envelopes: DataFrame) -> DataFrame:
@@ -317,7 +319,4 @@ def stamp_provenance(rollup: DataFrame, observed_at: Column) -> DataFrame:
 
 def latest_state(events: DataFrame, key: str = "asset_id") -> DataFrame:
     """The newest event per asset, all columns kept."""
-    return (
-        events.filter(filled(F.col(key))).groupBy(key)
-        .agg(F.max_by(F.struct("*"), F.struct("ts", "seq")).alias("_row")).select("_row.*")
-    )
+    return newest_rows(events.filter(filled(F.col(key))), (key,), ("ts", "seq"))

@@ -8,7 +8,7 @@ from convoy.operators.regional import latest_state
 from convoy.plans import testviews as tv
 from convoy.schemas import TELEMETRY
 from convoy.sources import readers
-from convoy.sources.tables import BatchTable, LatestTable, SnapshotTable
+from convoy.sources.tables import BatchTable
 from convoy.streaming import jobs
 
 
@@ -82,30 +82,6 @@ def test_read_edges(spark, tmp_path):
     assert sorted(tuple(r) for r in out.collect()) == [("e1", "e1"), ("e2", "e2")]
 
 
-def test_tables(spark, tmp_path):
-    rows = lambda *r: spark.createDataFrame(list(r), "id string, v int, seq long")
-    alerts = BatchTable(str(tmp_path / "alerts"))
-    assert alerts.read(spark) is None
-    insert = alerts.insert_new("id")
-    insert(rows(("a", 1, 1)), 0)
-    insert(rows(("a", 2, 2), ("b", 2, 2)), 1)
-    insert(rows(("a", 2, 2), ("b", 2, 2)), 1)        # retried
-    assert sorted((r.id, r.v) for r in alerts.read(spark).collect()) == [("a", 1), ("b", 2)]
-
-    latest = LatestTable(BatchTable(str(tmp_path / "latest")), ("id",), ("seq",))
-    latest.upsert()(rows(("a", 1, 1), ("a", 2, 2)), 0)
-    latest.upsert()(rows(("b", 5, 1), ("a", 9, 0)), 1)
-    assert sorted((r.id, r.v) for r in latest.current(spark).collect()) == [("a", 2), ("b", 5)]
-    assert sorted((r.id, r.v) for r in latest.current(spark, upto=0).collect()) == [("a", 2)]
-
-    snapshot = SnapshotTable(str(tmp_path / "snap"), ("id",), ("seq",))
-    snapshot.advance(rows(("a", 1, 1)), 0)
-    for _ in range(2):
-        state = snapshot.advance(rows(("b", 2, 1)), 1)
-        assert sorted((r.id, r.v) for r in state.collect()) == [("a", 1), ("b", 2)]
-    assert sorted((r.id, r.v) for r in snapshot.advance(rows(("a", 7, 7)), 2).collect()) == [("a", 7), ("b", 2)]
-
-
 def test_append_stream(spark, tmp_path):
     source = tv.events(spark, "/root/testdata/sf0.001")
     source.write.parquet(str(tmp_path / "in"))
@@ -115,17 +91,6 @@ def test_append_stream(spark, tmp_path):
     assert latest_state(source).count() == 15
 
 
-def test_snapshot_goes_on_after_a_new_checkpoint(spark, tmp_path):
-    """A stream that starts again at batch 0 keeps what an earlier one stored, whichever folder was last."""
-    for batches in (1, 2):
-        table = SnapshotTable(str(tmp_path / f"again{batches}"), ("id",), ("seq",))
-        for n in range(batches):
-            table.advance(spark.createDataFrame([(f"k{n}", n)], "id string, seq long"), n)
-        rows = table.advance(spark.createDataFrame([("k0", 9), ("new", 1)], "id string, seq long"), 0)
-        want = {("k0", 9), ("new", 1)} | ({("k1", 1)} if batches == 2 else set())
-        assert {tuple(r) for r in rows.collect()} == want
-
-
 def test_an_unreadable_table_is_an_error(spark, tmp_path):
     assert BatchTable(str(tmp_path / "none")).read(spark) is None
     (tmp_path / "bad" / "batch_id=0").mkdir(parents=True)
