@@ -42,6 +42,8 @@ class Running:
             return F.max(value)
         if self.kind == "first":
             return F.first(value, ignorenulls=True)
+        if self.kind == "set":
+            return F.collect_set(value)
         return F.last(value, ignorenulls=True)
 
     def whole(self) -> Column:
@@ -50,9 +52,11 @@ class Running:
             return F.min_by(self.value, F.when(self.value.isNotNull(), F.col(_RANK)))
         if self.kind == "last":
             return F.max_by(self.value, F.when(self.value.isNotNull(), F.col(_RANK)))
-        return self.aggregate(self.value)
+        return self.finish(self.aggregate(self.value))
 
     def finish(self, local: Column) -> Column:
+        if self.kind == "set":
+            return F.array_distinct(F.flatten(local))
         return F.coalesce(local, F.lit(0)) if self.kind == "sum" else local
 
     def combine(self, carried: Column, local: Column) -> Column:
@@ -62,6 +66,8 @@ class Running:
             return F.greatest(carried, local)
         if self.kind == "first":
             return F.coalesce(carried, local)
+        if self.kind == "set":
+            return F.array_union(F.coalesce(carried, local), F.coalesce(local, carried))
         return F.coalesce(local, carried)
 
 
@@ -78,6 +84,11 @@ def running_max(value) -> Running:
     return Running("max", _column(value))
 
 
+def running_set(values) -> Running:
+    """Distinct entries of the arrays so far; for vocabularies that stay short."""
+    return Running("set", _column(values))
+
+
 def first_value(value) -> Running:
     return Running("first", _column(value))
 
@@ -126,9 +137,10 @@ class OrderedGroups:
             self.df.filter(F.col(_CHUNK) > 0).groupBy(*self.keys, _CHUNK)
             .agg(*[s.whole().alias(f"_end_{n}") for n, s in specs.items()])
             .select(*self.keys, _CHUNK, *[
-                s.aggregate(F.col(f"_end_{n}")).over(earlier).alias(f"_carry_{n}") for n, s in specs.items()
+                s.finish(s.aggregate(F.col(f"_end_{n}")).over(earlier)).alias(f"_carry_{n}") for n, s in specs.items()
             ])
         )
+        local = {n: specs[n].finish(c) for n, c in local.items()}
         joined = self.df.withColumns(local).join(carried, [*self.keys, _CHUNK], "left")
         merged = joined.withColumns({
             n: s.combine(F.col(f"_carry_{n}"), F.col(n)) for n, s in specs.items()
@@ -150,15 +162,21 @@ class OrderedGroups:
         return self.df.drop(_CHUNK, _RANK)
 
 
-def ordered_groups(df: DataFrame, keys, order, hot_rows: int | None = None) -> OrderedGroups:
-    """Wrap ``df``; groups above ``hot_rows`` rows are split into chunks."""
+def ordered_groups(df: DataFrame, keys, order, hot_rows: int | None = None, bound: int | None = None) -> OrderedGroups:
+    """Wrap ``df``; groups above ``hot_rows`` rows are split into chunks.
+
+    ``bound`` is a number of rows that no group exceeds, for instance the rows of the file all of it comes from, which
+    parquet knows without a scan. Without it the rows of ``df`` are counted, which runs all that stands before it.
+    """
     keys = (keys,) if isinstance(keys, str) else tuple(keys)
     order = tuple(_column(c) for c in order)
     spark = df.sparkSession
     limit = hot_rows or int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
     plain = OrderedGroups(df, keys, order)
+    if df.isStreaming or (bound is not None and bound <= limit):
+        return plain
     # No group is larger than the whole, and counting the whole needs no shuffle.
-    if df.isStreaming or df.count() <= limit:
+    if df.count() <= limit:
         return plain
 
     # At most total_rows / limit keys pass the filter, so this collect is bounded.

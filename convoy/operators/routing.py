@@ -53,33 +53,40 @@ def extract_reading(events: DataFrame, data: str = "data") -> DataFrame:
     Numbers, booleans and texts that hold a number count; rows without one are dropped. The kind
     of the JSON value decides: the text "0" is a temperature of 0, the number 0 is none.
     """
-    parsed = F.try_parse_json(F.col(data))
+    def bound(value: Column, use) -> Column:
+        """``use`` of a value that is evaluated once, however often it is named."""
+        return F.transform(F.array(value), use)[0]
 
-    def field(name: str, kind: str) -> Column:
-        return F.try_variant_get("_parsed", f"$.{name}", kind)
+    def kind(value: Column) -> Column:
+        return F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
 
-    def kind(name: str) -> Column:
-        return F.coalesce(F.schema_of_variant(field(name, "variant")), F.lit("VOID"))
+    def number(value: Column, is_a: Column) -> Column:
+        text = F.try_variant_get(value, "$", "string")
+        return (
+            F.when(is_a == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("double"))
+            .when(is_a == "STRING", F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double")))
+            .when(~is_a.rlike("^(VOID|ARRAY|OBJECT)"), F.try_variant_get(value, "$", "double"))
+        )
 
-    def number(name: str) -> Column:
-        text = field(name, "string")
+    def empty(value: Column, is_a: Column) -> Column:
         return (
-            F.when(kind(name) == "BOOLEAN", field(name, "boolean").cast("double"))
-            .when(kind(name) == "STRING", F.when(text.rlike(_NUMBER), F.expr(f"try_cast(trim(try_variant_get(_parsed, '$.{name}', 'string')) as double)")))
-            .when(~kind(name).rlike("^(VOID|ARRAY|OBJECT)"), field(name, "double"))
+            F.when(is_a == "VOID", True)
+            .when(is_a == "BOOLEAN", ~F.try_variant_get(value, "$", "boolean"))
+            .when(is_a.rlike("^(STRING|ARRAY|OBJECT)"), F.try_variant_get(value, "$", "string").isin("", "[]", "{}"))
+            .otherwise(F.try_variant_get(value, "$", "double") == 0)
         )
 
-    empty = (
-        F.when(kind("temperature") == "VOID", True)
-        .when(kind("temperature") == "BOOLEAN", ~field("temperature", "boolean"))
-        .when(kind("temperature").rlike("^(STRING|ARRAY|OBJECT)"), field("temperature", "string").isin("", "[]", "{}"))
-        .otherwise(field("temperature", "double") == 0)
-    )
-    return (
-        events.withColumn("_parsed", parsed)
-        .withColumn("reading", F.when(empty, number("value")).otherwise(number("temperature")))
-        .filter(F.col("reading").isNotNull()).drop("_parsed")
-    )
+    def field(name: str):
+        return lambda parsed: F.try_variant_get(parsed, f"$.{name}", "variant")
+
+    def chosen(parsed: Column) -> Column:
+        first = bound(field("temperature")(parsed), lambda t: bound(kind(t), lambda k: F.when(~F.coalesce(empty(t, k), F.lit(False)), F.struct(number(t, k)))))
+        second = bound(field("value")(parsed), lambda v: bound(kind(v), lambda k: number(v, k)))
+        return bound(first, lambda t: F.when(t.isNotNull(), t["col1"]).otherwise(second))
+
+    # Exploding an array keeps Spark from evaluating the reading once more in a filter of its own.
+    reading = F.filter(F.array(bound(F.try_parse_json(F.col(data)), chosen)), lambda r: r.isNotNull())
+    return events.withColumn("reading", F.explode(reading))
 
 
 def namespaced(sensors: Iterable[tuple] = SENSORS, namespace: str = "fleet") -> tuple[tuple, ...]:
@@ -102,19 +109,19 @@ def window_start(ts: Column, seconds: Column) -> Column:
     return F.timestamp_micros(micros(ts) - F.pmod(micros(ts), seconds.cast("long") * 1_000_000))
 
 
-def tumbling_running_mean(readings: DataFrame, per_type: bool = True, hot_rows: int | None = None) -> DataFrame:
+def tumbling_running_mean(readings: DataFrame, per_type: bool = True, hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """Mean of the readings of a window after each event."""
     keys = ["device", *(["type"] if per_type else []), "window_start"]
     groups = ordered_groups(
         readings.withColumn("window_start", window_start(F.col("ts"), F.col("window_seconds"))),
-        keys, ["ts", "seq"], hot_rows,
+        keys, ["ts", "seq"], hot_rows, bound,
     ).with_running(_sum=running_sum("reading"), n=running_count())
     return groups.with_columns(mean=F.col("_sum") / F.col("n")).result().drop("_sum")
 
 
-def tumbling_alerts(readings: DataFrame, per_type: bool = True, hot_rows: int | None = None) -> DataFrame:
+def tumbling_alerts(readings: DataFrame, per_type: bool = True, hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """One alert per event that leaves the mean of its window above the threshold."""
-    means = tumbling_running_mean(readings, per_type, hot_rows)
+    means = tumbling_running_mean(readings, per_type, hot_rows, bound)
     return means.filter(~F.isnan("mean") & (F.col("mean") > F.col("critical_threshold")))
 
 
@@ -144,7 +151,7 @@ def threshold_events(alerts: DataFrame, namespace: str = "fleet") -> DataFrame:
 
 
 def offline_alerts(connections: DataFrame, timeout_seconds: int = OFFLINE_TIMEOUT_SECONDS,
-                   hot_rows: int | None = None) -> DataFrame:
+                   hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """Each lost connection that no restore follows within the timeout.
 
     The next restore is found by one pass backwards in time, not by a join per device, so a
@@ -154,7 +161,7 @@ def offline_alerts(connections: DataFrame, timeout_seconds: int = OFFLINE_TIMEOU
     at = micros(F.col("ts"))
     groups = ordered_groups(
         connections.filter(filled(F.col("device")) & F.col("state").isin("lost", "restored")),
-        "device", [F.desc("ts"), restored.asc(), F.desc("seq")], hot_rows,
+        "device", [F.desc("ts"), restored.asc(), F.desc("seq")], hot_rows, bound,
     ).with_running(_restored_us=last_value(F.when(restored, at)))
     deadline = at + timeout_seconds * 1_000_000
     return (

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convoy.functions.common import iso_time, micros, slot, stable_id
-from convoy.functions.quantities import quantity, quantity_in
+from convoy.functions.quantities import convertible, quantity, quantity_in
 from convoy.operators.ordered import ordered_groups, previous_row, running_count
 
 # Smoothing factor and limits of the thermal rule.
@@ -19,6 +20,10 @@ DELTA_LIMIT_K = 80.0
 RATE_LIMIT_K = 2.0
 THERMAL_RULE = "thermal.runaway.v1"
 
+#: A rule of this library's own.
+DRIFT_RULE = "thermal.drift.v1"
+DRIFT_LIMIT_K = 40.0
+
 
 def event_view(telemetry: DataFrame) -> DataFrame:
     """The few fields detectors read."""
@@ -40,7 +45,7 @@ _DOUBLE_RANGE = 2100
 
 
 def ewma(df: DataFrame, value: str, key: str = "asset_id", alpha: float = EWMA_ALPHA,
-         out: str = "ewma", seed: float | None = None, hot_rows: int | None = None) -> DataFrame:
+         out: str = "ewma", seed: float | None = None, hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """Exponential moving average seeded with the first value (or with ``seed``).
 
     ``alpha`` may be anything above 0 up to 1; every earlier row counts with its full weight.
@@ -48,7 +53,7 @@ def ewma(df: DataFrame, value: str, key: str = "asset_id", alpha: float = EWMA_A
     if not 0 < alpha <= 1:
         raise ValueError("alpha must lie above 0 and not above 1")
     decay = 1.0 - alpha
-    numbered = ordered_groups(df, key, ["ts", "seq"], hot_rows).with_running(_n=running_count()).result()
+    numbered = ordered_groups(df, key, ["ts", "seq"], hot_rows, bound).with_running(_n=running_count()).result()
     share = alpha * F.col(value)
     start = F.col(value) if seed is None else share + decay * seed
     rows = numbered.withColumn("_share", F.when(F.col("_n") == 1, start).otherwise(share))
@@ -88,40 +93,78 @@ def _decayed_sum(rows: DataFrame, key: str, n: str, share: str, log_decay: float
 
 
 def sample_delta(df: DataFrame, value: str, key: str = "asset_id", out: str = "rate",
-                 hot_rows: int | None = None) -> DataFrame:
+                 hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """Change since the previous sample; 0 on the first and after a previous value of 0."""
-    groups = ordered_groups(df, key, ["ts", "seq"], hot_rows).with_running(_prev=previous_row(v=F.col(value)))
+    groups = ordered_groups(df, key, ["ts", "seq"], hot_rows, bound).with_running(_prev=previous_row(v=F.col(value)))
     before = F.coalesce(F.nullif(F.col("_prev.v"), F.lit(0.0)), F.col(value))
     return groups.with_columns(**{out: F.col(value) - before}).result().drop("_prev")
 
 
 def thermal_samples(view: DataFrame) -> DataFrame:
-    """Events with both temperatures, in kelvin."""
-    return view.withColumns({
-        "component_temp_k": quantity_in(F.col("component_temp"), "kelvin"),
-        "ambient_temp_k": quantity_in(F.col("ambient_temp"), "kelvin"),
-    }).filter(F.col("component_temp_k").isNotNull() & F.col("ambient_temp_k").isNotNull()).select(
-        "asset_id", "ts", "seq", "sample_time", "component_temp_k", "ambient_temp_k")
+    """Events with both temperatures, in kelvin; the others go before anything is converted."""
+    temperatures = {f"{name}_k": F.col(name) for name in ("component_temp", "ambient_temp")}
+    return view.filter(reduce(lambda a, b: a & b, [convertible(q, "kelvin") for q in temperatures.values()])).select(
+        "asset_id", "ts", "seq", "sample_time", *[quantity_in(q, "kelvin").alias(name) for name, q in temperatures.items()])
+
+
+@dataclass(frozen=True)
+class Rule:
+    """When a sample is an anomaly and what is said about it, over the columns of a rated sample."""
+
+    rule_id: str
+    when: Column
+    summary: Column
+    evidence: Column
+    severity: str = "critical"
+
+    def record(self) -> Column:
+        """The anomaly of a sample with its evidence as JSON; null if it is none."""
+        return F.when(self.when, F.struct(
+            F.lit(self.rule_id).alias("rule_id"), F.lit(self.severity).alias("severity"), self.summary.alias("summary"),
+            F.to_json(self.evidence).alias("evidence")))
+
+
+def runaway_rule() -> Rule:
+    """Component far above ambient and still rising."""
+    delta, rate = F.col("component_temp_k") - F.col("ambient_temp_k"), F.col("rate_k_per_sample")
+    return Rule(
+        THERMAL_RULE, (delta > DELTA_LIMIT_K) & (rate > RATE_LIMIT_K),
+        # Fixed value: the wording of the summary.
+        F.format_string("Component %.1fK above ambient, rising %.2fK/sample", delta, rate),
+        F.struct("component_temp_k", "ambient_temp_k", delta.alias("delta_k"), "rate_k_per_sample"),
+    )
+
+
+def drift_rule(limit_k: float = DRIFT_LIMIT_K) -> Rule:
+    """Component far above its own moving average."""
+    drift = F.col("component_temp_k") - F.col("ewma_k")
+    return Rule(
+        DRIFT_RULE, drift > limit_k, F.format_string("Component %.1fK above its moving average", drift),
+        F.struct("component_temp_k", "ewma_k", drift.alias("drift_k")), "warning",
+    )
+
+
+def found_by(rule: Rule, rated: DataFrame) -> DataFrame:
+    """Anomalies among rated samples."""
+    return rated.filter(rule.when).select(
+        F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.severity).alias("severity"), "asset_id", rule.summary.alias("summary"),
+        F.coalesce("sample_time", "ts").alias("detected_at"), "ts", "seq", rule.evidence.alias("evidence"),
+    )
 
 
 def runaways(rated: DataFrame) -> DataFrame:
     """Anomalies among samples with their change since the sample before."""
-    hot = rated.withColumn("delta_k", F.col("component_temp_k") - F.col("ambient_temp_k"))
-    return hot.filter(
-        (F.col("delta_k") > DELTA_LIMIT_K) & (F.col("rate_k_per_sample") > RATE_LIMIT_K)
-    ).select(
-        F.lit(THERMAL_RULE).alias("rule_id"), F.lit("critical").alias("severity"), "asset_id",
-        # Fixed value: the wording of the summary.
-        F.format_string("Component %.1fK above ambient, rising %.2fK/sample", "delta_k", "rate_k_per_sample")
-        .alias("summary"),
-        F.coalesce("sample_time", "ts").alias("detected_at"), "ts", "seq",
-        F.struct("component_temp_k", "ambient_temp_k", "delta_k", "rate_k_per_sample").alias("evidence"),
-    )
+    return found_by(runaway_rule(), rated)
 
 
-def thermal_runaway(view: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def thermal_runaway(view: DataFrame, hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """Component far above ambient and still rising; events lacking a temperature leave no trace."""
-    return runaways(sample_delta(thermal_samples(view), "component_temp_k", out="rate_k_per_sample", hot_rows=hot_rows))
+    return runaways(sample_delta(thermal_samples(view), "component_temp_k", out="rate_k_per_sample", hot_rows=hot_rows, bound=bound))
+
+
+def thermal_drift(view: DataFrame, limit_k: float = DRIFT_LIMIT_K, hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
+    """Component far above the moving average of its temperature."""
+    return found_by(drift_rule(limit_k), ewma(thermal_samples(view), "component_temp_k", out="ewma_k", hot_rows=hot_rows, bound=bound))
 
 
 Detector = Callable[[DataFrame], DataFrame]

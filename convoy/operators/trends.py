@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from convoy.functions.common import filled, micros, slot
 from convoy.functions.quantities import present
-from convoy.operators.ordered import last_value, ordered_groups, running_count
+from convoy.operators.ordered import _CHUNK as CHUNK, last_value, ordered_groups, running_count, running_set
 
 # Default window lengths, emission interval, and the sample cap for those who ask for one.
 FLUID_WINDOW = "15 minutes"
@@ -69,16 +69,16 @@ def signals(telemetry: DataFrame) -> DataFrame:
 
 
 def emit_ticks(events: DataFrame, every: int = EMIT_EVERY, key: str = "asset_id",
-               hot_rows: int | None = None) -> DataFrame:
+               hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """Every ``every``-th event of an asset, with its running number."""
-    counted = ordered_groups(events, key, ["ts", "seq"], hot_rows).with_running(n_events=running_count())
+    counted = ordered_groups(events, key, ["ts", "seq"], hot_rows, bound).with_running(n_events=running_count())
     return counted.result().filter(F.col("n_events") % every == 0)
 
 
 # ---------------------------------------------------------------- trends
 
 def rolling_trend(samples: DataFrame, window, keys=("asset_id", "signal"), cap: int | None = None,
-                  hot_rows: int | None = None) -> DataFrame:
+                  hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """Trend at each sample over [ts - window, ts]; rows with fewer than two samples are dropped.
 
     With ``cap`` only the newest ``cap`` samples of a window count.
@@ -86,11 +86,11 @@ def rolling_trend(samples: DataFrame, window, keys=("asset_id", "signal"), cap:
     rows = samples.withColumns({
         "_us": micros(F.col("ts")), "_wanted": F.lit(True), "_width": F.lit(interval_us(window)),
     })
-    return _trends(rows, list(keys), cap, hot_rows).filter(F.col("n") >= 2)
+    return _trends(rows, list(keys), cap, hot_rows, bound).filter(F.col("n") >= 2)
 
 
 def trends_at(samples: DataFrame, requests: DataFrame, keys=("asset_id", "signal"), cap: int | None = None,
-              hot_rows: int | None = None) -> DataFrame:
+              hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """Trend at each requested (keys, ts, seq); requests without samples keep n = 0.
 
     Both sides carry the window of their signal as ``width`` in microseconds.
@@ -102,41 +102,44 @@ def trends_at(samples: DataFrame, requests: DataFrame, keys=("asset_id", "signal
                                      F.lit(True).alias("_wanted")))
         .withColumn("_us", micros(F.col("ts")))
     )
-    return _trends(rows, list(keys), cap, hot_rows).drop("value")
+    return _trends(rows, list(keys), cap, hot_rows, bound).drop("value")
 
 
-def _trends(rows: DataFrame, keys: list[str], cap: int | None, hot_rows: int | None) -> DataFrame:
-    return _finish(_timed(rows, keys) if cap is None else _capped(rows, keys, cap, hot_rows))
+def _trends(rows: DataFrame, keys: list[str], cap: int | None, hot_rows: int | None, bound: int | None) -> DataFrame:
+    return _finish(_timed(rows, keys, hot_rows, bound) if cap is None else _capped(rows, keys, cap, hot_rows, bound))
 
 
-def _moments(x: Column, y: Column, at: Column, order: Column, window) -> Column:
-    """Count, means and centred second moments over a window, with the newest sample."""
-    n = F.count(y).over(window)
+def _moments(x: Column, y: Column, at: Column, order: Column, over=lambda aggregate: aggregate) -> Column:
+    """Count, means and centred second moments of a group or, with ``over``, of a window; with the newest sample."""
+    n = over(F.count(y))
     return F.struct(
         n.alias("n"),
-        F.avg(x).over(window).alias("mx"),
-        F.avg(y).over(window).alias("my"),
-        (F.var_pop(x).over(window) * n).alias("sxx"),
-        (F.var_pop(y).over(window) * n).alias("syy"),
-        (F.covar_pop(x, y).over(window) * n).alias("sxy"),
-        F.min(at).over(window).alias("first_us"),
-        F.max(F.when(y.isNotNull(), F.struct(at.alias("us"), order.alias("seq"), y.alias("value"))))
-        .over(window).alias("latest"),
+        over(F.avg(x)).alias("mx"),
+        over(F.avg(y)).alias("my"),
+        (over(F.var_pop(x)) * n).alias("sxx"),
+        (over(F.var_pop(y)) * n).alias("syy"),
+        (over(F.covar_pop(x, y)) * n).alias("sxy"),
+        over(F.min(at)).alias("first_us"),
+        over(F.max(F.when(y.isNotNull(), F.struct(at.alias("us"), order.alias("seq"), y.alias("value"))))).alias("latest"),
     )
 
 
 def _merge(a: Column, b: Column) -> Column:
+    """Moments of two sets of samples together; null stands for none."""
     zero = F.lit(0.0)
 
     def of(part: Column, field: str) -> Column:
         return F.coalesce(part[field], zero)
 
     na, nb = F.coalesce(a["n"], F.lit(0)), F.coalesce(b["n"], F.lit(0))
-    share = F.when(na + nb > 0, na * nb / (na + nb)).otherwise(zero)
-    share = F.when((na == 0) | (nb == 0), zero).otherwise(share)
+    share = F.when((na == 0) | (nb == 0), zero).otherwise(na * nb / (na + nb))
     dx, dy = of(a, "mx") - of(b, "mx"), of(a, "my") - of(b, "my")
+
+    def mean(field: str) -> Column:
+        return F.when(na == 0, b[field]).when(nb == 0, a[field]).otherwise((na * a[field] + nb * b[field]) / (na + nb))
+
     return F.struct(
-        (na + nb).alias("n"),
+        (na + nb).cast("long").alias("n"), mean("mx").alias("mx"), mean("my").alias("my"),
         (of(a, "sxx") + of(b, "sxx") + dx * dx * share).alias("sxx"),
         (of(a, "syy") + of(b, "syy") + dy * dy * share).alias("syy"),
         (of(a, "sxy") + of(b, "sxy") + dx * dy * share).alias("sxy"),
@@ -145,12 +148,13 @@ def _merge(a: Column, b: Column) -> Column:
     )
 
 
-def _timed(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Moments over [time - width, time]."""
-    return _windowed(rows, keys, F.col("_us"), F.col("_width"), F.col("_slice") * F.col("_width"))
+def _timed(rows: DataFrame, keys: list[str], hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
+    """Moments over [time - width, time]; slices above ``hot_rows`` rows are split."""
+    origin = F.col("_slice") * F.col("_width")
+    return _windowed(rows, keys, F.col("_us"), F.col("_width"), origin, hot_rows, rows.count() if bound is None else bound)
 
 
-def _capped(rows: DataFrame, keys: list[str], cap: int, hot_rows: int | None) -> DataFrame:
+def _capped(rows: DataFrame, keys: list[str], cap: int, hot_rows: int | None, bound: int | None) -> DataFrame:
     """Moments of the newest ``cap`` samples of the time window.
 
     The newest ``cap`` samples are a window over the sample number, so the same pass gives them.
@@ -159,7 +163,7 @@ def _capped(rows: DataFrame, keys: list[str], cap: int, hot_rows: int | None) ->
     cap of samples. Requests whose newest sample is older than the window need no block.
     """
     sample = F.col("value").isNotNull()
-    numbered = ordered_groups(rows, keys, [F.col("_us"), F.desc(sample), F.col("seq")], hot_rows)
+    numbered = ordered_groups(rows, keys, [F.col("_us"), F.desc(sample), F.col("seq")], hot_rows, bound)
     known = numbered.with_running(_idx=running_count(sample), _newest=last_value(F.when(sample, F.col("_us")))).result()
     stale = ~sample & (F.coalesce("_newest", F.col("_us") - F.col("_width") - 1) < F.col("_us") - F.col("_width"))
     fresh = known.filter(~stale).drop("_newest")
@@ -174,7 +178,7 @@ def _capped(rows: DataFrame, keys: list[str], cap: int, hot_rows: int | None) ->
         ))
     )
     found = (
-        _timed(blocks, [*keys, "_block"])
+        _timed(blocks, [*keys, "_block"], bound=4 * cap)
         .filter(F.col("_block") == F.col("_block_home"))
         .withColumn("_m", F.when(F.col("_m.n") <= cap, F.col("_m")).otherwise(F.col("_counted")))
         .drop("_idx", "_counted", "_block", "_block_home")
@@ -182,10 +186,14 @@ def _capped(rows: DataFrame, keys: list[str], cap: int, hot_rows: int | None) ->
     return found.unionByName(known.filter(stale).drop("_idx", "_newest"), allowMissingColumns=True)
 
 
-def _windowed(rows: DataFrame, keys: list[str], at: Column, width: Column, origin: Column) -> DataFrame:
+def _windowed(rows: DataFrame, keys: list[str], at: Column, width: Column, origin: Column, hot_rows: int | None = None,
+              bound: int = 0) -> DataFrame:
     """Adds the moments of the samples whose coordinate lies in [at - width, at].
 
-    Times are taken relative to ``origin``, one value per slice.
+    Times are taken relative to ``origin``, one value per slice. A slice above ``hot_rows`` rows is cut into chunks of
+    neighbouring times: a row's window then holds the chunks before it from its own slice, the chunks after it from the
+    slice before, and parts of its own chunk, and whole chunks are one merged entry each. ``bound`` is the number of
+    rows that no slice has more of.
     """
     copies = (
         rows.withColumns({"_at": at, "_home": slot(at, width)})
@@ -196,7 +204,11 @@ def _windowed(rows: DataFrame, keys: list[str], at: Column, width: Column, origi
         .withColumn("_own", F.col("_slice") == F.col("_home"))
         .withColumn("_t", F.when(F.col("_own"), F.col("_at")).otherwise(F.col("_at") + width))
     )
-    group = Window.partitionBy(*keys, "_slice")
+    slices = [*keys, "_slice"]
+    # Equal times stay in one chunk, as the time alone orders the rows here.
+    groups = ordered_groups(copies, slices, ["_t"], hot_rows, 2 * bound)
+    parts = [*slices, CHUNK] if groups.split else slices
+    group = Window.partitionBy(*parts)
     forward = group.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     backward = group.orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     lookup = (
@@ -206,21 +218,38 @@ def _windowed(rows: DataFrame, keys: list[str], at: Column, width: Column, origi
     sample = F.col("value").isNotNull()
     hours = (F.col("_us") - F.col("_origin")) / _HOUR_US
 
-    def part(flag: Column, window) -> Column:
+    def part(flag: Column, over=lambda aggregate: aggregate) -> Column:
         mine = flag & sample
-        return _moments(F.when(mine, hours), F.when(mine, F.col("value")),
-                        F.when(mine, F.col("_us")), F.col("seq"), window)
+        return _moments(F.when(mine, hours), F.when(mine, F.col("value")), F.when(mine, F.col("_us")), F.col("seq"), over)
 
-    return (
-        copies
-        .withColumn("_origin", origin)
-        .withColumn("_head", part(F.col("_own"), forward))
-        .withColumn("_tail", part(~F.col("_own"), backward))
+    placed = groups.df.withColumn("_origin", origin)
+    found = (
+        placed.withColumn("_head", part(F.col("_own"), lambda a: a.over(forward)))
+        .withColumn("_tail", part(~F.col("_own"), lambda a: a.over(backward)))
         .withColumn("_tail", F.last(F.when(~F.col("_own"), F.col("_tail")), ignorenulls=True).over(lookup))
         .filter("_own")
-        .withColumn("_m", _merge(F.col("_head"), F.col("_tail")))
-        .drop("_at", "_home", "_slice", "_own", "_t", "_origin", "_head", "_tail")
     )
+    if groups.split:
+        carried = _carried(placed.groupBy(*parts).agg(part(F.col("_own")).alias("_old"), part(~F.col("_own")).alias("_next")), slices)
+        found = found.join(carried, parts, "left").withColumns({
+            "_head": _merge(F.col("_before"), F.col("_head")), "_tail": _merge(F.col("_tail"), F.col("_after")),
+        }).drop("_before", "_after")
+    return found.withColumn("_m", _merge(F.col("_head"), F.col("_tail"))).drop(
+        "_at", "_home", "_slice", "_own", "_t", "_origin", "_head", "_tail", CHUNK, "_chunk_rank")
+
+
+def _carried(chunks: DataFrame, slices: list[str]) -> DataFrame:
+    """For each chunk of a slice: the own samples of the chunks before it, and the copied ones of those after it."""
+    order = Window.partitionBy(*slices).orderBy(CHUNK)
+    kind = chunks.schema["_old"].dataType.simpleString()
+
+    def merged(name: str, window) -> Column:
+        # One entry a chunk: as many as the slice is larger than the limit.
+        return F.aggregate(F.collect_list(name).over(window), F.lit(None).cast(kind), _merge)
+
+    return chunks.filter(F.col(CHUNK) > 0).select(
+        *slices, CHUNK, merged("_old", order.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        merged("_next", order.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -241,32 +270,46 @@ def _finish(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- windowed telemetry
 
-def tick_trends(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_window=WEAR_WINDOW,
-                every: int = EMIT_EVERY, cap: int | None = None, hot_rows: int | None = None) -> DataFrame:
-    """Every known signal of an asset evaluated at each of the asset's ticks."""
+def _tick_samples(telemetry: DataFrame, fluid_window, wear_window, every: int, hot_rows: int | None, bound: int | None,
+                  *keep: Column) -> DataFrame:
+    """Samples, and a request at each tick for every signal the asset has shown so far.
+
+    Events are numbered once; what a tick asks for and the columns ``keep`` of its event travel with it. Requests carry
+    the unit of their signal and whether it has had several. An event that came twice and is a tick both times counts once.
+    """
     fluid_us, wear_us = interval_us(fluid_window), interval_us(wear_window)
-    wear = F.col("signal").startswith("wear_")
-    found = signals(telemetry).withColumn("width", F.when(wear, wear_us).otherwise(fluid_us).cast("long"))
-    # One row per asset and signal.
-    known = (
-        found.groupBy("asset_id", "signal", "width")
-        .agg(F.min(F.struct("ts", "seq")).alias("since"), F.max("unit").alias("unit"),
-             (F.min("unit") != F.max("unit")).alias("mixed_units"))
-    )
-    events = (
-        telemetry.filter(filled(F.col("asset.asset_id")))
-        .select(F.col("asset.asset_id").alias("asset_id"), "ts", "seq")
-    )
-    # An event that came twice and is a tick both times counts once.
-    ticks = emit_ticks(events, every, hot_rows=hot_rows).dropDuplicates(["asset_id", "ts", "seq"])
-    requests = (
-        ticks.join(known, "asset_id")
-        .filter(F.col("since") <= F.struct("ts", "seq"))
-        .select("asset_id", "signal", "ts", "seq", "width")
-    )
-    return trends_at(found, requests, cap=cap, hot_rows=hot_rows).join(
-        known.select("asset_id", "signal", "unit", "mixed_units"), ["asset_id", "signal"]
-    )
+    names = [c for c in telemetry.select(*keep).columns]
+    at, tick = F.struct("ts", "seq"), F.col("n_events") % every == 0
+    pairs = F.transform("found", lambda s: F.struct(s["signal"].alias("signal"), s["unit"].alias("unit")))
+    numbered = ordered_groups(event_samples(telemetry, *keep), "asset_id", ["ts", "seq"], hot_rows, bound).with_running(
+        n_events=running_count(), _seen=running_set(pairs)).with_running(_last=last_value(F.when(tick, at), inclusive=False)).result()
+
+    def request(signal: Column) -> Column:
+        units = F.transform(F.filter("_seen", lambda p: p["signal"] == signal), lambda p: p["unit"])
+        return F.struct(
+            signal.alias("signal"), F.lit(None).cast("double").alias("value"), F.lit(True).alias("_wanted"),
+            F.array_max(units).alias("unit"), (F.array_min(units) != F.array_max(units)).alias("mixed_units"))
+
+    samples = F.transform("found", lambda s: F.struct(
+        s["signal"].alias("signal"), s["value"].cast("double").alias("value"), F.lit(False).alias("_wanted"),
+        s["unit"].alias("unit"), F.lit(False).alias("mixed_units")))
+    signals_seen = F.array_distinct(F.transform("_seen", lambda p: p["signal"]))
+    asks = tick & ~F.coalesce(F.col("_last") == at, F.lit(False))
+    requests = F.when(asks, F.transform(signals_seen, request))
+    rows = numbered.select("asset_id", "ts", "seq", *names, F.explode(F.concat(samples, F.coalesce(requests, F.filter(samples, lambda _: F.lit(False))))).alias("e"))
+    return rows.select(
+        "asset_id", "ts", "seq", "e.*", *[F.when(F.col("e._wanted"), F.col(n)).alias(n) for n in names],
+        F.when(F.col("e.signal").startswith("wear_"), wear_us).otherwise(fluid_us).cast("long").alias("_width"), micros(F.col("ts")).alias("_us"))
+
+
+def tick_trends(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_window=WEAR_WINDOW,
+                every: int = EMIT_EVERY, cap: int | None = None, hot_rows: int | None = None, bound: int | None = None,
+                keep: tuple[Column, ...] = ()) -> DataFrame:
+    """Every known signal of an asset evaluated at each of the asset's ticks, with ``keep`` of the tick's event."""
+    rows = _tick_samples(telemetry, fluid_window, wear_window, every, hot_rows, bound, *keep)
+    # A signal has a sample and a request in an event at most.
+    twice = None if bound is None else 2 * bound
+    return _trends(rows, ["asset_id", "signal"], cap, hot_rows, twice).drop("value")
 
 
 def scalar_trend(unit: Column) -> Column:
@@ -324,13 +367,13 @@ def enrich_consumables(trends: DataFrame, ticks: DataFrame) -> DataFrame:
 def windowed_telemetry(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_window=WEAR_WINDOW,
                        every: int = EMIT_EVERY, cap: int | None = None,
                        edge_id: str = "edge-01", region_id: str = "region-01",
-                       producer_id: str = "edge-windows") -> DataFrame:
+                       producer_id: str = "edge-windows", hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """One record per tick: fluid map, rounds and wear arrays, fault codes, window spec.
 
     Sample count and window start come from the fluid trends alone. ``mixed_units`` names the
     signals whose samples state more than one unit, so that their trends can be told apart.
     """
-    trends = tick_trends(telemetry, fluid_window, wear_window, every, cap)
+    trends = tick_trends(telemetry, fluid_window, wear_window, every, cap, hot_rows, bound, (F.struct(*tick_fields()).alias("_tick"),))
     trend = scalar_trend(F.col("unit"))
     name = F.split("signal", ":", 2)[1]
     fluid = F.col("signal").startswith(FLUID) & (F.col("n") >= 2)
@@ -346,11 +389,9 @@ def windowed_telemetry(telemetry: DataFrame, fluid_window=FLUID_WINDOW, wear_win
         F.sum(F.when(fluid, F.col("n")).otherwise(0)).alias("sample_count"),
         F.min(F.when(fluid, F.col("window_start_us"))).alias("start_us"),
         F.array_sort(F.collect_set(F.when(F.col("mixed_units"), F.col("signal")))).alias("mixed_units"),
+        F.first("_tick").alias("_tick"),
     )
-    events = telemetry.filter(filled(F.col("asset.asset_id"))).select(
-        F.col("asset.asset_id").alias("asset_id"), "ts", "seq", *tick_fields())
-    ticks = emit_ticks(events, every).dropDuplicates(["asset_id", "ts", "seq"])
-    return window_records(per_tick.join(ticks, ["asset_id", "ts", "seq"]), edge_id, region_id, producer_id)
+    return window_records(per_tick.select("*", "_tick.*").drop("_tick"), edge_id, region_id, producer_id)
 
 
 def tick_fields() -> list[Column]:

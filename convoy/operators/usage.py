@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convoy.functions.common import filled, micros
+from convoy.functions.newest import newest_rows
 from convoy.functions.quantities import quantity_in
 from convoy.operators.ordered import (
     OrderedGroups, first_value, last_value, ordered_groups, previous_row, running_count, running_max, running_sum,
@@ -38,10 +39,10 @@ def kinematics(telemetry: DataFrame, *keep: Column) -> DataFrame:
     )
 
 
-def _segments(observations: DataFrame, hot_rows: int | None) -> OrderedGroups:
+def _segments(observations: DataFrame, hot_rows: int | None, bound: int | None) -> OrderedGroups:
     """Distance to the previous observation and the terrain stress of that segment."""
     groups = ordered_groups(
-        observations.withColumn("_us", micros(F.col("ts"))), "asset_id", ["ts", "seq"], hot_rows
+        observations.withColumn("_us", micros(F.col("ts"))), "asset_id", ["ts", "seq"], hot_rows, bound
     ).with_running(
         _prev=previous_row(x=F.col("x_m"), y=F.col("y_m"), z=F.col("z_m")),
         _pitch=last_value("pitch_deg", inclusive=False),
@@ -60,9 +61,9 @@ _WORK = ("_us", "_prev", "_pitch", "_roll", "_segment_m", "_segment_stress", "_f
 
 
 def running_usage(observations: DataFrame, fired: Column | None = None,
-                  hot_rows: int | None = None) -> DataFrame:
+                  hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """Usage so far at every observation; ``fired`` flags rows that count as a round."""
-    groups = _segments(observations, hot_rows).with_running(
+    groups = _segments(observations, hot_rows, bound).with_running(
         distance_m=running_sum("_segment_m"),
         terrain_deg_km=running_sum("_segment_stress"),
         _first_us=first_value("_us"),
@@ -74,11 +75,11 @@ def running_usage(observations: DataFrame, fired: Column | None = None,
 
 
 def usage_totals(observations: DataFrame, fired: Column | None = None,
-                 hot_rows: int | None = None) -> DataFrame:
+                 hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """Usage per asset at the end of the data; only segment lengths need an order."""
     flag = F.lit(False) if fired is None else fired
     return (
-        _segments(observations, hot_rows).result().groupBy("asset_id")
+        _segments(observations, hot_rows, bound).result().groupBy("asset_id")
         .agg(
             F.sum("_segment_m").alias("distance_m"),
             F.sum("_segment_stress").alias("terrain_deg_km"),
@@ -88,9 +89,22 @@ def usage_totals(observations: DataFrame, fired: Column | None = None,
     )
 
 
+def usage_state(observations: DataFrame, fired: Column | None = None, hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
+    """What a stream must know of each asset to go on where ``observations`` end: totals, and the last position and attitude."""
+    last = running_usage(observations, fired, hot_rows, bound)
+    known = ordered_groups(last, "asset_id", ["ts", "seq"], hot_rows, bound).with_running(
+        pitch=last_value("pitch_deg"), roll=last_value("roll_deg"), first_us=first_value(micros(F.col("ts"))), last_us=running_max(micros(F.col("ts"))),
+    ).result()
+    newest = newest_rows(known, ("asset_id",), ("ts", "seq"))
+    return newest.select(
+        "asset_id", "distance_m", "terrain_deg_km", "first_us", "last_us", F.col("rounds_fired").alias("rounds"),
+        F.col("x_m").alias("x"), F.col("y_m").alias("y"), F.col("z_m").alias("z"), "pitch", "roll",
+    )
+
+
 def rounds_fired(events: DataFrame, fired: Column, key: str = "asset_id",
-                 hot_rows: int | None = None) -> DataFrame:
+                 hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """Running number of rounds fired by an asset."""
-    return ordered_groups(events, key, ["ts", "seq"], hot_rows).with_running(
+    return ordered_groups(events, key, ["ts", "seq"], hot_rows, bound).with_running(
         rounds_fired=running_count(fired)
     ).result()

@@ -36,12 +36,12 @@ def wear_rows(derived: DataFrame, *keep: str) -> DataFrame:
 
 def derived_events(telemetry: DataFrame, life: WearLife = WearLife(), fired: Column | None = None,
                    edge_id: str = "edge-01", region_id: str = "region-01", namespace: str = "fleet",
-                   hot_rows: int | None = None) -> DataFrame:
+                   hot_rows: int | None = None, bound: int | None = None) -> DataFrame:
     """One derived event per observation: identity and provenance of its source, wear so far."""
     observations = kinematics(
         telemetry, F.col("asset"), F.col("provenance").alias("source"), F.col("ts").alias("_arrived")
     )
-    usage = derive_sustainment(running_usage(observations, fired, hot_rows), life)
+    usage = derive_sustainment(running_usage(observations, fired, hot_rows, bound), life)
     return usage.select(
         stable_id(F.lit("derived"), F.col("asset_id"), F.col("ts"), F.col("seq")).alias("event_id"),
         F.lit(1).alias("schema_revision"),

@@ -16,7 +16,7 @@ from convoy.functions.quantities import euler, known_unit, position, quantity_in
 from convoy.functions.wear_models import WearLife
 from convoy.operators import alerts, regional, routing, thermal, trends, usage, wear
 from convoy.plans import testviews as tv
-from convoy.sources import readers
+from convoy.sources import quality, readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,12 +99,54 @@ def logistics_source(spark, sf_dir):
 @query
 def edge_sources(spark, sf_dir):
     """Derived sustainment of several edges, one source each, stacked with the edge's name."""
-    derived = tv.sustainment(spark, sf_dir)
-    per_edge = [
-        regional.wrap_sustainment(derived.filter(F.col("seq") % 3 == i), f"edge-{i}", f"region-{i % 2}")
-        for i in range(3)
-    ]
-    return regional.fan_in(*per_edge).select("seq", "source_edge_id", "region_id", "asset_id")
+    read = readers.read_edges(spark, {f"edge-{i}": f"{sf_dir}/events.parquet" for i in range(3)}, tv.EVENTS)
+    number = F.substring_index("source_edge_id", "-", -1).cast("long")
+    rows = read.filter((F.col("event_type") == "purchase") & (F.col("event_id") % 3 == number)).select(
+        F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), F.struct(F.col("user_id").cast("string").alias("asset_id")).alias("asset"),
+        F.struct(F.struct(F.lit(None).cast("map<string,string>").alias("components")).alias("wear")).alias("sustainment"), "source_edge_id")
+    wrapped = regional.wrap_sustainment(rows, F.col("source_edge_id"), F.concat(F.lit("region-"), F.substring_index("source_edge_id", "-", -1).cast("int") % 2))
+    return wrapped.select("seq", "source_edge_id", "region_id", "asset_id")
+
+
+def _registry_texts(spark, sf_dir):
+    """Registry changelog as text, some of it broken, some without asset or region."""
+    rows = tv.registry(spark, sf_dir)
+    text = F.to_json(F.struct(
+        F.when(F.col("seq") % 11 == 0, "").otherwise(F.col("asset_id")).alias("asset_id"), "edge_id",
+        F.when(F.col("seq") % 7 == 0, "").otherwise(F.col("region_id")).alias("region_id"),
+    ))
+    return rows.select("seq", F.when(F.col("seq") % 13 == 0, F.substring(text, 1, 15)).otherwise(text).alias("value"))
+
+
+@query
+def source_drops(spark, sf_dir):
+    """Rows of two sources that are left out, by reason, with the numbers of rows that came and that are used."""
+    e = tv.events(spark, sf_dir)
+    event = F.to_json(F.struct(
+        F.col("seq").cast("string").alias("id"), F.when(F.col("k") % 17 != 0, F.col("asset_id")).alias("source"), F.col("kind").alias("type"),
+        F.when(F.col("k") % 10 == 1, "not json").otherwise(F.to_json(F.struct("value"))).alias("data"),
+    ))
+    events = quality.check_cloud_events(e.select("seq", F.when(F.col("k") % 10 == 0, F.substring(event, 1, 20)).otherwise(event).alias("value")))
+    checked = {"registry": quality.check_registry(_registry_texts(spark, sf_dir)), "cloud_events": events}
+    return regional.fan_in(*[
+        rows.groupBy(F.lit(name).alias("source"), F.coalesce(quality.REASON, F.lit("used")).alias("reason")).agg(F.count("*").alias("n"))
+        for name, rows in checked.items()
+    ])
+
+
+@query
+def quarantine(spark, sf_dir):
+    """The registry rows that are left out, as they came."""
+    left_out = quality.quarantined(quality.check_registry(_registry_texts(spark, sf_dir)), "registry")
+    return left_out.select("source", "reason", F.length("raw").cast("long").alias("characters"))
+
+
+@query
+def unresolved_events(spark, sf_dir):
+    """Configuration events that no registry row answers, by reason."""
+    events = tv.cm_state(spark, sf_dir)
+    rows = quality.check_resolution(events, _resolved(spark, sf_dir))
+    return rows.groupBy(F.coalesce(quality.REASON, F.lit("used")).alias("reason")).agg(F.count("*").alias("n"))
 
 
 @query
@@ -239,9 +281,14 @@ def extract_reading(spark, sf_dir):
     return routing.extract_reading(e.select("seq", data.alias("data"))).select("seq", r6("reading").alias("reading"))
 
 
+def _resolved(spark, sf_dir, attempts=regional.LOOKUP_ATTEMPTS, **options):
+    most = tv.bound(spark, sf_dir) * (1 + attempts)
+    return regional.resolve_region(tv.cm_state(spark, sf_dir), tv.registry(spark, sf_dir), attempts, bound=most, **options)
+
+
 @query
 def route_region(spark, sf_dir):
-    resolved = regional.resolve_region(tv.cm_state(spark, sf_dir), tv.registry(spark, sf_dir))
+    resolved = _resolved(spark, sf_dir)
     return regional.route_region(resolved, "region-1").select("asset_id", "seq", "region_id")
 
 
@@ -301,22 +348,20 @@ def registry_latest(spark, sf_dir):
 
 @query
 def resolve_region(spark, sf_dir):
-    resolved = regional.resolve_region(tv.cm_state(spark, sf_dir), tv.registry(spark, sf_dir))
+    resolved = _resolved(spark, sf_dir)
     return resolved.select("asset_id", "seq", us("ts").alias("us"), "region_id")
 
 
 @query
 def resolve_region_with_hold(spark, sf_dir):
     """A hold of six hours per attempt, so that late registrations matter in this data."""
-    resolved = regional.resolve_region(
-        tv.cm_state(spark, sf_dir), tv.registry(spark, sf_dir), attempts=3, delay_us=6 * 3_600_000_000
-    )
+    resolved = _resolved(spark, sf_dir, attempts=3, delay_us=6 * 3_600_000_000)
     return resolved.select("asset_id", "seq", "region_id")
 
 
 @query
 def offline_alerts(spark, sf_dir):
-    found = routing.offline_alerts(tv.connections(spark, sf_dir), tv.OFFLINE_SECONDS)
+    found = routing.offline_alerts(tv.connections(spark, sf_dir), tv.OFFLINE_SECONDS, bound=tv.bound(spark, sf_dir))
     return found.select(
         "device", "seq", us("lost_at").alias("lost_us"), us("detected_at").alias("detected_us"),
         "status", _long("timeout_seconds"), "severity",
@@ -372,13 +417,13 @@ def _readings(spark, sf_dir):
 
 @query
 def tumbling_alerts(spark, sf_dir):
-    found = routing.tumbling_alerts(_readings(spark, sf_dir), per_type=False)
+    found = routing.tumbling_alerts(_readings(spark, sf_dir), per_type=False, bound=tv.bound(spark, sf_dir))
     return found.select("device", "seq", us("window_start").alias("window_us"), "n", r6("mean").alias("mean"))
 
 
 @query
 def tumbling_alerts_per_type(spark, sf_dir):
-    found = routing.tumbling_alerts(_readings(spark, sf_dir))
+    found = routing.tumbling_alerts(_readings(spark, sf_dir), bound=tv.bound(spark, sf_dir))
     return found.select("device", "type", "seq", "n", r6("mean").alias("mean"))
 
 
@@ -390,7 +435,7 @@ def tumbling_mean(spark, sf_dir):
 
 def _usage(spark, sf_dir):
     kin = usage.kinematics(tv.telemetry(spark, sf_dir), F.col("sustainment.wear.components").isNotNull().alias("fired"))
-    return usage.running_usage(kin, F.col("fired"))
+    return usage.running_usage(kin, F.col("fired"), bound=tv.bound(spark, sf_dir))
 
 
 @query
@@ -411,7 +456,7 @@ def observed_hours(spark, sf_dir):
 @query
 def rounds_fired(spark, sf_dir):
     e = tv.events(spark, sf_dir)
-    return usage.rounds_fired(e, F.col("kind") == "purchase").select("asset_id", "seq", "rounds_fired")
+    return usage.rounds_fired(e, F.col("kind") == "purchase", bound=tv.bound(spark, sf_dir)).select("asset_id", "seq", "rounds_fired")
 
 
 @query
@@ -502,22 +547,22 @@ def _trend_columns(df: DataFrame) -> DataFrame:
 
 @query
 def rolling_trend(spark, sf_dir):
-    return _trend_columns(trends.rolling_trend(tv.samples(spark, sf_dir), TREND_WINDOW))
+    return _trend_columns(trends.rolling_trend(tv.samples(spark, sf_dir), TREND_WINDOW, bound=tv.bound(spark, sf_dir)))
 
 
 @query
 def capped_trend(spark, sf_dir):
     """The same with at most four samples per window."""
-    return _trend_columns(trends.rolling_trend(tv.samples(spark, sf_dir), TREND_WINDOW, cap=4))
+    return _trend_columns(trends.rolling_trend(tv.samples(spark, sf_dir), TREND_WINDOW, cap=4, bound=tv.bound(spark, sf_dir)))
 
 
 @query
 def emit_ticks(spark, sf_dir):
-    return trends.emit_ticks(tv.events(spark, sf_dir)).select("asset_id", "seq", "n_events")
+    return trends.emit_ticks(tv.events(spark, sf_dir), bound=tv.bound(spark, sf_dir)).select("asset_id", "seq", "n_events")
 
 
 def _tick_trends(spark, sf_dir):
-    return trends.tick_trends(tv.telemetry(spark, sf_dir), FLUID_WINDOW, WEAR_WINDOW)
+    return trends.tick_trends(tv.telemetry(spark, sf_dir), FLUID_WINDOW, WEAR_WINDOW, bound=tv.bound(spark, sf_dir))
 
 
 @query
@@ -528,7 +573,7 @@ def tick_trends(spark, sf_dir):
 
 @query
 def windowed_telemetry(spark, sf_dir):
-    found = trends.windowed_telemetry(tv.telemetry(spark, sf_dir), FLUID_WINDOW, WEAR_WINDOW)
+    found = trends.windowed_telemetry(tv.telemetry(spark, sf_dir), FLUID_WINDOW, WEAR_WINDOW, bound=tv.bound(spark, sf_dir))
     fuel = F.try_element_at("fluid_trends", F.lit("fuel_remaining"))
     return found.select(
         "asset_id", "seq", us("computed_at").alias("us"), "platform_variant",
@@ -543,7 +588,7 @@ def windowed_telemetry(spark, sf_dir):
 
 
 def _windowed(spark, sf_dir):
-    return trends.windowed_telemetry(tv.telemetry(spark, sf_dir), FLUID_WINDOW, WEAR_WINDOW)
+    return trends.windowed_telemetry(tv.telemetry(spark, sf_dir), FLUID_WINDOW, WEAR_WINDOW, bound=tv.bound(spark, sf_dir))
 
 
 @query
@@ -577,35 +622,55 @@ def window_envelopes(spark, sf_dir):
 
 @query
 def ewma(spark, sf_dir):
-    return thermal.ewma(tv.events(spark, sf_dir), "value").select("asset_id", "seq", r6("ewma").alias("ewma"))
+    return thermal.ewma(tv.events(spark, sf_dir), "value", bound=tv.bound(spark, sf_dir)).select("asset_id", "seq", r6("ewma").alias("ewma"))
 
 
 @query
 def ewma_spike(spark, sf_dir):
     """The average after rare, very large values: every earlier row still counts, as powers of ten show."""
     e = tv.events(spark, sf_dir).withColumn("value", (F.col("value") + 1) * F.when(F.col("seq") % 500 == 0, 1e20).otherwise(1.0))
-    return thermal.ewma(e, "value").select("asset_id", "seq", r6(F.log10("ewma")).alias("log_ewma"))
+    return thermal.ewma(e, "value", bound=tv.bound(spark, sf_dir)).select("asset_id", "seq", r6(F.log10("ewma")).alias("log_ewma"))
 
 
 @query
 def sample_delta(spark, sf_dir):
-    return thermal.sample_delta(tv.events(spark, sf_dir), "value").select("asset_id", "seq", r6("rate").alias("rate"))
+    return thermal.sample_delta(tv.events(spark, sf_dir), "value", bound=tv.bound(spark, sf_dir)).select("asset_id", "seq", r6("rate").alias("rate"))
 
 
 # ---------------------------------------------------------------- detection and wear
 
 @query
 def thermal_runaway(spark, sf_dir):
-    found = thermal.thermal_runaway(thermal.event_view(tv.telemetry(spark, sf_dir)))
+    found = thermal.thermal_runaway(thermal.event_view(tv.telemetry(spark, sf_dir)), bound=tv.bound(spark, sf_dir))
     return found.select(
         "asset_id", "seq", "rule_id", "severity", us("detected_at").alias("us"),
         r6("evidence.delta_k").alias("delta_k"), r6("evidence.rate_k_per_sample").alias("rate_k"),
     )
 
 
+def _runaways(spark, sf_dir):
+    most = tv.bound(spark, sf_dir)
+    return lambda view: thermal.thermal_runaway(view, bound=most)
+
+
+@query
+def thermal_drift(spark, sf_dir):
+    """Component temperature far above its own moving average."""
+    found = thermal.thermal_drift(thermal.event_view(tv.telemetry(spark, sf_dir)), bound=tv.bound(spark, sf_dir))
+    return found.select("asset_id", "seq", "rule_id", "severity", us("detected_at").alias("us"), r6("evidence.drift_k").alias("drift_k"))
+
+
+@query
+def usage_state(spark, sf_dir):
+    """Where the usage of every asset stands, for a stream to go on from."""
+    kin = usage.kinematics(tv.telemetry(spark, sf_dir), F.col("sustainment.wear.components").isNotNull().alias("fired"))
+    known = usage.usage_state(kin, F.col("fired"), bound=tv.bound(spark, sf_dir))
+    return known.select("asset_id", *[r6(c).alias(c) for c in ("distance_m", "x", "y", "z", "roll")], "first_us", "last_us", "rounds")
+
+
 @query
 def anomaly_events(spark, sf_dir):
-    found = thermal.anomaly_events(thermal.detect(thermal.event_view(tv.telemetry(spark, sf_dir))))
+    found = thermal.anomaly_events(thermal.detect(thermal.event_view(tv.telemetry(spark, sf_dir)), [_runaways(spark, sf_dir)]))
     return found.select(
         "specversion", "source", "type", "subject", "time", "datacontenttype",
         F.get_json_object("data", "$.severity").alias("severity"),
@@ -623,8 +688,8 @@ def alert_projection(spark, sf_dir):
 @query
 def alert_table(spark, sf_dir):
     """Threshold and offline alerts from raw events to the alert table."""
-    hot = routing.threshold_events(routing.tumbling_alerts(_readings(spark, sf_dir), per_type=False))
-    off = routing.offline_events(routing.offline_alerts(tv.connections(spark, sf_dir), tv.OFFLINE_SECONDS))
+    hot = routing.threshold_events(routing.tumbling_alerts(_readings(spark, sf_dir), per_type=False, bound=tv.bound(spark, sf_dir)))
+    off = routing.offline_events(routing.offline_alerts(tv.connections(spark, sf_dir), tv.OFFLINE_SECONDS, bound=tv.bound(spark, sf_dir)))
     table = alerts.project_alerts(hot.unionByName(off))
     return table.groupBy("device_id", "event_type", "severity").agg(
         F.count("*").alias("n"), F.max(us("detected_at")).alias("last_us")
@@ -640,7 +705,7 @@ def _wear_columns(df: DataFrame, *keep: str) -> DataFrame:
 def wear_status(spark, sf_dir):
     """Wear per asset and component at the end of the data."""
     kin = usage.kinematics(tv.telemetry(spark, sf_dir), F.col("sustainment.wear.components").isNotNull().alias("fired"))
-    totals = usage.usage_totals(kin, F.col("fired"))
+    totals = usage.usage_totals(kin, F.col("fired"), bound=tv.bound(spark, sf_dir))
     return _wear_columns(wear.wear_rows(wear.derive_sustainment(totals, LIFE)))
 
 
@@ -653,7 +718,7 @@ def wear_running(spark, sf_dir):
 
 @query
 def derived_events(spark, sf_dir):
-    found = wear.derived_events(tv.telemetry(spark, sf_dir), LIFE)
+    found = wear.derived_events(tv.telemetry(spark, sf_dir), LIFE, bound=tv.bound(spark, sf_dir))
     p, components = F.col("provenance"), F.col("sustainment.wear.components")
     return found.select(
         F.col("asset.asset_id").alias("asset_id"), "seq", F.col("asset.platform_variant").alias("platform_variant"),

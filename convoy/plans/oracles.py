@@ -240,6 +240,24 @@ SELECT seq, asset_id, CAST(severity AS BIGINT) AS overall_severity, factor_id,
 _add("edge_sources", BASE, """
 SELECT seq, 'edge-' || (seq % 3) AS source_edge_id, 'region-' || ((seq % 3) % 2) AS region_id, asset_id
 FROM e WHERE kind = 'purchase'""")
+_add("source_drops", (BASE, REGISTRY), """
+SELECT 'registry' AS source, CASE WHEN seq % 13 = 0 THEN 'malformed' WHEN seq % 11 = 0 THEN 'blank_asset'
+  WHEN seq % 7 = 0 THEN 'blank_region' ELSE 'used' END AS reason, count(*) AS n FROM registry GROUP BY 2
+UNION ALL
+SELECT 'cloud_events', CASE WHEN k % 10 = 0 THEN 'malformed' WHEN k % 10 = 1 THEN 'malformed_data'
+  WHEN k % 17 = 0 THEN 'blank_device' ELSE 'used' END AS reason, count(*) FROM e GROUP BY 2""")
+_add("quarantine", (BASE, REGISTRY, """
+texts AS (
+  SELECT seq, '{"asset_id":"' || CASE WHEN seq % 11 = 0 THEN '' ELSE asset_id END || '","edge_id":"' || edge_id || '","region_id":"'
+    || CASE WHEN seq % 7 = 0 THEN '' ELSE region_id END || '"}' AS t FROM registry
+)"""), """
+SELECT 'registry' AS source, CASE WHEN seq % 13 = 0 THEN 'malformed' WHEN seq % 11 = 0 THEN 'blank_asset' ELSE 'blank_region' END AS reason,
+  CASE WHEN seq % 13 = 0 THEN least(15, length(t)) ELSE length(t) END AS characters
+FROM texts WHERE seq % 13 = 0 OR seq % 11 = 0 OR seq % 7 = 0""")
+_add("unresolved_events", (BASE, REGISTRY, CM), """
+SELECT 'used' AS reason, count(*) AS n FROM cm_resolved
+UNION ALL
+SELECT 'unknown_asset', (SELECT count(*) FROM cm) - (SELECT count(*) FROM cm_resolved)""")
 _add("latest_state", BASE, """
 SELECT asset_id, seq, us, kind, round(value, 6) AS value
 FROM e QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY ts DESC, seq DESC) = 1""")
@@ -484,6 +502,25 @@ SELECT asset_id, seq, round(value - coalesce(nullif(lag(value) OVER (PARTITION B
 _add("thermal_runaway", (BASE, THERMAL), """
 SELECT asset_id, seq, 'thermal.runaway.v1' AS rule_id, 'critical' AS severity, us, round(delta_k, 6) AS delta_k,
   round(rate_k, 6) AS rate_k FROM anomalies""")
+_add("thermal_drift", (BASE, """
+averages AS (
+  SELECT asset_id, seq, us, value + 300 AS v, list_reduce(
+    list(value + 300) OVER (PARTITION BY asset_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING),
+    lambda a, x: 0.2::DOUBLE * x + 0.8::DOUBLE * a) AS ewma_k FROM e
+)"""), """
+SELECT asset_id, seq, 'thermal.drift.v1' AS rule_id, 'warning' AS severity, us, round(v - ewma_k, 6) AS drift_k
+FROM averages WHERE v - ewma_k > 40""")
+_add("usage_state", (BASE, """
+steps AS (
+  SELECT asset_id, seq, ts, us, kind, k, value, seq % 100 AS z,
+    sqrt(pow(value - lag(value) OVER w, 2) + pow(k - lag(k) OVER w, 2) + pow(seq % 100 - lag(seq % 100) OVER w, 2)) AS metres
+  FROM e WINDOW w AS (PARTITION BY asset_id ORDER BY ts, seq)
+)"""), """
+SELECT asset_id, round(sum(metres), 6) AS distance_m, round(arg_max(value, (ts, seq)), 6) AS x,
+  CAST(arg_max(k, (ts, seq)) AS DOUBLE) AS y, CAST(arg_max(z, (ts, seq)) AS DOUBLE) AS z,
+  round(arg_max(value % 45, (ts, seq)), 6) AS roll, min(us) AS first_us, max(us) AS last_us,
+  count(*) FILTER (WHERE kind = 'purchase') AS rounds
+FROM steps GROUP BY asset_id""")
 _add("anomaly_events", (BASE, THERMAL), """
 SELECT '1.0' AS specversion, 'fleet/edge/edge-01/' || asset_id AS source, 'fleet.anomaly.thermal.runaway.v1' AS type,
   asset_id AS subject, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS time, 'application/json' AS datacontenttype,

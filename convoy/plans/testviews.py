@@ -28,6 +28,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bound(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of the table that all views come from; parquet knows them, so nothing is scanned."""
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").count()
+
+
 def q(value: Column, unit: str | Column) -> Column:
     unit = F.lit(unit) if isinstance(unit, str) else unit
     return F.struct(value.cast("double").alias("value"), unit.alias("unit"))
@@ -201,8 +206,10 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "asset_id", F.col("edge_id").alias("home_edge"), F.col("region_id").alias("home_region")
     )
     derived = sustainment(spark, sf_dir).withColumn("asset_id", F.col("asset.asset_id")).join(newest, "asset_id")
-    log = regional.resolve_region(logistics(spark, sf_dir), known)
-    cm = regional.resolve_region(cm_state(spark, sf_dir), known)
+    # An event and its lookups: no timeline has more rows than that many times the table.
+    most = bound(spark, sf_dir) * (1 + regional.LOOKUP_ATTEMPTS)
+    log = regional.resolve_region(logistics(spark, sf_dir), known, bound=most)
+    cm = regional.resolve_region(cm_state(spark, sf_dir), known, bound=most)
     return regional.fan_in(
         regional.wrap_logistics(log, F.col("region_id")),
         regional.wrap_cm_state(cm, F.col("region_id")),

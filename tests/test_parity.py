@@ -12,7 +12,7 @@ SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 ORDERED = (
     "odometer", "terrain_integral", "observed_hours", "rounds_fired", "wear_running", "derived_events",
     "tumbling_alerts", "offline_alerts", "resolve_region_with_hold", "ewma", "sample_delta", "thermal_runaway",
-    "emit_ticks", "tick_trends", "capped_trend",
+    "emit_ticks", "tick_trends", "capped_trend", "rolling_trend", "windowed_telemetry", "thermal_drift", "usage_state",
 )
 
 

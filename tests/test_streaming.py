@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from convoy.operators import alerts, regional, routing, thermal, trends, usage
 from convoy.plans import testviews as tv
 from convoy.sources import readers
-from convoy.sources.tables import BatchTable, LatestTable
+from convoy.sources.tables import BatchTable, KeyedTable
 from convoy.streaming import jobs
 
 SF = "/root/testdata/sf0.001"
@@ -53,7 +53,10 @@ def rows(df, *columns):
 def test_offline(spark, run):
     as_stream, collect, _ = run
     source = tv.connections(spark, SF)
-    streamed = collect(jobs.stream_offline(as_stream(source, "conn"), "0 seconds", tv.OFFLINE_SECONDS), "offline_out")
+    stream = jobs.stream_offline(as_stream(source, "conn"), "0 seconds", tv.OFFLINE_SECONDS)
+    plan = stream._jdf.queryExecution().logical().toString()
+    assert "LeftOuter" in plan and "TransformWithState" not in plan and "Python" not in plan
+    streamed = collect(stream, "offline_out")
     end = source.agg(F.max(F.unix_micros("ts"))).first()[0]
     batch = routing.offline_alerts(source, tv.OFFLINE_SECONDS).withColumn("detected_us", F.unix_micros("detected_at"))
     due = rows(batch.filter(F.col("detected_us") < end - 1000), text_device(), "seq", "detected_us")
@@ -97,6 +100,95 @@ def test_trends(spark, run):
     assert rows(streamed, *names) == rows(batch, *names)
 
 
+def _half(source, first):
+    half = source.agg(F.percentile_approx(F.unix_micros("ts"), 0.5)).first()[0]
+    return source.filter(F.unix_micros("ts") <= half if first else F.unix_micros("ts") > half)
+
+
+def test_wear_goes_on_from_a_batch(spark, run):
+    """A stream over the second half that starts with the state of the first; the state can be read back after a restart."""
+    as_stream, collect, tmp = run
+    source = tv.telemetry(spark, SF)
+    fired = F.col("sustainment.wear.components").isNotNull()
+    before = usage.usage_state(usage.kinematics(_half(source, True), fired.alias("fired")), F.col("fired"))
+    folder = str(tmp / "before")
+    before.write.parquet(folder)
+    stream = jobs.stream_wear(as_stream(_half(source, False), "later"), fired, spark.read.parquet(folder))
+    streamed = collect(stream, "later_out")
+    whole = usage.running_usage(usage.kinematics(source, fired.alias("fired")), F.col("fired"))
+    half = _half(source, True).agg(F.max(F.unix_micros("ts"))).first()[0]
+    names = ("asset_id", "seq", "distance_m", "terrain_deg_km", "observed_hours", "rounds_fired")
+    assert rows(streamed, *names) == rows(whole.filter(F.unix_micros("ts") > half), *names) != []
+
+    state = spark.read.format("statestore").option("path", str(tmp / "later_out-checkpoint")).option("stateVarName", "usage").load()
+    held = state.select(F.col("key.asset_id").alias("asset_id"), "value.*")
+    end = usage.usage_state(usage.kinematics(source, fired.alias("fired")), F.col("fired"))
+    names = ("asset_id", "distance_m", "first_us", "last_us", "rounds", "x", "roll")
+    assert rows(held, *names) == rows(end, *names)
+
+
+def test_several_detectors(spark, run):
+    as_stream, collect, _ = run
+    source = tv.telemetry(spark, SF)
+    streamed = collect(jobs.stream_detect(as_stream(source, "det")), "det_out")
+    batch = thermal.detect(thermal.event_view(source), [thermal.thermal_runaway, thermal.thermal_drift])
+    names = ("rule_id", "severity", "asset_id", "seq", "summary", F.col("detected_at").cast("long"))
+    assert rows(streamed, *names) == rows(batch, *names)
+    assert len({r.rule_id for r in streamed.collect()}) == 2
+    drift = F.get_json_object("evidence", "$.drift_k").cast("double")
+    assert rows(streamed.filter("rule_id like '%drift%'"), "asset_id", "seq", drift) == rows(batch.filter("rule_id like '%drift%'"), "asset_id", "seq", drift)
+
+
+def test_silent_assets_leave_the_state(spark, run):
+    """With ``idle`` the state of an asset that no longer sends goes; what is written follows the batch."""
+    import time
+
+    _, collect, tmp = run
+    source = tv.telemetry(spark, SF)
+    assets = sorted(r[0] for r in source.select("asset.asset_id").distinct().collect())
+    folder, checkpoint = str(tmp / "silent"), str(tmp / "silent-checkpoint")
+    source.withColumn("n", F.row_number().over(tv_order())).filter("n <= 200").drop("n").coalesce(1).write.parquet(folder)
+
+    def step(name):
+        stream = spark.readStream.schema(source.schema).parquet(folder)
+        query = jobs.stream_trends(stream, "7 days", "14 days", idle="20 seconds").writeStream.format("memory").queryName(name).outputMode(
+            "append").option("checkpointLocation", checkpoint).trigger(processingTime="1 second").start()
+        try:
+            deadline = time.time() + 40
+            while time.time() < deadline and spark.table(name).count() == 0:
+                time.sleep(1)
+            time.sleep(2)
+        finally:
+            query.stop()
+
+    def held(variable):
+        state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", variable).load()
+        return {r[0] for r in state.select("key.asset_id").distinct().collect()}
+
+    step("silent_one")
+    assert len(held("moments")) > 5 and held("moments") <= set(assets)
+    one = assets[0]
+    time.sleep(21)
+    source.filter(F.col("asset.asset_id") == one).limit(20).coalesce(1).write.mode("append").parquet(folder)
+    step("silent_two")
+    assert held("moments") == held("known") == {one}
+
+
+def test_offline_keeps_open_losses_only(spark, run):
+    """Losses on both sides of the watermark, a restore at the very end of the timeout, and repeated rows."""
+    _, collect, tmp = run
+    lost, restored = "Connection_Lost", "Connection_Restored"
+    write_events(tmp / "events", [
+        [("1", "a", lost, 0, {}), ("1", "a", lost, 0, {}), ("2", "b", lost, 0, {}), ("3", "", lost, 0, {})],
+        [("4", "b", restored, 45, {}), ("5", "c", lost, 10, {}), ("6", "c", restored, 56, {})],
+        [("7", "d", lost, 500, {})], [("8", "d", restored, 500, {})], [("9", "e", lost, 900, {})], [("10", "e", restored, 901, {})],
+    ])
+    source = routing.connection_states(readers.read_cloud_events(spark, str(tmp / "events"), stream=True, maxFilesPerTrigger="1"))
+    streamed = collect(jobs.stream_offline(source, "1 minute"), "open_out")
+    batch = routing.offline_alerts(routing.connection_states(readers.read_cloud_events(spark, str(tmp / "events"))))
+    assert rows(streamed, "device") == rows(batch, "device") == [("a",), ("a",), ("c",), ("d",)]
+
+
 def write_events(folder, batches):
     """Cloud events as JSON lines, a file for each micro-batch."""
     folder.mkdir()
@@ -240,17 +332,17 @@ def test_windowed_records(spark, run):
 def test_latest_state_and_alerts(spark, run):
     as_stream, _, tmp = run
     source = tv.events(spark, SF)
-    table = LatestTable(BatchTable(str(tmp / "latest")), ("asset_id",), ("ts", "seq"))
+    table = KeyedTable(str(tmp / "latest"), ("asset_id",), ("ts", "seq"), buckets=4)
     jobs.stream_latest_state(as_stream(source, "ev"), table, str(tmp / "c1"), NOW).awaitTermination()
     assert rows(table.current(spark), "asset_id", "seq") == rows(regional.latest_state(source), "asset_id", "seq")
 
     source = tv.alert_events(spark, SF)
-    projected = BatchTable(str(tmp / "alerts"))
+    projected = KeyedTable(str(tmp / "alerts"), ("id",), buckets=4)
     jobs.stream_alert_projection(
         as_stream(source, "al"), projected, str(tmp / "c2"), NOW, order=("ts", "seq")
     ).awaitTermination()
     expected = alerts.project_alerts(source, order=("ts", "seq"))
-    assert rows(projected.read(spark), "id", "device_id", "severity") == rows(expected, "id", "device_id", "severity")
+    assert rows(projected.current(spark), "id", "device_id", "severity") == rows(expected, "id", "device_id", "severity")
 
 
 def test_rollups(spark, run):
@@ -268,3 +360,140 @@ def test_rollups(spark, run):
         written = BatchTable(f"{root}/{name}").read(spark)
         newest = written.filter(F.col("batch_id") == written.agg(F.max("batch_id")).first()[0])
         assert rows(newest, *columns) == rows(expected, *columns) != []
+
+
+def test_heartbeat_without_new_data(spark, run):
+    """The clock publishes rollups while the source is idle, and nothing before there are assets."""
+    import time
+
+    as_stream, _, tmp = run
+    root = str(tmp / "idle")
+    beat = jobs.stream_heartbeat(spark, root, str(tmp / "beat"), {"processingTime": "1 second"})
+    try:
+        time.sleep(4)
+        assert BatchTable(f"{root}/fleet_summary").read(spark) is None
+        source = tv.envelopes(spark, SF).withColumn("ts", F.col("wrapped_at"))
+        jobs.stream_contributions(as_stream(source, "idle_env"), root, str(tmp / "keep"), NOW).awaitTermination()
+        written, deadline = None, time.time() + 60
+        while time.time() < deadline and (written is None or written.select("batch_id").distinct().count() < 3):
+            time.sleep(1)
+            written = BatchTable(f"{root}/fleet_summary").read(spark)
+    finally:
+        beat.stop()
+    columns = ("region_id", "nominal", "degraded", "critical", "asset_count")
+    expected = rows(regional.fleet_summary(regional.latest_by_asset(source)), *columns)
+    batches = [r[0] for r in written.select("batch_id").distinct().orderBy("batch_id").collect()]
+    assert len(batches) >= 3
+    for batch in batches[1:3]:
+        assert rows(written.filter(F.col("batch_id") == batch), *columns) == expected
+
+
+def test_fan_in_of_edges(spark, run):
+    """Three edges of different lateness, one of them idle, through guard and dispatch, as in batch."""
+    as_stream, collect, _ = run
+    derived = tv.sustainment(spark, SF)
+    edges = {
+        f"edge-{i}": regional.wrap_sustainment(derived.filter(F.col("seq") % 3 == i), f"edge-{i}", F.concat(F.lit("region-"), F.col("seq") % 2)).withColumn(
+            "ts", F.col("wrapped_at")) for i in range(3)
+    }
+    edges["edge-2"] = edges["edge-2"].filter("wrapped_at < '2024-01-03'")
+    with pytest.raises(ValueError):
+        jobs.stream_fan_in({"edge-0": edges["edge-0"]}, {})
+
+    def through(df):
+        return regional.contributions(regional.guard_region(df, "region-1"))
+
+    batch = through(regional.fan_in(*edges.values()))
+    streams = {name: as_stream(df, name) for name, df in edges.items()}
+    joined = jobs.stream_fan_in(streams, dict.fromkeys(edges, "40 days"))
+    names = ("asset_id", "seq", "edge_id", "payload_type")
+    assert rows(collect(through(joined), "edges_out"), *names) == rows(batch, *names) != []
+
+
+def test_an_idle_edge_does_not_hold_the_others_back(spark, run):
+    as_stream, collect, _ = run
+    source = tv.sustainment(spark, SF).select("ts", "seq", F.col("ts").alias("wrapped_at"), F.col("asset.asset_id").alias("asset_id"))
+    edges = {"a": source, "b": source.orderBy("ts").limit(3)}
+
+    def windows(name):
+        streams = {edge: as_stream(df, f"{name}-{edge}") for edge, df in edges.items()}
+        joined = jobs.stream_fan_in(streams, {"a": "1 hour", "b": "1 hour"})
+        return collect(joined.groupBy(F.window("wrapped_at", "1 day")).count(), name).count()
+
+    held_back = windows("policy_min")
+    (setting, value), = jobs.WATERMARK_POLICY.items()
+    spark.conf.set(setting, value)
+    try:
+        assert windows("policy_max") > 10 > held_back
+    finally:
+        spark.conf.unset(setting)
+
+
+def test_fan_out_reads_once_and_repeats_nothing(spark, run):
+    """Latest state, anomalies and an append table from one read; a failure between sinks leaves no duplicate."""
+    as_stream, _, tmp = run
+    source = tv.telemetry(spark, SF)
+    stream, checkpoint = as_stream(source, "fan"), str(tmp / "fan-checkpoint")
+    latest = KeyedTable(str(tmp / "fan-latest"), ("event_id",), ("ts", "seq"), buckets=4)
+    log = BatchTable(str(tmp / "fan-log"))
+    calls = {"log": 0, "state": 0, "broken": 0}
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(rows_):
+        for batch in rows_:
+            reads.add(batch.num_rows)
+            yield batch
+
+    def append(rows_, batch_id):
+        calls["log"] += 1
+        log.write(rows_.select("event_id"), batch_id)
+
+    def break_once(rows_, batch_id):
+        if batch_id == 1 and not calls["broken"]:
+            calls["broken"] = 1
+            raise RuntimeError("between sinks")
+
+    def state(rows_, batch_id):
+        calls["state"] += 1
+        latest.merge(rows_.select("event_id", "ts", "seq"))
+
+    narrow = stream.select("event_id", "ts", "seq")
+    read = narrow.mapInArrow(counted, narrow.schema)
+    sinks = {"log": append, "check": break_once, "state": state}
+    with pytest.raises(Exception, match="between sinks"):
+        jobs.stream_fan_out(read, sinks, checkpoint, NOW).awaitTermination()
+    jobs.stream_fan_out(read, sinks, checkpoint, NOW).awaitTermination()
+    n = source.count()
+    assert log.read(spark).count() == latest.current(spark).count() == n
+    assert calls == {"log": 3, "state": 3, "broken": 1}
+    # Each batch is read once; the one that failed a second time when it is run again.
+    assert n < reads.value < 1.5 * n
+
+
+def test_drops_are_counted_in_streams(spark, run):
+    from convoy.sources import quality
+    from convoy.streaming.tracking import DropCounts
+
+    _, collect, tmp = run
+    lines = [
+        ['{"asset_id":"a","edge_id":"e","region_id":"r"}', "broken", '{"asset_id":"","region_id":"r"}'],
+        ['{"asset_id":"b","region_id":""}', '{"asset_id":"c","region_id":"r"}', "[1"],
+    ]
+    folder = tmp / "lines"
+    folder.mkdir()
+    for number, texts in enumerate(lines):
+        (folder / f"{number}.txt").write_text("\n".join(texts))
+    listener = DropCounts()
+    spark.streams.addListener(listener)
+    try:
+        checked = quality.check_registry(spark.readStream.option("maxFilesPerTrigger", 1).text(str(folder)))
+        out = collect(quality.used(quality.accounted(checked, "registry", quality.REGISTRY_REASONS)), "drops_out")
+        import time
+        deadline = time.time() + 30
+        while time.time() < deadline and listener.counts.get("registry", {}).get("rows_in", 0) < 6:
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(listener)
+    counts = dict(listener.counts["registry"])
+    assert counts == {"rows_in": 6, "malformed": 2, "blank_asset": 1, "blank_region": 1}
+    assert counts["rows_in"] - sum(v for k, v in counts.items() if k != "rows_in") == out.count() == 2

@@ -163,3 +163,24 @@ def test_thermal_limits(spark):
     assert set(found) == {("a", 5), ("b", 2)}
     assert found[("a", 5)].summary == "Component 109.0K above ambient, rising 4.00K/sample"
     assert found[("b", 2)].evidence.delta_k == pytest.approx(90.0)
+
+
+@pytest.mark.parametrize("hot_rows", [7, 40])
+def test_hot_slice_is_split(spark, hot_rows):
+    """A signal that holds a third of all rows inside two slices, with ties: chunks merge to what one window gives."""
+    dense = [("hot", "s", (i // 2) * 700_000, i, (i * 37 % 101) / 7) for i in range(300)]
+    sparse = [(f"a{i % 20}", "s", i * 11_000_000, 1000 + i, i % 13 * 1.5) for i in range(600)]
+    df = spark.createDataFrame(dense + sparse, "asset_id string, signal string, us long, seq long, value double").withColumn("ts", F.timestamp_micros("us"))
+    names = ("asset_id", "seq", "n", "slope_per_hour", "r_squared", "latest", "latest_us", "window_start_us")
+
+    def rows(found):
+        return sorted(tuple(round(v, 5) if isinstance(v, float) else v for v in r) for r in found.select(*names).collect())
+
+    plain = rows(rolling_trend(df, 60_000_000))
+    split = rolling_trend(df, 60_000_000, hot_rows=hot_rows)
+    assert rows(split) == plain
+    by_hand = {}
+    for asset, _, us, seq, value in dense:
+        inside = [(u, s, v) for _, _, u, s, v in dense if us - 60_000_000 <= u <= us]
+        by_hand[seq] = (len(inside), round(max(inside)[2], 5), min(inside)[0])
+    assert {r[1]: (r[2], r[5], r[7]) for r in plain if r[0] == "hot"} == {k: v for k, v in by_hand.items() if v[0] >= 2}
