@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import os
 import re
 from functools import cache
 from uuid import uuid4
@@ -67,6 +68,7 @@ class Aligner:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)

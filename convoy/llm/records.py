@@ -19,6 +19,7 @@ encoded whole however long; the longest one must fit in a worker's memory. Other
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -58,6 +59,7 @@ class ChunkEncoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         # Two generations: what is met again moves on, so frequent strings stay and rare ones go.

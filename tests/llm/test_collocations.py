@@ -51,12 +51,11 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("budget", [1_000_000, 30, 3])
-def test_small_texts(spark, budget):
+@pytest.mark.parametrize(("budget", "least", "share", "top"), [(1_000_000, 10, 50, 2000), (30, 2, 90, 5), (3, 10, 50, 2000)])
+def test_small_texts(spark, budget, least, share, top):
     df = spark.createDataFrame(TEXTS * 2, "lang string, text string").repartition(3)
-    for least, share, top in ((10, 50, 2000), (2, 90, 5)):
-        found = collocations.collocations(df, top, least, share, budget)
-        assert {tuple(r) for r in found.collect()} == plain(TEXTS * 2, least, share, top)
+    found = collocations.collocations(df, top, least, share, budget)
+    assert {tuple(r) for r in found.collect()} == plain(TEXTS * 2, least, share, top)
 
 
 def test_tables(spark):
