@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,9 +82,20 @@ def odd_multipliers(n: int, seed: int) -> list[int]:
 def shelter(df: DataFrame, replaced: tuple[str, ...] = ()) -> tuple[DataFrame, list[str], list[Column]]:
     """(``df`` without the columns ``replaced``, its column names, expressions that give the columns their old names).
 
-    Columns that start with an underscore are renamed meanwhile, so they cannot clash with those an operator adds.
+    Columns that start with an underscore are renamed meanwhile, so they cannot clash with those an operator adds, and so
+    are those whose names would need quoting.
     """
-    plain = df.drop(*replaced)
-    held = [f"held{i}{c}" if c.startswith("_") else c for i, c in enumerate(plain.columns)]
-    back = [F.col(f"`{new}`").alias(old) for new, old in zip(held, plain.columns)]
-    return plain.toDF(*held), held, back
+    kept = [i for i, c in enumerate(df.columns) if c not in replaced]
+    held = [f"held{i}" if not re.fullmatch(r"[A-Za-z][A-Za-z0-9_ ]*", df.columns[i]) else df.columns[i] for i in kept]
+    while clash := [k for k, name in enumerate(held) if held.count(name) > 1]:
+        held[clash[-1]] += "_"
+    every = dict(zip(kept, held))
+    renamed = df.toDF(*[every.get(i, f"gone{i}") for i in range(len(df.columns))])
+    back = [F.col(f"`{name}`").alias(df.columns[i]) for i, name in every.items()]
+    return renamed.select(*[f"`{name}`" for name in held]), held, back
+
+
+def identity(df: DataFrame, name: str) -> Column:
+    """A column in a form that can be hashed and put in order; maps and variants by their text."""
+    kind = df.schema[name].dataType.simpleString()
+    return F.to_json(F.struct(F.col(f"`{name}`"))) if "map<" in kind or "variant" in kind else F.col(f"`{name}`")

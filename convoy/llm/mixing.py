@@ -12,8 +12,8 @@ earlier ones end. The global order needs exact places only in the one range of f
 ranges before it are in, later ones out.
 
 Defined results: documents without words (null or empty texts) have size 0 and take nothing; a null source is a source
-of its own; null ids share a place and are told apart by checksum and size; equal rows are queued one after another;
-an empty table gives an empty table. Other columns are carried through; columns of the names in ``COLUMNS`` are
+of its own; rows with a null id are placed by checksum and length of their text; rows with equal ids stand together,
+ordered by checksum and size, equal rows one after another; very long texts are only counted; an empty table gives an empty table. Other columns are carried through; columns of the names in ``COLUMNS`` are
 replaced.
 """
 
@@ -68,11 +68,12 @@ def source_targets(sizes: DataFrame, share: float = SHARE, epochs: int = EPOCHS)
 def mix(documents: DataFrame, share: float = SHARE, epochs: int = EPOCHS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``documents`` with size, source_size, target, copies (0 to ``epochs``), taken and first_finish."""
     plain, held, back = shelter(documents, COLUMNS)
-    text = F.coalesce(F.col("text"), F.lit(""))
+    check = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    # Rows without an id are spread by what they hold; they must not share one place of the queue.
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat_ws(":", F.lit("no id"), check, F.length("text")))
     sized = plain.select(
         *[f"`{c}`" for c in held], words(F.col("text")).alias("size"), F.col("source").alias("_source"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("_hash"),
-        F.crc32(text.cast("binary")).alias("_check"),
+        F.md5(name.cast("binary")).alias("_hash"), check.alias("_check"),
     )
     narrow = cut(sized.select("_source", "_hash", "_check", "size"))
     totals = cut(source_targets(narrow.groupBy("_source").agg(F.sum("size").alias("source_size")), share, epochs))

@@ -8,7 +8,7 @@ that holds all numbers; a number that lands outside is sent through again until
 makes it a permutation of the rows. Position p goes to shard ``p mod n`` and slot ``p div n``: counts of shards
 differ by one at most, and slots have no gaps. ``rows`` is the law that holds.
 
-Defined results: a null text has size 16 and checksum 0; null ids are rows like others; equal rows get a position
+Defined results: very long texts are measured whole and not read by Python; a null text has size 16 and checksum 0; null ids are rows like others; equal rows get a position
 each; an empty table gives an empty table. Other columns are carried through; columns of the names in ``COLUMNS`` are
 replaced.
 """
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from convoy.llm.common import shelter
+from convoy.llm.common import identity, shelter
 
 SHARDS = 40
 SEED = 20_240_607
@@ -89,15 +89,15 @@ def assign_shards(documents: DataFrame, shards: int = SHARDS, seed: int = SEED,
     copies = sized.groupBy(*[f"`{c}`" for c in sized.columns]).agg(F.count(F.lit(1)).alias("_copies"))
     total = plain.count()
     n_buckets = max(1, ceil(total / bucket_rows))
-    identity = [F.col(f"`{c}`") for c in sized.columns if c != "text"]
-    in_bucket = F.pmod(F.xxhash64(*identity), F.lit(n_buckets))
+    content = [identity(sized, c) for c in sized.columns if c != "text"]
+    in_bucket = F.pmod(F.xxhash64(*content), F.lit(n_buckets))
     starts = (
         sized.groupBy(in_bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_in_bucket"))
         .withColumn("_start", F.sum("_in_bucket").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)))
         .select(F.col("_bucket").alias("_of"), F.coalesce("_start", F.lit(0)).alias("_start"))
     )
     rows = copies.withColumn("_bucket", in_bucket)
-    order = [*identity, *(["text"] if "text" in plain.columns else [])]
+    order = [*content, *(["text"] if "text" in plain.columns else [])]
     before = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     numbered = (
         rows.withColumn("_before", F.coalesce(F.sum("_copies").over(before), F.lit(0)))

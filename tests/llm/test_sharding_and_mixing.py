@@ -3,6 +3,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import messy
 from convoy.llm import mixing, sharding
@@ -109,3 +110,35 @@ def test_messy_mix(spark):
     assert copies.count() == sum(r.copies for r in rows) and "target" not in copies.columns
     assert mixing.mix(messy.empty(spark)).count() == 0
     assert mixing.mix(messy.frame(spark).filter("doc_id in (4, 5, 6)")).agg({"taken": "sum"}).first()[0] == 0
+
+
+def test_columns_of_any_kind_and_name(spark):
+    """Maps, and names that need quoting or look like an operator's own, come out as they went in."""
+    from convoy.llm import near_dedup, pii
+
+    rows = [(i, f"text number {i % 3} with words and more of them", "a", {"k": i}, f"v{i}", i) for i in range(12)] + [(None, "no id", "a", None, None, None)] * 2
+    ddl = "doc_id long, text string, source string, m map<string,int>, `odd``name.x` string, _bucket int"
+    df = spark.createDataFrame(rows, ddl)
+    want = sorted(str((r[0], r[3], r[4], r[5])) for r in rows)
+    outs = {
+        "shards": sharding.assign_shards(df, shards=3, bucket_rows=4), "mix": mixing.mix(df, bucket_rows=4),
+        "near": near_dedup.mark_near_duplicates(df), "pii": pii.mark_pii(df, np.zeros((len(pii.FEATURES), len(pii.KINDS)))),
+    }
+    for name, out in outs.items():
+        assert {"m", "odd`name.x", "_bucket"} <= set(out.columns), name
+        found = out.select("doc_id", "m", "`odd``name.x`", "_bucket").collect()
+        assert sorted(str(tuple(r)) for r in found) == want, name
+
+
+def test_rows_without_an_id_are_spread(spark):
+    """A third of the rows without an id do not share one place of the queue."""
+    rows = [(None if i % 3 == 0 else i, f"w{i} " * (1 + i % 5), "a") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    hashes = mixing._in_buckets(
+        df.select(F.col("text"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat_ws(":", F.lit("no id"), F.crc32(F.col("text").cast("binary")), F.length("text"))).cast("binary")).alias("_hash"),
+                  F.col("source").alias("_source")),
+        spark.createDataFrame([("a", 8)], "_source string, _buckets long"))
+    counts = [r["count"] for r in hashes.groupBy("_bucket").count().collect()]
+    assert len(counts) == 8 and max(counts) < 2 * min(counts)
+    out = mixing.mix(df, bucket_rows=300).collect()
+    assert sum(r.taken for r in out) <= 1.5 * sum(r.size for r in out) and len(out) == 3000
