@@ -8,13 +8,14 @@ The model labels segments, not tokens. A region is a stretch around digits or at
 ``LONGEST`` tokens, and every longer run that could be a key, is a candidate for every kind, described by features of the whole span (shape, counts, checksum,
 neighbours, the word before it). Scores are linear; a dynamic program over region positions finds the best cut into
 segments and single other tokens, boundaries and kinds together. Weights maximise the conditional likelihood of
-segmentations of a bounded sample of documents, summed over all segmentations by the forward-backward recursion. The
+segmentations of a bounded sample (regions of up to ``SAMPLE_CHARS`` characters, up to ``SAMPLE_REGIONS`` with and as
+many without a label, from about ``SAMPLE_DOCUMENTS`` documents), summed over all segmentations by the forward-backward recursion. The
 sample is labelled by the patterns and by assignments to names such as token or password, and each labelled region
 enters a second time in a form the patterns miss; a region with a label that is no candidate is left out with a
 warning, so it does not teach that there is nothing. A found segment counts when its posterior probability reaches
 ``CERTAIN`` and it touches no base span.
 
-Defined results: null and empty texts have no spans; rows that are equal or share an id get a row each; an empty table
+Defined results: very long texts are searched whole, region by region; null and empty texts have no spans; rows that are equal or share an id get a row each; an empty table
 gives an empty table; on a sample without any labelled region the model adds nothing. Other columns are carried
 through; columns of the names in ``COLUMNS`` are replaced.
 """
@@ -24,6 +25,8 @@ from __future__ import annotations
 import hashlib
 import re
 import warnings
+from array import array
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pandas as pd
@@ -36,9 +39,11 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret")
 LONGEST = 14
 CERTAIN = 0.9
-#: Documents whose regions may be used for fitting, chosen by hashes of their texts, and regions of these.
+#: Documents whose regions may be used for fitting, chosen by hashes of their texts; labelled and unlabelled regions of
+#: these that are used, chosen by hashes too; and characters of a region that may be used, longer ones are not.
 SAMPLE_DOCUMENTS = 4000
 SAMPLE_REGIONS = 400
+SAMPLE_CHARS = 400
 COLUMNS = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
 #: The patterns of the base spans.
@@ -124,71 +129,122 @@ def regions(text: str | None) -> list[tuple[int, int]]:
     return [m.span() for m in _REGION.finditer(text)] if text and ("@" in text or _DIGIT.search(text)) else []
 
 
+#: Segments that are described at once; of the others only their scores are kept.
+DESCRIBED = 4000
+
+
 class Lattice:
-    """Segments of one region: (from token, to token, features), at most ``LONGEST`` tokens each but for runs like keys."""
+    """Segments of one region, at most ``LONGEST`` tokens each but for runs like keys.
+
+    Segment k goes from token ``begin[k]`` to before token ``end[k]``. A region may be as long as a text, a table of
+    numbers for instance, so only numbers are kept for each segment.
+    """
 
     def __init__(self, text: str, start: int, end: int):
-        tokens = [m.span() for m in _TOKEN.finditer(text, start, end)]
-        self.starts = [a for a, _ in tokens]
-        self.ends = [b for _, b in tokens]
-        self.n = len(tokens)
-        solid = [not text[a].isspace() for a in self.starts]
-        opens = [solid[i] and (text[a].isalnum() or text[a] in "+(") for i, a in enumerate(self.starts)]
-        closes = [text[b - 1].isalnum() for b in self.ends]
-        marked = np.cumsum([0, *("@" in text[a:b] or text[a].isdigit() and text[a].isascii() for a, b in tokens)])
-        self.segments = [
-            (i, j) for i in range(self.n) if opens[i] for j in range(i + 1, min(self.n, i + LONGEST) + 1)
-            if closes[j - 1] and marked[j] > marked[i]
-        ]
-        known, first, last = set(self.segments), {a: i for i, a in enumerate(self.starts)}, {b: j for j, b in enumerate(self.ends, 1)}
+        self.text = text
+        spans = array("q", [x for m in _TOKEN.finditer(text, start, end) for x in m.span()])
+        self.starts, self.ends = np.frombuffer(spans, np.int64).reshape(-1, 2).T if spans else np.zeros((2, 0), np.int64)
+        self.n = n = len(self.starts)
+        opens, closes, marked, seen = bytearray(n), bytearray(n), array("i", [0]), 0
+        for k, (a, b) in enumerate(zip(self.starts.tolist(), self.ends.tolist())):
+            head = text[a]
+            opens[k] = not head.isspace() and (head.isalnum() or head in "+(")
+            closes[k] = text[b - 1].isalnum()
+            seen += "@" in text[a:b] or head.isdigit() and head.isascii()
+            marked.append(seen)
+        begin, stop = array("i"), array("i")
+        for i in range(n):
+            if opens[i]:
+                for j in range(i + 1, min(n, i + LONGEST) + 1):
+                    if closes[j - 1] and marked[j] > marked[i]:
+                        begin.append(i)
+                        stop.append(j)
         for m in _KEY_RUN.finditer(text, start, end):
-            run = first.get(m.start()), last.get(m.end())
-            if None not in run and run not in known and _DIGIT.search(m[0]):
-                self.segments.append(run)
-        self.features = np.array([describe(text, self.starts[i], self.ends[j - 1]) for i, j in self.segments]).reshape(-1, len(FEATURES))
-
-    def posteriors(self, weights: np.ndarray) -> tuple[np.ndarray, float]:
-        """(probability of each segment and kind, log of the sum over all segmentations)."""
-        scores = self.features @ weights
-        heads, tails = [[] for _ in range(self.n + 1)], [[] for _ in range(self.n + 1)]
-        for k, (i, j) in enumerate(self.segments):
-            heads[i].append((k, j))
-            tails[j].append((k, i))
+            i, j = int(np.searchsorted(self.starts, m.start())), int(np.searchsorted(self.ends, m.end()))
+            if j < n and self.starts[i] == m.start() and self.ends[j] == m.end() and _DIGIT.search(m[0]):
+                known = j + 1 - i <= LONGEST and opens[i] and closes[j] and marked[j + 1] > marked[i]
+                if not known:
+                    begin.append(i)
+                    stop.append(j + 1)
+        self.begin, self.end = np.frombuffer(begin, np.int32) if begin else np.zeros(0, np.int32), np.frombuffer(stop, np.int32) if stop else np.zeros(0, np.int32)
+
+    @property
+    def segments(self) -> list[tuple[int, int]]:
+        return list(zip(self.begin.tolist(), self.end.tolist()))
+
+    @property
+    def features(self) -> np.ndarray:
+        return self.described(0, len(self.begin))
+
+    def described(self, low: int, high: int) -> np.ndarray:
+        """Features of segments ``low`` to before ``high``."""
+        spans = zip(self.starts[self.begin[low:high]].tolist(), self.ends[self.end[low:high] - 1].tolist())
+        return np.array([describe(self.text, a, b) for a, b in spans]).reshape(-1, len(FEATURES))
+
+    def scored(self, weights: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(self.begin), weights.shape[1]))
+        for k in range(0, len(out), DESCRIBED):
+            out[k: k + DESCRIBED] = self.described(k, k + DESCRIBED) @ weights
+        return out
+
+    def _grouped(self, keys: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """(segments in order of a key, where each value of it from 0 to n begins in that order)."""
+        order = np.argsort(keys, kind="stable")
+        return order, np.searchsorted(keys[order], np.arange(self.n + 2)).tolist()
+
+    def chances(self, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """(log sums of the segmentations before each token, after each token, and of all)."""
         whole = np.logaddexp.reduce(scores, axis=1) if len(scores) else np.zeros(0)
         forward, backward = np.zeros(self.n + 1), np.zeros(self.n + 1)
+        order, at = self._grouped(self.end)
+        weight, other = whole[order], self.begin[order]
         for j in range(1, self.n + 1):
-            forward[j] = np.logaddexp.reduce([forward[j - 1], *(forward[i] + whole[k] for k, i in tails[j])])
+            forward[j], a, b = forward[j - 1], at[j], at[j + 1]
+            if a < b:
+                forward[j] = np.logaddexp(forward[j], np.logaddexp.reduce(forward[other[a:b]] + weight[a:b]))
+        order, at = self._grouped(self.begin)
+        weight, other = whole[order], self.end[order]
         for i in range(self.n - 1, -1, -1):
-            backward[i] = np.logaddexp.reduce([backward[i + 1], *(backward[j] + whole[k] for k, j in heads[i])])
-        total = forward[self.n]
-        outside = np.array([forward[i] + backward[j] for i, j in self.segments]).reshape(-1, 1)
-        return np.exp(scores + outside - total), float(total)
+            backward[i], a, b = backward[i + 1], at[i], at[i + 1]
+            if a < b:
+                backward[i] = np.logaddexp(backward[i], np.logaddexp.reduce(backward[other[a:b]] + weight[a:b]))
+        return forward, backward, float(forward[self.n])
 
-    def decode(self, weights: np.ndarray) -> list[tuple[int, int]]:
+    def posteriors(self, weights: np.ndarray, features: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+        """(probability of each segment and kind, log of the sum over all segmentations)."""
+        scores = self.scored(weights) if features is None else features @ weights
+        forward, backward, total = self.chances(scores)
+        outside = (forward[self.begin] + backward[self.end]).reshape(-1, 1)
+        return np.exp(scores + outside - total), total
+
+    def best(self, scores: np.ndarray) -> list[tuple[int, int]]:
         """(segment, kind) of the best segmentation."""
-        scores = self.features @ weights
-        best, back = [0.0], [None]
-        ends: list[list[int]] = [[] for _ in range(self.n + 1)]
-        for k, (_, j) in enumerate(self.segments):
-            ends[j].append(k)
-        kinds = scores.argmax(1) if len(scores) else []
+        if not len(scores):
+            return []
+        kinds, most = scores.argmax(1), scores.max(1)
+        top, back = np.zeros(self.n + 1), np.full(self.n + 1, -1, np.int64)
+        order, at = self._grouped(self.end)
+        weight, other = most[order], self.begin[order]
         for j in range(1, self.n + 1):
-            top, way = best[j - 1], None
-            for k in ends[j]:
-                score = best[self.segments[k][0]] + scores[k, kinds[k]]
-                if score > top:
-                    top, way = score, k
-            best.append(top)
-            back.append(way)
+            top[j], a, b = top[j - 1], at[j], at[j + 1]
+            if a < b:
+                found = top[other[a:b]] + weight[a:b]
+                k = int(found.argmax())
+                if found[k] > top[j]:
+                    top[j], back[j] = found[k], order[a + k]
         out, j = [], self.n
         while j > 0:
-            if back[j] is None:
+            k = int(back[j])
+            if k < 0:
                 j -= 1
             else:
-                out.append((back[j], int(kinds[back[j]])))
-                j = self.segments[back[j]][0]
+                out.append((k, int(kinds[k])))
+                j = int(self.begin[k])
         return out[::-1]
 
+    def decode(self, weights: np.ndarray) -> list[tuple[int, int]]:
+        return self.best(self.scored(weights))
+
 
 def silver(text: str) -> list[tuple[int, int, int]]:
     """Spans that the patterns and assignments to telling names give, without overlaps."""
@@ -219,27 +275,27 @@ def fit_model(examples: list[tuple[str, list[tuple[int, int, int]]]], epochs: in
     prepared, lost = [], 0
     for text, spans in examples:
         lattice = Lattice(text, 0, len(text))
-        place = {(lattice.starts[i], lattice.ends[j - 1]): k for k, (i, j) in enumerate(lattice.segments)}
+        place = {span: k for k, span in enumerate(zip(lattice.starts[lattice.begin].tolist(), lattice.ends[lattice.end - 1].tolist()))}
         missing = sum((a, b) not in place for _, a, b in spans)
         lost += missing
         if not missing:
-            prepared.append((lattice, [(place[a, b], kind) for kind, a, b in spans]))
+            prepared.append((lattice, lattice.described(0, len(lattice.begin)), [(place[a, b], kind) for kind, a, b in spans]))
     if lost:
         warnings.warn(f"{lost} labelled spans are no candidates; their regions are not trained on", stacklevel=2)
     weights = np.zeros((len(FEATURES), len(KINDS)))
     weights[0] = -4.0  # before any training nothing is an entity
-    if not any(gold for _, gold in prepared):
+    if not any(gold for _, _, gold in prepared):
         return weights
     mean, square = np.zeros_like(weights), np.zeros_like(weights)
     for epoch in range(1, epochs + 1):
         gradient = -ridge * weights
-        for lattice, gold in prepared:
-            if not len(lattice.segments):
+        for lattice, features, gold in prepared:
+            if not len(features):
                 continue
-            chance = -lattice.posteriors(weights)[0]
+            chance = -lattice.posteriors(weights, features)[0]
             for k, kind in gold:
                 chance[k, kind] += 1
-            gradient += lattice.features.T @ chance / len(prepared)
+            gradient += features.T @ chance / len(prepared)
         mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient**2
         weights = weights + rate * (mean / (1 - 0.9**epoch)) / (np.sqrt(square / (1 - 0.99**epoch)) + 1e-9)
     return weights
@@ -256,8 +312,9 @@ def train(documents: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS, sample
             rows = []
             for text in batch["_text"]:
                 for a, b in regions(text):
-                    a, b = max(0, a - _WORD_BEFORE), min(len(text), b + 1, a + 400)
-                    rows.append((text[a:b], bool(silver(text[a:b]))))
+                    if b - a <= SAMPLE_CHARS:  # whole regions only: a part of an entity must not teach
+                        a, b = max(0, a - _WORD_BEFORE), min(len(text), b + 1)
+                        rows.append((text[a:b], bool(silver(text[a:b]))))
             yield pd.DataFrame(rows, columns=["piece", "marked"]).astype({"marked": bool})
 
     pieces = sample.mapInPandas(gather, "piece string, marked boolean").distinct()
@@ -277,16 +334,21 @@ def find_spans(text: str | None, weights: np.ndarray, certain: float = CERTAIN)
     """(base spans, spans that the model adds), each (number of the kind, start, end) by kind and start."""
     base = base_spans(text)
     added = []
+    starts = sorted(a for _, a, _ in base)
+    ends = sorted(b for _, _, b in base)
     for a, b in regions(text):
         lattice = Lattice(text, a, b)
-        found = lattice.decode(weights)
+        scores = lattice.scored(weights)
+        found = lattice.best(scores)
         if not found:
             continue
-        chance, _ = lattice.posteriors(weights)
+        forward, backward, total = lattice.chances(scores)
         for k, kind in found:
-            i, j = lattice.segments[k]
-            start, end = lattice.starts[i], lattice.ends[j - 1]
-            if chance[k, kind] >= certain and all(end <= s or start >= t for _, s, t in base):
+            i, j = lattice.begin[k], lattice.end[k]
+            start, end = int(lattice.starts[i]), int(lattice.ends[j - 1])
+            sure = np.exp(scores[k, kind] + forward[i] + backward[j] - total) >= certain
+            # As many base spans end before it as start before its end: it touches none.
+            if sure and bisect_right(ends, start) == bisect_left(starts, end):
                 added.append((kind, start, end))
     return base, sorted(added)
 

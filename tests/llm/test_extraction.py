@@ -191,3 +191,118 @@ def test_labels_without_a_segment_are_reported():
     text = "mail a1b2c3d4e5f6g7h8@mail.example.org now"
     with pytest.warns(UserWarning, match="1 labelled span"):
         pii.fit_model([(text, pii.silver(text))])
+
+
+def plain_core(source):
+    """Density, sums, core and threshold by recursion over a nested list of (tag, children), for well-formed pages."""
+    from html.parser import HTMLParser
+    from math import e, log
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.root = ("body", [])
+            self.stack = [self.root]
+
+        def handle_starttag(self, tag, attrs):
+            if tag not in ("html", "body"):
+                node = (tag, [])
+                self.stack[-1][1].append(node)
+                if tag not in html_text.VOID:
+                    self.stack.append(node)
+
+        def handle_endtag(self, tag):
+            if tag not in ("html", "body"):
+                self.stack.pop()
+
+        def handle_data(self, data):
+            self.stack[-1][1].append(data)
+
+    reader = Reader()
+    reader.feed(source)
+
+    def size(text):
+        return len("".join(text.split()))
+
+    def counts(node, link=False):
+        link = link or node[0] == "a"
+        c = t = lc = lt = 0
+        for child in node[1]:
+            if isinstance(child, str):
+                c, lc = c + size(child), lc + link * size(child)
+            elif child[0] not in html_text.NOISE_TAGS:
+                a = counts(child, link)
+                own = child[0] == "a" or child[0] not in html_text.INLINE and child[0] not in html_text.VOID
+                c, t, lc, lt = c + a[0], t + a[1] + own, lc + a[2], lt + a[3] + (link or child[0] == "a")
+        return c, t, lc, lt
+
+    all_c, _, all_lc, _ = counts(reader.root)
+
+    def density(c, t, lc, lt):
+        if not c:
+            return 0.0
+        base = log(c / max(1, c - lc) * lc + all_lc / all_c * c + e)
+        return max(0.0, c / max(1, t) * log(max(1.0, c / max(1, lc) * max(1, t) / max(1, lt))) / log(base)) if base > 1 else c / max(1, t) * log(max(e, c))
+
+    def of(node, link=False):
+        c, t, lc, lt = counts(node, link)
+        return density(c, t + 1, lc, lt)
+
+    def walk(node, link=False):
+        link = link or node[0] == "a"
+        own = sum(size(x) for x in node[1] if isinstance(x, str))
+        kids = [x for x in node[1] if not isinstance(x, str) and x[0] not in html_text.NOISE_TAGS]
+        yield node, density(own, 1, own if link else 0, 1 if link else 0) + sum(of(k, link) for k in kids)
+        for k in kids:
+            yield from walk(k, link)
+
+    nodes = list(walk(reader.root))
+    best = max(total for _, total in nodes)
+    core = next(node for node, total in nodes if total >= best - 1e-9)
+
+    def text(node):
+        return "".join(x if isinstance(x, str) else (" " + text(x) + " " if x[0] not in html_text.INLINE else text(x)) for x in node[1])
+
+    return core[0], " ".join(html.unescape(text(core)).split())
+
+
+def test_core_is_that_of_a_plain_version(spark):
+    pages = [
+        "<body><div><p>One long paragraph of text here.</p><p>Another <b>one</b> of text.</p></div><div><a href=x>link</a><a href=y>link two</a></div></body>",
+        "<body><section><h2>Head</h2><p>Words and words and words.</p><ul><li>item one</li><li>item two</li></ul></section><p>short</p></body>",
+    ]
+    for source in pages:
+        tag, want = plain_core(source)
+        page = html_text.Page(source)
+        core = page._densities()[0]
+        assert page.tag[core] == tag and html_text.main_text(source).startswith(want[:10]) and want in html_text.main_text(source)
+
+
+def test_articles_are_found_without_their_tag(spark):
+    for r in read_table(spark, SF, "pages").collect():
+        renamed = re.sub(r"(</?)article>", r"\1div>", r.html)
+        assert html_text.main_text(renamed) == html_text.main_text(r.html)
+
+
+@pytest.mark.parametrize("unit", ['<a "', "</i>", "<b>", '<a ">" ', "<hr><span>", "<header></header><div>", "<a ", "<li><b>"])
+def test_broken_pages_take_time_in_proportion(unit):
+    import time
+
+    source = unit * (1_000_000 // len(unit))
+    start = time.process_time()
+    html_text.main_text("<b>" * 1000 + source + "'")
+    assert time.process_time() - start < 15
+
+
+def test_long_stretch_of_numbers_is_bounded():
+    import tracemalloc
+
+    weights = np.zeros((len(pii.FEATURES), len(pii.KINDS)))
+    weights[0] = -4.0
+    peaks = []
+    for n in (4000, 16_000):
+        tracemalloc.start()
+        pii.find_spans("12 34 " * (n // 6), weights)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 5 * peaks[0] and peaks[1] < 300 * 16_000
