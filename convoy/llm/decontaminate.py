@@ -6,7 +6,7 @@ k edits is untouched, so all pieces of a block of items are looked up at once in
 around each hit Myers' bit-parallel distance decides whether the item is there. The test items are a stated query set:
 they are taken in blocks of bounded bytes, each block against all documents.
 
-Defined results: null and empty texts and items match nothing; rows that are equal or share an id are scanned each and
+Defined results: very long texts are searched whole, one at a time in a worker; null and empty texts and items match nothing; rows that are equal or share an id are scanned each and
 reported once an id and item; null ids are reported with a null id; an empty table on either side gives no rows. An
 item shorter than two pieces must be there exactly, bounded by word ends. Columns besides id and text are ignored by
 ``find_leaks`` and carried through by ``drop_contaminated``.

@@ -15,7 +15,7 @@ are always reported.
 
 Only ``TEMPLATES`` are found: notices, short wordings, SPDX lines and a characteristic passage of whole license texts.
 
-Defined results: null and empty texts match nothing; rows that are equal or share an id are scanned each and reported
+Defined results: very long texts are scanned whole, window by window; null and empty texts match nothing; rows that are equal or share an id are scanned each and reported
 once an id and license; null ids are reported with a null id; an empty table gives no rows; other columns are ignored.
 """
 

@@ -14,7 +14,7 @@ classes are linked when the Jaccard similarity of their full sets is at least 80
    what is found joins components at once. A task gives at most one link a member, so no link is left out because two
    documents never met a common first member, and a group that is one component already costs nothing more.
 
-Defined results: null and empty texts have n_shingles 0 and are their own component; rows that are equal or share an
+Defined results: very long texts count with their whole set of shingles, which must fit in a worker; null and empty texts have n_shingles 0 and are their own component; rows that are equal or share an
 id count in one class each by their text; the component id is the smallest id reachable, null only if all ids in it are
 null, in which case ``kept`` is true for each of these rows; an empty table gives an empty table. Rows are told apart by
 a hash of id and text, so those without an id are linked like any others. ``mark_near_duplicates`` keeps one text of a

@@ -3,7 +3,7 @@
 Only statistics of the text enter the score; labels, language, source and id do not. Labels are learned from rows
 whose crc32 of the id, as text, modulo 5 is not 0; the others are held out.
 
-Defined results: null and empty texts are scored by their statistics, all zero; a null id counts as empty text for
+Defined results: very long texts are scored whole; documents with equal statistics get equal scores; null and empty texts are scored by their statistics, all zero; a null id counts as empty text for
 the held-out rule; repeated rows each get a row; without labels of both kinds the score is the share of good labels
 (0.5 without any); an empty table gives an empty table. Other columns are carried through; ``held_out``, ``score`` and
 ``predicted`` are replaced.

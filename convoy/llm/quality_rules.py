@@ -5,7 +5,7 @@ three-word windows. The others get the verdict of gradient-boosted trees fitted
 probability of good quality is at least ``threshold``. The trees must not reward repetition, symbols, duplicate lines
 and their like (see ``DIRECTIONS``), so a text never passes because it got worse.
 
-Defined results: null and empty texts have zero counts and fail the base rules; repeated rows each get their own row;
+Defined results: very long texts are judged whole; documents that tie in score get the same verdict; null and empty texts have zero counts and fail the base rules; repeated rows each get their own row;
 null ids are kept as they are; without labels of both kinds every document that passes the base rules is kept when the
 share of good labels (0.5 without any) reaches the threshold; an empty table gives an empty table. Other columns are
 carried through; columns of the names in ``COLUMNS`` are replaced.

@@ -18,7 +18,7 @@ and no phrase is longer than a string, so no repeat can be missed.
 Tasks sum up before they send: of equal triggers of a batch one is sent, of equal phrases that of the smallest id.
 Nothing is broadcast or collected; every exchange goes by hash of a trigger or by id.
 
-Defined results: a null text counts as empty; a text shorter than ``LENGTH`` loses nothing; rows with equal ids do not
+Defined results: very long texts are parsed whole, in segments of the rolling hash; a null text counts as empty; a text shorter than ``LENGTH`` loses nothing; rows with equal ids do not
 take from each other, and equal rows get equal results; rows with a null id keep all their bytes and take from nobody;
 an empty table gives an empty table. Columns besides id (an integer) and text are ignored.
 """
