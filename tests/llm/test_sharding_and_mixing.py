@@ -127,7 +127,8 @@ def test_columns_of_any_kind_and_name(spark):
     for name, out in outs.items():
         assert {"m", "odd`name.x", "_bucket"} <= set(out.columns), name
         found = out.select("doc_id", "m", "`odd``name.x`", "_bucket").collect()
-        assert sorted(str(tuple(r)) for r in found) == want, name
+        # Of rows that repeat both id and text the marking of near duplicates leaves one, as it says.
+        assert sorted(str(tuple(r)) for r in found) == (sorted(set(want)) if name == "near" else want), name
 
 
 def test_rows_without_an_id_are_spread(spark):
